@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT
+from deskspark.functions import stopwords
 from deskspark.operators import prepare as P
 from deskspark.plans import register
 from deskspark.plans.sqlparts import md5_key, prepared_ctes, split_ctes
 from deskspark.functions.text import clean_text_sql
 from deskspark.sources.tables import table, tickets
 
+PREP = prepared_ctes()
+SPLIT = split_ctes()
+
 
 def prepared(spark, sf_dir, params=DEFAULT):
     return P.prepared_tickets(tickets(spark, sf_dir), params)
@@ -20,11 +24,150 @@ def prepared_split(spark, sf_dir, params=DEFAULT):
     return P.split(prepared(spark, sf_dir, params), params)
 
 
+def train_rows(spark, sf_dir, params=DEFAULT):
+    return prepared_split(spark, sf_dir, params).filter(F.col("split") == "train")
+
+
 @register("category_distribution", f"""
-WITH {prepared_ctes()}, {split_ctes()}
+WITH {PREP}, {SPLIT}
 SELECT split, topic_group, topic_encoded, CAST(count(*) AS BIGINT) AS n
 FROM sp GROUP BY split, topic_group, topic_encoded""")
 def category_distribution(spark, sf_dir):
     """Flagship: prepared tickets -> stratified split -> class counts per split."""
     sp = prepared_split(spark, sf_dir)
     return sp.groupBy("split", "topic_group", "topic_encoded").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("ticket_scan", "SELECT doc_id, text AS document, lang AS topic_group FROM documents")
+def ticket_scan(spark, sf_dir):
+    """Ticket rows bound to the documents table."""
+    return tickets(spark, sf_dir)
+
+
+@register("drop_incomplete", """
+SELECT doc_id, lang AS topic_group FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL""")
+def drop_incomplete(spark, sf_dir):
+    """P1."""
+    return P.drop_incomplete(tickets(spark, sf_dir)).select("doc_id", "topic_group")
+
+
+@register("clean_text", f"SELECT doc_id, {clean_text_sql('text')} AS document_clean FROM documents")
+def clean_text_q(spark, sf_dir):
+    """Cleaned text of every document."""
+    return P.with_clean_text(tickets(spark, sf_dir)).select("doc_id", "document_clean")
+
+
+@register("min_length_filter", f"""
+WITH {PREP} SELECT doc_id, document_clean FROM lf""")
+def min_length_filter(spark, sf_dir):
+    """P3."""
+    df = P.with_clean_text(P.drop_incomplete(tickets(spark, sf_dir)))
+    return P.min_length(df).select("doc_id", "document_clean")
+
+
+@register("dedup_first", f"""
+WITH {PREP} SELECT doc_id, document_clean FROM dd""")
+def dedup_first(spark, sf_dir):
+    """First row per cleaned text."""
+    df = P.min_length(P.with_clean_text(P.drop_incomplete(tickets(spark, sf_dir))))
+    return P.dedup_first(df).select("doc_id", "document_clean")
+
+
+_STOP = stopwords.sql_list()
+
+
+@register("stopword_removal", f"""
+WITH {PREP}
+SELECT doc_id, array_to_string(list_filter(string_split(document_clean, ' '),
+       lambda t: t <> '' AND NOT list_contains([{_STOP}], t)), ' ') AS document_clean FROM dd""")
+def stopword_removal(spark, sf_dir):
+    """P5: prepared text with English stop words removed."""
+    df = P.dedup_first(P.min_length(P.with_clean_text(P.drop_incomplete(tickets(spark, sf_dir)))))
+    return P.remove_stopwords(df).select("doc_id", "document_clean")
+
+
+@register("label_dictionary", f"WITH {PREP} SELECT topic_encoded, topic_group FROM lab")
+def label_dictionary(spark, sf_dir):
+    """P6 fit."""
+    df = P.dedup_first(P.min_length(P.with_clean_text(P.drop_incomplete(tickets(spark, sf_dir)))))
+    return P.label_dictionary(df)
+
+
+@register("label_roundtrip", f"""
+WITH {PREP}
+SELECT e.doc_id, e.topic_encoded, l.topic_group AS topic_decoded
+FROM enc e LEFT JOIN lab l ON e.topic_encoded = l.topic_encoded""")
+def label_roundtrip(spark, sf_dir):
+    """P6 transform + P7 decode."""
+    df = P.dedup_first(P.min_length(P.with_clean_text(P.drop_incomplete(tickets(spark, sf_dir)))))
+    labels = P.label_dictionary(df)
+    enc = P.label_encode(df, labels)
+    dec = P.label_decode(enc.withColumn("code", F.col("topic_encoded")), labels, code="code",
+                         out="topic_decoded")
+    return dec.select("doc_id", "topic_encoded", "topic_decoded")
+
+
+@register("class_counts", f"""
+WITH {PREP}
+SELECT topic_encoded, CAST(count(*) AS BIGINT) AS n, min(count(*)) OVER () >= 2 AS can_stratify
+FROM enc GROUP BY topic_encoded""")
+def class_counts(spark, sf_dir):
+    """P8."""
+    return P.class_counts(prepared(spark, sf_dir))
+
+
+@register("stratified_split", f"WITH {PREP}, {SPLIT} SELECT doc_id, topic_encoded, split FROM sp")
+def stratified_split(spark, sf_dir):
+    """P9."""
+    return prepared_split(spark, sf_dir).select("doc_id", "topic_encoded", "split")
+
+
+@register("unstratified_split", f"""
+WITH {PREP},
+nt AS (SELECT CAST(ceil(count(*) * {DEFAULT.test_fraction}) AS BIGINT) AS q FROM enc),
+rk AS (SELECT doc_id, row_number() OVER (ORDER BY {md5_key('doc_id', str(DEFAULT.seed))}, doc_id) AS r FROM enc)
+SELECT doc_id, CASE WHEN r <= (SELECT q FROM nt) THEN 'test' ELSE 'train' END AS split FROM rk""")
+def unstratified_split(spark, sf_dir):
+    """P10: the branch taken when a class has fewer than two rows."""
+    return P.split(prepared(spark, sf_dir), stratify=False).select("doc_id", "split")
+
+
+@register("train_validation_split", f"""
+WITH {PREP}, {SPLIT},
+tr AS (SELECT doc_id FROM sp WHERE split = 'train'),
+nv AS (SELECT CAST(ceil(count(*) * {DEFAULT.validation_fraction}) AS BIGINT) AS q FROM tr),
+rv AS (SELECT doc_id, row_number() OVER (ORDER BY {md5_key('doc_id', str(DEFAULT.seed) + '-validation')}, doc_id) AS r
+       FROM tr)
+SELECT doc_id, CASE WHEN r <= (SELECT q FROM nv) THEN 'validation' ELSE 'train' END AS split FROM rv""")
+def train_validation_split(spark, sf_dir):
+    """P11."""
+    tr = train_rows(spark, sf_dir).drop("split")
+    return P.train_validation_split(tr).select("doc_id", "split")
+
+
+@register("row_funnel", f"""
+WITH {PREP}
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM raw) AS total_samples,
+       (SELECT CAST(count(*) AS BIGINT) FROM raw) - (SELECT CAST(count(*) AS BIGINT) FROM nn) AS removed_missing,
+       (SELECT CAST(count(*) AS BIGINT) FROM nn) - (SELECT CAST(count(*) AS BIGINT) FROM lf) AS removed_short,
+       (SELECT CAST(count(*) AS BIGINT) FROM lf) - (SELECT CAST(count(*) AS BIGINT) FROM dd) AS removed_duplicates,
+       (SELECT CAST(count(*) AS BIGINT) FROM dd) AS final_samples,
+       (SELECT CAST(count(*) AS BIGINT) FROM dd)
+         - CAST(ceil((SELECT count(*) FROM dd) * {DEFAULT.test_fraction}) AS BIGINT) AS train_samples,
+       CAST(ceil((SELECT count(*) FROM dd) * {DEFAULT.test_fraction}) AS BIGINT) AS test_samples""")
+def row_funnel(spark, sf_dir):
+    """P12."""
+    return P.row_funnel(tickets(spark, sf_dir))
+
+
+@register("request_validation", f"""
+SELECT conv_id, turn, CAST(length(text) AS BIGINT) AS n_chars,
+       (text IS NOT NULL AND length(text) BETWEEN {DEFAULT.request_min_chars} AND {DEFAULT.request_max_chars}
+        AND trim(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) <> '') AS agent_ok,
+       (text IS NOT NULL AND length(text) BETWEEN {DEFAULT.request_min_chars} AND {DEFAULT.transformer_max_chars}
+        AND trim(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) <> '') AS transformer_ok
+FROM conversations WHERE role = 'user'""")
+def request_validation(spark, sf_dir):
+    """User turns as requests, checked for both endpoints."""
+    conv = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    return P.validate_requests(conv).select("conv_id", "turn", "n_chars", "agent_ok", "transformer_ok")

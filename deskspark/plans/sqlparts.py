@@ -42,3 +42,39 @@ sp AS (SELECT rk.* EXCLUDE (r_strat, r_all),
               CASE WHEN (CASE WHEN qc.min_n >= 2 THEN r_strat <= qc.quota ELSE r_all <= qc.nt END)
                    THEN 'test' ELSE 'train' END AS split
        FROM rk JOIN qc USING (topic_encoded))"""
+
+
+def words_sql(x: str) -> str:
+    t = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"(CASE WHEN {t} = '' THEN []::VARCHAR[] ELSE string_split({t}, ' ') END)"
+
+
+def raw_len_sql(x: str) -> str:
+    return f"CAST(coalesce(length({x}), 3) AS BIGINT)"
+
+
+def describe_sql(v: str) -> str:
+    return (f"CAST(count({v}) AS BIGINT) AS count, round(avg({v}), 6) AS mean, "
+            f"round(stddev_samp({v}), 6) AS std, round(CAST(min({v}) AS DOUBLE), 6) AS min, "
+            f"round(quantile_cont({v}, 0.25), 6) AS q25, round(quantile_cont({v}, 0.5), 6) AS q50, "
+            f"round(quantile_cont({v}, 0.75), 6) AS q75, round(CAST(max({v}) AS DOUBLE), 6) AS max")
+
+
+def train_features_ctes() -> str:
+    """``tf``: train split rows with the four text features."""
+    w = words_sql("document_clean")
+    return f"""
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+tw AS (SELECT doc_id, topic_group, topic_encoded, document_clean, {w} AS w FROM tr),
+tf AS (SELECT doc_id, topic_group, topic_encoded,
+              CAST(len(w) AS BIGINT) AS word_count,
+              CAST(length(document_clean) AS BIGINT) AS char_count,
+              CASE WHEN len(w) > 0 THEN list_sum(list_transform(w, lambda x: length(x))) / len(w) ELSE 0.0 END
+                AS avg_word_length,
+              CAST(len(list_distinct(w)) AS BIGINT) AS unique_words,
+              CASE WHEN len(w) > 0 THEN len(list_distinct(w)) / len(w) ELSE 0.0 END AS unique_ratio
+       FROM tw),
+tl AS (SELECT topic_group, 'word_count' AS feature, CAST(word_count AS DOUBLE) AS v FROM tf
+       UNION ALL SELECT topic_group, 'char_count', CAST(char_count AS DOUBLE) FROM tf
+       UNION ALL SELECT topic_group, 'avg_word_length', CAST(avg_word_length AS DOUBLE) FROM tf
+       UNION ALL SELECT topic_group, 'unique_ratio', CAST(unique_ratio AS DOUBLE) FROM tf)"""
