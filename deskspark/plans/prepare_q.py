@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from deskspark.config import DEFAULT
 from deskspark.functions import stopwords
 from deskspark.operators import prepare as P
+from deskspark.operators.common import materialize
 from deskspark.plans import register
 from deskspark.plans.sqlparts import md5_key, prepared_ctes, split_ctes
 from deskspark.functions.text import clean_text_sql
@@ -20,8 +21,11 @@ def prepared(spark, sf_dir, params=DEFAULT):
     return P.prepared_tickets(tickets(spark, sf_dir), params)
 
 
-def prepared_split(spark, sf_dir, params=DEFAULT):
-    return P.split(prepared(spark, sf_dir, params), params)
+def prepared_split(spark, sf_dir, params=DEFAULT, reuse=False):
+    """Prepared tickets with their split.  ``reuse=True`` writes the table
+    to the checkpoint folder once, for plans that run several jobs on it."""
+    sp = P.split(prepared(spark, sf_dir, params), params)
+    return materialize(sp) if reuse else sp
 
 
 def train_rows(spark, sf_dir, params=DEFAULT):

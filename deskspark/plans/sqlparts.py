@@ -78,3 +78,63 @@ tl AS (SELECT topic_group, 'word_count' AS feature, CAST(word_count AS DOUBLE) A
        UNION ALL SELECT topic_group, 'char_count', CAST(char_count AS DOUBLE) FROM tf
        UNION ALL SELECT topic_group, 'avg_word_length', CAST(avg_word_length AS DOUBLE) FROM tf
        UNION ALL SELECT topic_group, 'unique_ratio', CAST(unique_ratio AS DOUBLE) FROM tf)"""
+
+
+# --- PII -------------------------------------------------------------------
+
+def pii_count_cols(text: str) -> str:
+    from deskspark.functions.pii import PII_PATTERNS
+
+    return ", ".join(f"CAST(len(regexp_extract_all({text}, '{p}', 0, 'i')) AS BIGINT) AS c{i}"
+                     for i, (_, p) in enumerate(PII_PATTERNS))
+
+
+def pii_details_sql() -> str:
+    from deskspark.functions.pii import PII_PATTERNS
+
+    items = ", ".join(f"CASE WHEN c{i} > 0 THEN '{tag}: ' || c{i} || ' occurrence(s)' END"
+                      for i, (tag, _) in enumerate(PII_PATTERNS))
+    return f"list_filter([{items}], lambda x: x IS NOT NULL)"
+
+
+def pii_scrub_ctes(src: str, ids: str, text: str = "text") -> str:
+    """``pc`` (counts + details) and ``ps`` (scrubbed text) over ``src``."""
+    from deskspark.functions.pii import PII_PATTERNS
+
+    parts = [f"pc AS (SELECT {ids}, {text} AS text, {pii_count_cols(text)} FROM {src})",
+             f"pd AS (SELECT *, {pii_details_sql()} AS details FROM pc)",
+             "s0 AS (SELECT *, text AS scrubbed FROM pd)"]
+    for i, (tag, p) in enumerate(PII_PATTERNS):
+        parts.append(f"s{i + 1} AS (SELECT * REPLACE (CASE WHEN c{i} > 0 THEN regexp_replace(scrubbed, '{p}', "
+                     f"'{tag}', 'gi') ELSE scrubbed END AS scrubbed) FROM s{i})")
+    parts.append(f"ps AS (SELECT * FROM s{len(PII_PATTERNS)})")
+    return ",\n".join(parts)
+
+
+# --- naive Bayes language id ----------------------------------------------
+
+NON_LETTERS = r"[^a-z\x{00df}-\x{00ff}]+"
+
+
+def nb_ctes(train_src: str, target_src: str, ids: str, alpha: float = 1.0) -> str:
+    """``train_src(label, text)``, ``target_src(<ids>, text)`` -> ``nbp(<ids>, language)``."""
+    norm = f"' ' || regexp_replace(lower(text), '{NON_LETTERS}', ' ', 'g') || ' '"
+    on = " AND ".join(f"nv.{c.strip()} = ms.{c.strip()}" for c in ids.split(","))
+    return f"""
+nbt AS (SELECT label, {norm} AS t FROM {train_src}),
+nbg AS (SELECT label, substring(t, i, 3) AS gram FROM (SELECT label, t, unnest(range(1, length(t) - 1)) AS i FROM nbt)),
+nbc AS (SELECT gram, label, count(*) AS c FROM nbg GROUP BY ALL),
+nbl AS (SELECT p.label, ln(p.n_docs / sum(p.n_docs) OVER ()) AS lp,
+               ln(coalesce(t.t, 0) + {alpha} * (SELECT count(DISTINCT gram) FROM nbc)) AS ld
+        FROM (SELECT label, count(*) AS n_docs FROM nbt GROUP BY 1) p
+        LEFT JOIN (SELECT label, sum(c) AS t FROM nbc GROUP BY 1) t USING (label)),
+nbx AS (SELECT {ids}, {norm} AS t FROM {target_src}),
+nbd AS (SELECT {ids}, substring(t, i, 3) AS gram FROM (SELECT {ids}, t, unnest(range(1, length(t) - 1)) AS i FROM nbx)),
+nbv AS (SELECT {ids}, count(*) AS nvc FROM nbd WHERE gram IN (SELECT gram FROM nbc) GROUP BY ALL),
+nbm AS (SELECT {ids}, nbc.label, sum(ln(nbc.c + {alpha}) - ln({alpha})) AS s FROM nbd JOIN nbc USING (gram) GROUP BY ALL),
+nbs AS (SELECT nv.*, l.label, coalesce(ms.s, 0) + nv.nvc * (ln({alpha}) - l.ld) + l.lp AS score
+        FROM nbv nv CROSS JOIN nbl l LEFT JOIN nbm ms ON {on} AND ms.label = l.label),
+nbb AS (SELECT {ids}, label AS language FROM nbs
+        QUALIFY row_number() OVER (PARTITION BY {ids} ORDER BY score DESC, label) = 1),
+nbp AS (SELECT {", ".join("x." + c.strip() for c in ids.split(","))}, coalesce(b.language, 'unknown') AS language
+        FROM nbx x LEFT JOIN nbb b USING ({ids}))"""
