@@ -73,3 +73,23 @@ def quota_split(df: DataFrame, by: list[str], key: str, tie: str, quota: DataFra
     out = decided.unionByName(boundary)
     drop = ["_b", "_full_to", "_bnd", "_resid"] + (["_g"] if not by else [])
     return out.drop(*drop)
+
+
+def exact_row_number(df: DataFrame, by: list[str], order: list[str], bucket: Column,
+                     out: str = "rn") -> DataFrame:
+    """``row_number() over (partition by by order by order)`` without
+    ranking a whole group in one task.
+
+    ``bucket`` must be monotone in ``order`` (e.g. the minute of a
+    timestamp).  Rows are numbered inside ``(group, bucket)`` and shifted by
+    the running count of the earlier buckets, taken from a small
+    ``(group, bucket) -> count`` table.  The join and the window share the
+    ``(group, bucket)`` partitioning, so the rows shuffle once.
+    """
+    x = df.withColumn("_b", bucket)
+    cnt = x.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = cnt.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    y = x.join(off, [*by, "_b"])
+    w2 = Window.partitionBy(*by, "_b").orderBy(*order)
+    return y.withColumn(out, (F.row_number().over(w2) + F.col("_off")).cast("long")).drop("_b", "_off")
