@@ -35,7 +35,7 @@ NO_DECOMPOSITION = {
     "æ": "ae", "ð": "d", "ø": "o", "þ": "th",
     "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ĸ": "q",
     "Ł": "L", "ł": "l", "Ŋ": "NG", "ŋ": "ng", "Œ": "OE", "œ": "oe",
-    "Ŧ": "T", "ŧ": "t", "×": "x", "÷": "/",
+    "Ŧ": "T", "ŧ": "t", "Ŀ": "L", "ŀ": "l", "ŉ": "'n", "×": "x", "÷": "/",
 }
 
 # Latin-1 Supplement and Latin Extended-A
@@ -105,7 +105,7 @@ def transliterate_sql(expr: str) -> str:
     """The same transliteration as DuckDB SQL (used by the oracle)."""
     out = expr
     for src, dst in MULTI_REPLACE:
-        out = f"replace({out}, '{src}', '{dst}')"
+        out = f"replace({out}, '{src}', '{dst.replace(chr(39), chr(39) * 2)}')"
     return f"translate({out}, '{TRANSLATE_FROM}', '{TRANSLATE_TO}')"
 
 
