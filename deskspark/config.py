@@ -6,7 +6,7 @@ re-implemented (preparation, vectoriser, router, monitoring thresholds).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,10 @@ class Params:
     top_terms: int = 10
 
     # --- model -------------------------------------------------------------
-    svm_c: float = 0.4806626099110048
+    # the trainer uses the library default C = 1.0 (the tuned C in the
+    # configuration is never passed to it); callers may pass another C
+    svm_c: float = 1.0
+    tuned_svm_c: float = 0.4806626099110048
     svm_max_iter: int = 2000
     calibration_folds: int = 3
     cv_folds: int = 5
@@ -56,8 +59,6 @@ class Params:
     # a derived table is broadcast only when it has at most this many rows
     broadcast_max_rows: int = 1_000_000
 
-    extra: dict = field(default_factory=dict)
-
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,10 +25,18 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's shared
-    checkpoint folder (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by writing the table once as Parquet under the session's
+    shared checkpoint folder and reading it back (never a local checkpoint).
+
+    The plan runs once; later jobs scan Parquet with column pruning and
+    filter pushdown; a lost executor re-reads files instead of recomputing
+    the upstream plan.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/deskspark-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def order_key(id_col: str, seed: int) -> Column:

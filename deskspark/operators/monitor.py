@@ -100,13 +100,40 @@ def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 min
     nxt = F.lit(first + 1) + F.col("_epoch") * cyc
     own = x.withColumn("_own", F.lit(True))
     carry = x.filter(rn >= nxt - keep).withColumn("_epoch", F.col("_epoch") + 1).withColumn("_own", F.lit(False))
-    both = own.unionByName(carry)
-    w = Window.partitionBy("service", "_epoch").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
-    size = F.when(rn <= first, rn).otherwise(F.lit(cyc) + (rn - first - 1) % cyc)
-    return (both.withColumn("_q", F.percentile("latency", F.array(F.lit(0.95), F.lit(0.99))).over(w))
-            .filter("_own")
-            .select("service", "rn", "ts", size.cast("long").alias("buffer_size"),
-                    F.round(F.col("_q")[0], 9).alias("p95_latency"), F.round(F.col("_q")[1], 9).alias("p99_latency")))
+    both = own.unionByName(carry).select("service", "_epoch", "rn", "ts", "latency", "_own")
+    # every (service, epoch) group holds at most trim_above + 1 + keep rows,
+    # so the per-group pandas function has a proven memory bound
+    return both.groupBy("service", "_epoch").applyInPandas(
+        _buffer_percentiles(first, cyc),
+        "service string, rn long, ts timestamp_ntz, buffer_size long, p95_latency double, p99_latency double")
+
+
+def _linear_percentile(sorted_vals, q):
+    pos = q * (len(sorted_vals) - 1)
+    lo = int(pos)
+    hi = min(lo + 1, len(sorted_vals) - 1)
+    return sorted_vals[lo] + (sorted_vals[hi] - sorted_vals[lo]) * (pos - lo)
+
+
+def _buffer_percentiles(first: int, cyc: int):
+    import bisect
+
+    import pandas as pd
+
+    def run(pdf):
+        pdf = pdf.sort_values("rn", kind="mergesort")
+        buf: list = []
+        out = []
+        for rn, ts, lat, own in zip(pdf["rn"], pdf["ts"], pdf["latency"], pdf["_own"]):
+            bisect.insort(buf, lat)
+            if own:
+                size = rn if rn <= first else cyc + (rn - first - 1) % cyc
+                out.append((rn, ts, size, round(_linear_percentile(buf, 0.95), 9),
+                            round(_linear_percentile(buf, 0.99), 9)))
+        res = pd.DataFrame(out, columns=["rn", "ts", "buffer_size", "p95_latency", "p99_latency"])
+        res.insert(0, "service", pdf["service"].iloc[0] if len(pdf) else None)
+        return res
+    return run
 
 
 def windowed_rate(ev: DataFrame, width: str = DEFAULT.rate_window, seconds: int = 300, by=("service",),

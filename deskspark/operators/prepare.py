@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from deskspark.config import DEFAULT, Params
 from deskspark.functions import stopwords
 from deskspark.functions.text import clean_text
-from deskspark.operators.common import checked_broadcast, order_key, quota_split
+from deskspark.operators.common import checked_broadcast, materialize, order_key, quota_split
 
 REQUIRED = ("document", "topic_group")
 
@@ -127,14 +127,21 @@ def train_validation_split(train: DataFrame, params: Params = DEFAULT, id_col: s
                  salt="-validation", stratify=False, names=("validation", "train"))
 
 
-def prepared_tickets(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """P1-P6 chained: the prepared ticket table (one lazy plan)."""
+def prepared_tickets(raw: DataFrame, params: Params = DEFAULT, write: bool = True) -> DataFrame:
+    """P1-P6 chained: the prepared ticket table.
+
+    With ``write=True`` the cleaned, de-duplicated table is written once to
+    the checkpoint folder: label fitting, the split's count passes and the
+    downstream jobs then scan it instead of re-running the regex cleaning.
+    """
     df = drop_incomplete(raw)
     df = with_clean_text(df)
     df = min_length(df, params.min_text_length)
     df = dedup_first(df)
     if params.remove_stopwords:
         df = remove_stopwords(df)
+    if write:
+        df = materialize(df)
     labels = label_dictionary(df)
     return label_encode(df, labels, params)
 

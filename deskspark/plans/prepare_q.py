@@ -17,8 +17,18 @@ PREP = prepared_ctes()
 SPLIT = split_ctes()
 
 
+_WRITTEN: dict = {}
+
+
 def prepared(spark, sf_dir, params=DEFAULT):
-    return P.prepared_tickets(tickets(spark, sf_dir), params)
+    """Prepared tickets (P1-P6).  The cleaned table is the output of the
+    preparation stage: it is written once per session and data folder and
+    later queries scan the written copy (like the processed files that the
+    training and analysis stages read)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = P.prepared_tickets(tickets(spark, sf_dir), params, write=True)
+    return _WRITTEN[key]
 
 
 def prepared_split(spark, sf_dir, params=DEFAULT, reuse=False):
