@@ -127,10 +127,13 @@ def fit_platt(cal: DataFrame, k: int, folds: int):
     dim = 2 * k * folds
     rows = cal.select("fold", "label", F.posexplode("margins").alias("c", "m"))
     pos = (F.col("label") == F.col("c").cast("double"))
-    n_pos = F.sum(pos.cast("long")).over(Window.partitionBy("fold", "c"))
-    n_all = F.count(F.lit(1)).over(Window.partitionBy("fold", "c"))
+    # class sizes per (fold, class): a grouped count (k * folds rows, so the
+    # broadcast is bounded), not a window over each whole class
+    sizes = rows.groupBy("fold", "c").agg(F.sum(pos.cast("long")).alias("n_pos"), F.count(F.lit(1)).alias("n_all"))
+    rows = rows.join(F.broadcast(sizes), ["fold", "c"])
     # Platt's soft targets
-    t = F.when(pos, (n_pos + 1.0) / (n_pos + 2.0)).otherwise(1.0 / (n_all - n_pos + 2.0))
+    t = F.when(pos, (F.col("n_pos") + 1.0) / (F.col("n_pos") + 2.0)).otherwise(
+        1.0 / (F.col("n_all") - F.col("n_pos") + 2.0))
     rows = rows.withColumn("t", t)
     slot = (F.col("fold") * k + F.col("c")) * 2
 
@@ -155,20 +158,20 @@ def predict_calibrated(fitted, df: DataFrame, labels: list[str] | None = None) -
     ``probabilities`` = array of ``(label, prob)`` sorted descending."""
     feats, models, platt, k = fitted
     x = drop_feature_temps(feats.transform(df))
-    per_fold = []
+    fold_probs = []
     for f, m in enumerate(models):
-        s = margins(m, x, k).select("doc_id", "margins")
-        p = [F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col("margins")[c] + F.lit(b))))
+        # every fold model scores the same rows in turn: no joins
+        x = (m.transform(x).withColumn(f"_m{f}", vector_to_array("rawPrediction"))
+             .drop("rawPrediction", "prediction"))
+        p = [F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(f"_m{f}")[c] + F.lit(b))))
              for c, (a, b) in enumerate(platt[f])]
         z = sum(p[1:], p[0])
-        per_fold.append(s.select("doc_id", F.array(*[pi / z for pi in p]).alias(f"_p{f}")))
-    j = per_fold[0]
-    for pf in per_fold[1:]:
-        j = j.join(pf, "doc_id")
+        x = x.withColumn(f"_p{f}", F.array(*[pi / z for pi in p]))
+        fold_probs.append(f"_p{f}")
     avg = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                      lambda c: sum((F.col(f"_p{f}")[c] for f in range(1, len(models))), F.col("_p0")[c])
+                      lambda c: sum((F.col(c2)[c] for c2 in fold_probs[1:]), F.col(fold_probs[0])[c])
                       / len(models))
-    out = j.select("doc_id", avg.alias("_prob"))
+    out = x.select("doc_id", avg.alias("_prob"))
     return probabilities_table(out, "_prob", labels or [str(i) for i in range(k)])
 
 

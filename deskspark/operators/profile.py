@@ -70,8 +70,17 @@ def length_stats(df: DataFrame, text: str = "document") -> DataFrame:
                   r6(F.stddev_samp(ln)).alias("std"), F.min(ln).alias("min"), F.max(ln).alias("max"))
 
 
-def _describe(col: Column):
-    qs = F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+def _quartiles(col: Column, approx: bool = False) -> Column:
+    """Exact linear-interpolated quartiles; ``approx=True`` switches to
+    ``percentile_approx`` (bounded sketch) for float features whose exact
+    buffer would grow with the number of distinct values."""
+    if approx:
+        return F.percentile_approx(col, [0.25, 0.5, 0.75], 10000).cast("array<double>")
+    return F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+
+
+def _describe(col: Column, approx: bool = False):
+    qs = _quartiles(col, approx)
     return [F.count(col).alias("count"), r6(F.avg(col)).alias("mean"), r6(F.stddev_samp(col)).alias("std"),
             r6(F.min(col).cast("double")).alias("min"), r6(qs[0]).alias("q25"), r6(qs[1]).alias("q50"),
             r6(qs[2]).alias("q75"), r6(F.max(col).cast("double")).alias("max")]
@@ -147,16 +156,16 @@ def _features_long(df: DataFrame, topic: str) -> DataFrame:
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in FEATURES])))
 
 
-def features_by_class(df: DataFrame, topic: str = "topic_group") -> DataFrame:
+def features_by_class(df: DataFrame, topic: str = "topic_group", approx: bool = False) -> DataFrame:
     """describe() of the four E11 features per class (one group-by)."""
-    return _features_long(df, topic).groupBy(topic, "feature").agg(*_describe(F.col("v")))
+    return _features_long(df, topic).groupBy(topic, "feature").agg(*_describe(F.col("v"), approx))
 
 
-def boxplot_stats(df: DataFrame, topic: str = "topic_group", k: float = 1.5) -> DataFrame:
+def boxplot_stats(df: DataFrame, topic: str = "topic_group", k: float = 1.5, approx: bool = False) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per class/feature."""
     long = _features_long(df, topic)
     qs = (long.groupBy(topic, "feature")
-          .agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+          .agg(_quartiles(F.col("v"), approx).alias("_q"))
           .select(topic, "feature", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                   F.col("_q")[2].alias("q3")))
     qs = (qs.withColumn("iqr", F.col("q3") - F.col("q1"))
