@@ -15,7 +15,8 @@ FAST = ["category_counts", "clean_text", "dataset_profile", "dedup_first", "desc
         "pii_scrub", "pii_types", "word_count_rule", "request_counter", "confidence_histogram",
         "latency_histogram", "latency_percentiles", "error_rate", "rolling_latency_buffer",
         "request_rate_5m", "latency_p95_from_histogram", "threshold_alerts", "distribution_alerts",
-        "source_silence", "sla_check", "category_distribution"]
+        "source_silence", "sla_check", "category_distribution", "stream_class_counts_5m",
+        "stream_confidence_histogram"]
 
 SQL = entry.oracle_sql()
 NAMES = sorted(SQL) if os.environ.get("DESKSPARK_FULL_ORACLE") else FAST
