@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
@@ -75,7 +76,7 @@ def drop_feature_temps(df: DataFrame) -> DataFrame:
 
 def svm(params: Params, n_rows: int, label: str = "label") -> OneVsRest:
     base = LinearSVC(featuresCol="features", labelCol=label, maxIter=params.svm_max_iter,
-                     regParam=1.0 / (params.svm_c * max(n_rows, 1)), tol=1e-4)
+                     regParam=1.0 / (params.svm_c * max(n_rows, 1)), tol=1e-4, maxBlockSizeInMB=16.0)
     return OneVsRest(classifier=base, featuresCol="features", labelCol=label, parallelism=4)
 
 
@@ -108,12 +109,16 @@ def fit_calibrated(train: DataFrame, params: Params = DEFAULT, label: str = "top
     x = feats.transform(train).withColumn("label", F.col(label).cast("double")) \
         .withColumn("fold", fold_of(id_col, params.seed, params.calibration_folds))
     x = drop_feature_temps(x).select(id_col, "label", "features", "fold").cache()
-    models, held = [], []
-    for f in range(params.calibration_folds):
+    def fit_fold(f):
         fit_part = x.filter(F.col("fold") != f)
-        m = svm(params, fit_part.count()).fit(fit_part)
-        models.append(m)
-        held.append(margins(m, x.filter(F.col("fold") == f), k).select(id_col, "label", "fold", "margins"))
+        return svm(params, fit_part.count()).fit(fit_part)
+
+    # the fold fits are independent: submit them concurrently (each
+    # iteration is a small job, so scheduling overhead, not CPU, dominates)
+    with ThreadPoolExecutor(max_workers=params.calibration_folds) as pool:
+        models = list(pool.map(fit_fold, range(params.calibration_folds)))
+    held = [margins(m, x.filter(F.col("fold") == f), k).select(id_col, "label", "fold", "margins")
+            for f, m in enumerate(models)]
     cal = held[0]
     for h in held[1:]:
         cal = cal.unionByName(h)
@@ -211,7 +216,7 @@ def cv_weighted_f1(train: DataFrame, params: Params = DEFAULT, label: str = "top
         est = svm(params, int(n * (params.cv_folds - 1) / params.cv_folds))
         ev = MulticlassClassificationEvaluator(metricName="f1", labelCol="label", predictionCol="prediction")
         cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                            numFolds=params.cv_folds, seed=params.seed, parallelism=2)
+                            numFolds=params.cv_folds, seed=params.seed, parallelism=params.cv_folds)
         return float(cv.fit(x).avgMetrics[0])
     except Exception:  # noqa: BLE001 - a failed trial scores 0.0
         return 0.0
