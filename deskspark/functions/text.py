@@ -82,11 +82,24 @@ def clean_text(c: Column, remove_accents: bool = True) -> Column:
     if remove_accents:
         out = transliterate(out)
     out = F.lower(out)
-    for pat in CLEAN_STEPS:
-        out = F.regexp_replace(out, pat, " ")
+    for pat, needles in zip(CLEAN_STEPS, _NEEDLES):
+        step = F.regexp_replace(out, pat, " ")
+        if needles:
+            # exact shortcut: the pattern cannot match without one of these
+            # literals, so the regex runs only on texts that contain one
+            has = None
+            for n in needles:
+                h = F.instr(out, n) > 0
+                has = h if has is None else (has | h)
+            step = F.when(has, step).otherwise(out)
+        out = step
     return F.trim(F.regexp_replace(out, WHITESPACE_RUN, " "))
 
 
+# literal(s) each cleaning pattern needs in order to match (None: always run)
+_NEEDLES = (("http", "www."), ("@",), ("-",), None, None)
+
+
 def words(c: Column) -> Column:
     """Whitespace tokens, like Python ``str.split()`` (empty for blank)."""
     t = F.trim(F.regexp_replace(c, r"\s+", " "))

@@ -31,16 +31,27 @@ def min_length(df: DataFrame, n: int = DEFAULT.min_text_length, col: str = "docu
     return df.filter(F.length(col) >= n)
 
 
-def dedup_first(df: DataFrame, key: str = "document_clean", order: str = "doc_id") -> DataFrame:
+def dedup_first(df: DataFrame, key: str = "document_clean", order: str = "doc_id",
+                min_len: int | None = None) -> DataFrame:
     """One row per ``key``, the one with the smallest ``order``.
 
     Expressed as ``min(struct(order, ...))`` per key, a partial aggregate:
     each map task keeps one row per key before the shuffle, so a key that
     holds a third of the table sends one row per task, not a third of the
     table, to its reducer.
+
+    ``min_len`` fuses P3: the length depends only on the key, so groups
+    are dropped on an aggregate output.  A row filter would be pushed below
+    the projection by the optimiser and evaluate the cleaning expression a
+    second time; the aggregate output cannot be pushed down.
     """
     payload = [order] + [c for c in df.columns if c not in (key, order)]
-    first = df.groupBy(key).agg(F.min(F.struct(*payload)).alias("_first"))
+    aggs = [F.min(F.struct(*payload)).alias("_first")]
+    if min_len is not None:
+        aggs.append(F.max(F.length(key)).alias("_len"))
+    first = df.groupBy(key).agg(*aggs)
+    if min_len is not None:
+        first = first.filter(F.col("_len") >= min_len)
     return first.select(*[F.col(f"_first.{c}").alias(c) for c in payload], key)
 
 
@@ -136,8 +147,7 @@ def prepared_tickets(raw: DataFrame, params: Params = DEFAULT, write: bool = Tru
     """
     df = drop_incomplete(raw)
     df = with_clean_text(df)
-    df = min_length(df, params.min_text_length)
-    df = dedup_first(df)
+    df = dedup_first(df, min_len=params.min_text_length)  # P3 + P4 in one aggregate
     if params.remove_stopwords:
         df = remove_stopwords(df)
     if write:

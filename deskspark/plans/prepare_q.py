@@ -83,8 +83,8 @@ def min_length_filter(spark, sf_dir):
 WITH {PREP} SELECT doc_id, document_clean FROM dd""")
 def dedup_first(spark, sf_dir):
     """First row per cleaned text."""
-    df = P.min_length(P.with_clean_text(P.drop_incomplete(tickets(spark, sf_dir))))
-    return P.dedup_first(df).select("doc_id", "document_clean")
+    df = P.with_clean_text(P.drop_incomplete(tickets(spark, sf_dir)))
+    return P.dedup_first(df, min_len=DEFAULT.min_text_length).select("doc_id", "document_clean")
 
 
 _STOP = stopwords.sql_list()
