@@ -17,9 +17,14 @@ def _splits(spark, sf_dir):
     return sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test"), sp
 
 
-def _labels(sp):
-    return [r["topic_group"] for r in sp.select("topic_encoded", "topic_group").distinct()
-            .orderBy("topic_encoded").limit(DEFAULT.broadcast_max_rows).collect()]
+def _labels(sp, max_labels: int = 1000):
+    """Class names by code; the list is the model's label set, so it is
+    checked to be small instead of being cut."""
+    rows = (sp.select("topic_encoded", "topic_group").distinct().orderBy("topic_encoded")
+            .limit(max_labels + 1).collect())
+    if len(rows) > max_labels:
+        raise ValueError(f"more than {max_labels} classes")
+    return [r["topic_group"] for r in rows]
 
 
 @register("model_training")
