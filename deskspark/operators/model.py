@@ -72,11 +72,20 @@ def drop_feature_temps(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
+def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = 500_000) -> DataFrame:
+    """Iterative solvers run one job per iteration over every partition:
+    merge partitions (no shuffle) down to about ``rows_per_partition`` rows
+    each; large inputs keep one partition per that many rows."""
+    want = max(1, -(-n_rows // rows_per_partition))
+    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+
+
 # --------------------------------------------------------------------------- M1
 
 def svm(params: Params, n_rows: int, label: str = "label") -> OneVsRest:
     base = LinearSVC(featuresCol="features", labelCol=label, maxIter=params.svm_max_iter,
-                     regParam=1.0 / (params.svm_c * max(n_rows, 1)), tol=1e-4, maxBlockSizeInMB=16.0)
+                     regParam=1.0 / (params.svm_c * max(n_rows, 1)), tol=params.svm_tol,
+                     maxBlockSizeInMB=16.0)
     return OneVsRest(classifier=base, featuresCol="features", labelCol=label, parallelism=4)
 
 
@@ -84,7 +93,8 @@ def train_svm(train: DataFrame, params: Params = DEFAULT, label: str = "topic_en
     """M1: returns ``(features_model, ovr_model)``."""
     feats = fit_features(train, params)
     x = feats.transform(train).withColumn("label", F.col(label).cast("double"))
-    ovr = svm(params, x.count()).fit(x)
+    n = x.count()
+    ovr = svm(params, n).fit(right_size(x, n))
     return feats, ovr
 
 
@@ -108,7 +118,8 @@ def fit_calibrated(train: DataFrame, params: Params = DEFAULT, label: str = "top
     feats = fit_features(train, params)
     x = feats.transform(train).withColumn("label", F.col(label).cast("double")) \
         .withColumn("fold", fold_of(id_col, params.seed, params.calibration_folds))
-    x = drop_feature_temps(x).select(id_col, "label", "features", "fold").cache()
+    x = drop_feature_temps(x).select(id_col, "label", "features", "fold")
+    x = right_size(x, train.count()).cache()
     def fit_fold(f):
         fit_part = x.filter(F.col("fold") != f)
         return svm(params, fit_part.count()).fit(fit_part)
@@ -122,12 +133,12 @@ def fit_calibrated(train: DataFrame, params: Params = DEFAULT, label: str = "top
     cal = held[0]
     for h in held[1:]:
         cal = cal.unionByName(h)
-    platt = fit_platt(cal, k, params.calibration_folds)
+    platt = fit_platt(cal, k, params.calibration_folds, params.platt_tol)
     x.unpersist()
     return feats, models, platt, k
 
 
-def fit_platt(cal: DataFrame, k: int, folds: int):
+def fit_platt(cal: DataFrame, k: int, folds: int, tol: float = DEFAULT.platt_tol):
     """All (fold, class) Platt fits in one logistic regression (see module doc)."""
     dim = 2 * k * folds
     rows = cal.select("fold", "label", F.posexplode("margins").alias("c", "m"))
@@ -150,8 +161,9 @@ def fit_platt(cal: DataFrame, k: int, folds: int):
     feats = rows.withColumn("features", array_to_vector(vec))
     both = (feats.select("features", F.lit(1.0).alias("y"), F.col("t").alias("w"))
             .unionByName(feats.select("features", F.lit(0.0).alias("y"), (1.0 - F.col("t")).alias("w"))))
+    both = right_size(both, 2 * cal.count() * k)
     lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", fitIntercept=False,
-                            regParam=0.0, maxIter=200, tol=1e-9, standardization=False)
+                            regParam=0.0, maxIter=200, tol=tol, standardization=False)
     coef = lr.fit(both).coefficients.toArray()
     return [[(float(coef[(f * k + c) * 2]), float(coef[(f * k + c) * 2 + 1])) for c in range(k)]
             for f in range(folds)]
