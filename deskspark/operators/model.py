@@ -225,6 +225,7 @@ def cv_weighted_f1(train: DataFrame, params: Params = DEFAULT, label: str = "top
         feats = fit_features(train, params)
         x = drop_feature_temps(feats.transform(train)).withColumn("label", F.col(label).cast("double"))
         n = x.count()
+        x = right_size(x, n)
         est = svm(params, int(n * (params.cv_folds - 1) / params.cv_folds))
         ev = MulticlassClassificationEvaluator(metricName="f1", labelCol="label", predictionCol="prediction")
         cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
