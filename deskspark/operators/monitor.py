@@ -78,7 +78,7 @@ def error_rate(ev: DataFrame, by=("service",)) -> DataFrame:
         .withColumn("error_rate", F.round(F.try_divide(F.col("errors") * 100.0, F.col("successes")), 6))
 
 
-def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 minute") -> DataFrame:
+def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 second") -> DataFrame:
     """P95 / P99 after every prediction over the in-memory buffer that
     keeps everything up to ``trim_above + 1`` rows and is then cut to the
     last ``keep`` rows.
