@@ -20,21 +20,21 @@ SPLIT = split_ctes()
 _WRITTEN: dict = {}
 
 
-def prepared(spark, sf_dir, params=DEFAULT):
+def prepared(spark, sf_dir, params=DEFAULT, topic="lang"):
     """Prepared tickets (P1-P6).  The cleaned table is the output of the
     preparation stage: it is written once per session and data folder and
     later queries scan the written copy (like the processed files that the
     training and analysis stages read)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params, topic)
     if key not in _WRITTEN:
-        _WRITTEN[key] = P.prepared_tickets(tickets(spark, sf_dir), params, write=True)
+        _WRITTEN[key] = P.prepared_tickets(tickets(spark, sf_dir, topic), params, write=True)
     return _WRITTEN[key]
 
 
-def prepared_split(spark, sf_dir, params=DEFAULT, reuse=False):
+def prepared_split(spark, sf_dir, params=DEFAULT, reuse=False, topic="lang"):
     """Prepared tickets with their split.  ``reuse=True`` writes the table
     to the checkpoint folder once, for plans that run several jobs on it."""
-    sp = P.split(prepared(spark, sf_dir, params), params)
+    sp = P.split(prepared(spark, sf_dir, params, topic), params)
     return materialize(sp) if reuse else sp
 
 
@@ -52,6 +52,16 @@ def category_distribution(spark, sf_dir):
     return sp.groupBy("split", "topic_group", "topic_encoded").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("category_distribution_by_source", f"""
+WITH {prepared_ctes(topic="source")}, {SPLIT}
+SELECT split, topic_group, topic_encoded, CAST(count(*) AS BIGINT) AS n
+FROM sp GROUP BY split, topic_group, topic_encoded""")
+def category_distribution_by_source(spark, sf_dir):
+    """The flagship with the 20-class ``source`` label."""
+    sp = prepared_split(spark, sf_dir, topic="source")
+    return sp.groupBy("split", "topic_group", "topic_encoded").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("ticket_scan", "SELECT doc_id, text AS document, lang AS topic_group FROM documents")
 def ticket_scan(spark, sf_dir):
     """Ticket rows bound to the documents table."""
