@@ -48,11 +48,15 @@ def downstream_status(agent_ok: Column, model: Column, text: Column, params: Par
 
 
 def route(df: DataFrame, fitted_langid, text: str = "text", id_col: str = "request_id",
-          complexity: Column | None = None, params: Params = DEFAULT) -> DataFrame:
-    """Validate, scrub, detect language, count words, choose the model."""
+          complexity: Column | None = None, params: Params = DEFAULT,
+          with_probabilities: bool = False) -> DataFrame:
+    """Validate, scrub, detect language, count words, choose the model.
+    ``with_probabilities`` keeps the language model's class probabilities
+    (used when that model is also the ticket classifier)."""
     x = P.validate_requests(df, text, params)
     x = pii.types(pii.scrub(pii.detect(x, text), text))
-    x = langid.predict(fitted_langid, x, "scrubbed_text", id_col, out="language")
+    x = langid.predict(fitted_langid, x, "scrubbed_text", id_col, out="language",
+                       with_probabilities=with_probabilities)
     x = x.withColumn("word_count", word_count(F.col("scrubbed_text")))
     x = x.withColumn("complexity", normalize_complexity(complexity, params))
     x = x.withColumn("model_used", choose_model(F.col("language"), F.col("word_count"), F.col("complexity"), params))

@@ -143,12 +143,11 @@ def request_scoring(spark, sf_dir):
     """Validate -> scrub -> route -> predict -> response rows.  The
     predictor is the trigram model over the ticket topic (= language in the
     driver binding); probabilities are a softmax over its class scores."""
-    fitted = fitted_langid(spark, sf_dir)
-    r = routed(spark, sf_dir)
-    preds = langid.predict(fitted, r.select("conv_id", "turn", "scrubbed_text"), "scrubbed_text",
-                           ["conv_id", "turn"], out="predicted_class", with_probabilities=True)
-    preds = preds.select("conv_id", "turn", "predicted_class", "confidence", "probabilities")
-    ok = r.filter(F.col("status") == 200)
-    return ok.join(preds, ["conv_id", "turn"], "left").select(
+    r = R.route(requests(spark, sf_dir), fitted_langid(spark, sf_dir), id_col=["conv_id", "turn"],
+                with_probabilities=True)
+    # the topic is the language in this binding, so the routing model's
+    # scores are the prediction: one pass, no second scoring join
+    ok = r.filter(F.col("status") == 200).withColumn("predicted_class", F.col("language"))
+    return ok.select(
         "conv_id", "turn", "predicted_class", "confidence", "model_used", "pii_detected", "pii_details",
         "routing_explanation", F.struct("predicted_class", "confidence", "probabilities").alias("prediction_details"))

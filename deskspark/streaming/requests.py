@@ -8,20 +8,15 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.operators import langid
 from deskspark.operators import routing as R
 from deskspark.session import ensure_checkpoint_dir
 
 
 def score_batch(batch: DataFrame, fitted) -> DataFrame:
-    r = R.route(batch, fitted, id_col=["conv_id", "turn"])
-    preds = langid.predict(fitted, r.select("conv_id", "turn", "scrubbed_text"), "scrubbed_text",
-                           ["conv_id", "turn"], out="predicted_class", with_probabilities=True)
-    ok = r.filter(F.col("status") == 200)
-    return ok.join(preds.select("conv_id", "turn", "predicted_class", "confidence", "probabilities"),
-                   ["conv_id", "turn"], "left").select(
-        "conv_id", "turn", "predicted_class", "confidence", "model_used", "pii_detected", "pii_details",
-        F.to_json("routing_explanation").alias("routing_explanation"), "status")
+    r = R.route(batch, fitted, id_col=["conv_id", "turn"], with_probabilities=True)
+    ok = r.filter(F.col("status") == 200).withColumn("predicted_class", F.col("language"))
+    return ok.select("conv_id", "turn", "predicted_class", "confidence", "model_used", "pii_detected",
+                     "pii_details", F.to_json("routing_explanation").alias("routing_explanation"), "status")
 
 
 def serve(requests: DataFrame, fitted, name: str = "responses") -> DataFrame:
