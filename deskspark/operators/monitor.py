@@ -253,7 +253,8 @@ def source_silence(ev: DataFrame, gap_seconds: int = 60) -> DataFrame:
 
 def consistency(pred: DataFrame, text: str = "text", p: str = "p") -> DataFrame:
     """Identical texts must get one class."""
-    g = pred.groupBy(text).agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(p).alias("_k"))
+    # keyed by a 32-byte digest of the text, not the text itself
+    g = pred.groupBy(F.sha2(F.col(text), 256)).agg(F.count(F.lit(1)).alias("_n"), F.count_distinct(p).alias("_k"))
     g = g.filter(F.col("_n") > 1)
     return g.agg(F.count(F.lit(1)).alias("repeated_texts"), F.count_if(F.col("_k") == 1).alias("consistent"),
                  F.round(F.try_divide(F.count_if(F.col("_k") == 1) * 100.0, F.count(F.lit(1))), 6)

@@ -44,15 +44,18 @@ def dedup_first(df: DataFrame, key: str = "document_clean", order: str = "doc_id
     are dropped on an aggregate output.  A row filter would be pushed below
     the projection by the optimiser and evaluate the cleaning expression a
     second time; the aggregate output cannot be pushed down.
+
+    The group key is ``sha2(key, 256)``: 32 bytes to sort and hash instead
+    of a whole text (the text itself travels in the payload).
     """
-    payload = [order] + [c for c in df.columns if c not in (key, order)]
+    payload = [order] + [c for c in df.columns if c != order]
     aggs = [F.min(F.struct(*payload)).alias("_first")]
     if min_len is not None:
         aggs.append(F.max(F.length(key)).alias("_len"))
-    first = df.groupBy(key).agg(*aggs)
+    first = df.groupBy(F.sha2(F.col(key), 256).alias("_k")).agg(*aggs)
     if min_len is not None:
         first = first.filter(F.col("_len") >= min_len)
-    return first.select(*[F.col(f"_first.{c}").alias(c) for c in payload], key)
+    return first.select(*[F.col(f"_first.{c}").alias(c) for c in payload])
 
 
 def remove_stopwords(df: DataFrame, col: str = "document_clean", words=None) -> DataFrame:
@@ -167,7 +170,7 @@ def row_funnel(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
         F.count_if(~F.col("_ok")).alias("removed_missing"),
         F.count_if(F.col("_ok") & ~F.col("_long")).alias("removed_short"),
         F.count_if(F.col("_long")).alias("_kept"),
-        F.count_distinct(F.when(F.col("_long"), F.col("_clean"))).alias("final_samples"))
+        F.count_distinct(F.when(F.col("_long"), F.sha2(F.col("_clean"), 256))).alias("final_samples"))
     frac = params.test_fraction
     return agg.select(
         "total_samples", "removed_missing", "removed_short",
