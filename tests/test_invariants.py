@@ -59,3 +59,16 @@ def test_required_columns(spark):
 
     with pytest.raises(ValueError):
         require_columns(spark.createDataFrame([("x",)], "Document string"))
+
+
+def test_approx_quartiles_close_to_exact(spark):
+    from deskspark.operators import profile as E
+
+    feats = E.text_features(prepare_q.train_rows(spark, SF001))
+    exact = {(r["topic_group"], r["feature"]): r for r in E.features_by_class(feats).collect()}
+    approx = {(r["topic_group"], r["feature"]): r for r in E.features_by_class(feats, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k, r in exact.items():
+        assert approx[k]["count"] == r["count"]
+        lo, hi = r["min"], r["max"]
+        assert lo <= approx[k]["q50"] <= hi
