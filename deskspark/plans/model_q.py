@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskspark.config import DEFAULT
 from deskspark.operators import model as M
 from deskspark.operators import prepare as P
 from deskspark.plans import register

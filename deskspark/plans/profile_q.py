@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from deskspark.operators import prepare as P
 from deskspark.operators import profile as E
 from deskspark.plans import register
 from deskspark.plans.prepare_q import PREP, SPLIT, train_rows

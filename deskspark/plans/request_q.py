@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from deskspark.config import DEFAULT
 from deskspark.functions.text import word_count
 from deskspark.operators import langid, pii
-from deskspark.operators import prepare as P
 from deskspark.operators import routing as R
 from deskspark.plans import register
 from deskspark.plans.prepare_q import PREP, SPLIT, prepared_split
