@@ -8,7 +8,7 @@ from deskspark.operators import evaluate as V
 from deskspark.operators import langid
 from deskspark.plans import register
 from deskspark.plans.prepare_q import PREP, SPLIT, prepared_split
-from deskspark.plans.request_q import TRAIN_SRC
+from deskspark.plans.request_q import TRAIN_SRC, fitted_langid
 from deskspark.plans.sqlparts import nb_ctes
 
 ALL_SRC = "(SELECT doc_id, document AS text FROM sp)"
@@ -30,8 +30,7 @@ pcf AS (SELECT *, coalesce(CASE WHEN precision + recall > 0 THEN 2 * precision *
 def predictions(spark, sf_dir, text="document"):
     """``(doc_id, split, y, p)`` for every prepared ticket."""
     sp = prepared_split(spark, sf_dir, reuse=True)
-    fitted = langid.fit(sp.filter(F.col("split") == "train"), text="document", label="topic_group")
-    pr = langid.predict(fitted, sp, text, "doc_id", out="p", with_probabilities=True)
+    pr = langid.predict(fitted_langid(spark, sf_dir), sp, text, "doc_id", out="p", with_probabilities=True)
     return pr.select("doc_id", "split", F.col("topic_group").alias("y"), "p", "confidence", "probabilities")
 
 
@@ -101,7 +100,7 @@ FROM j""")
 def model_comparison(spark, sf_dir):
     """V6: the trigram model on raw text (a) vs on cleaned text (b), test split."""
     sp = prepared_split(spark, sf_dir, reuse=True)
-    fitted = langid.fit(sp.filter(F.col("split") == "train"), text="document", label="topic_group")
+    fitted = fitted_langid(spark, sf_dir)
     test = sp.filter(F.col("split") == "test")
     a = langid.predict(fitted, test, "document", "doc_id", out="p").select("doc_id", F.col("topic_group").alias("y"), "p")
     b = langid.predict(fitted, test, "document_clean", "doc_id", out="p").select("doc_id", "p")

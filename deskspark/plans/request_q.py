@@ -56,10 +56,18 @@ def pii_types(spark, sf_dir):
     return d.select("doc_id", F.array_join("pii_types", ",").alias("pii_types"))
 
 
+_FITTED: dict = {}
+
+
 def fitted_langid(spark, sf_dir):
-    """G5 model, trained on the training split of the prepared tickets."""
-    train = prepared_split(spark, sf_dir, reuse=True).filter(F.col("split") == "train")
-    return langid.fit(train, text="document", label="topic_group")
+    """G5 model, trained on the training split of the prepared tickets;
+    fitted once per session and data folder and shared by the queries
+    that score with it (as one loaded model serves every request)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FITTED:
+        train = prepared_split(spark, sf_dir, reuse=True).filter(F.col("split") == "train")
+        _FITTED[key] = langid.fit(train, text="document", label="topic_group")
+    return _FITTED[key]
 
 
 TRAIN_SRC = "(SELECT topic_group AS label, document AS text FROM sp WHERE split = 'train')"
