@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from deskspark.llm import mixing
+from deskspark.llm import license_scan, mixing, quality_rules
 
 REGISTRY = {
     "op5_source_mix": (mixing.op5_source_mix, mixing.SQL),
+    "op7_license_scan": (license_scan.op7_license_scan, license_scan.oracle()),
+    "op10_quality_rules": (quality_rules.op10_quality_rules, None),
 }
