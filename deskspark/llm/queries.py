@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from deskspark.llm import decontam, license_scan, mixing, near_dup, quality_rules
+from deskspark.llm import decontam, hmm, license_scan, mixing, near_dup, quality_rules, secret_scan
 
 REGISTRY = {
     "op1_decontamination": (decontam.op1_decontamination, decontam.SQL),
+    "op2_hmm_score": (hmm.op2_hmm_score, None),
+    "op3_secret_scan": (secret_scan.op3_secret_scan, None),
     "op5_source_mix": (mixing.op5_source_mix, mixing.SQL),
     "op6_near_dup": (near_dup.op6_near_dup, None),
     "op7_license_scan": (license_scan.op7_license_scan, license_scan.oracle()),
