@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 
 
+def ship(module: str) -> None:
+    """Send this module's functions to the executors by value, so that they need not be able to import the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+ship(__name__)
+
+
+def shared(spark: SparkSession, value):
+    """Broadcast the attributes of ``value`` (arrays, lists, dicts) without its class."""
+    return spark.sparkContext.broadcast(SimpleNamespace(**vars(value)))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

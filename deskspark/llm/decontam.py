@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskspark.llm.common import LOWER, UPPER, fresh, raw_texts, read, require, slices
+from deskspark.llm.common import LOWER, UPPER, fresh, raw_texts, read, require, shared, ship, slices
+
+ship(__name__)
 
 WINDOW = 10
 BLOCK_CHARS = 8 << 20
@@ -232,7 +234,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_char
 
     result = docs
     for k, block in enumerate(benchmark_blocks(benchmark, window, block_chars)):
-        result = result.mapInArrow(step(spark.sparkContext.broadcast(block), k == 0), schema)
+        result = result.mapInArrow(step(shared(spark, block), k == 0), schema)
     return result, state
 
 

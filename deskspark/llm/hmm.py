@@ -25,9 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import coded_words, raw_texts, read, require, slices
+from deskspark.llm.common import coded_words, raw_texts, read, require, shared, ship, slices
 from deskspark.operators.common import materialize
 
+ship(__name__)
+
 SEGMENT, CHUNK, CLASSES, COUNTER_MAX = 256, 1 << 18, 64, 300_000
 
 
@@ -82,16 +84,17 @@ class Lexicon:
         self.unigram[:self.n_own] = self.counts[self.symbol >= 0]
         self.unigram[self.n_own:self.end], self.unigram[self.end] = class_tokens, end_count
 
-    def look_up(self, words: list[bytes]):
-        """Symbol and count (-1: not in the table) of distinct words."""
-        h = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-        at = np.minimum(np.searchsorted(self.hashes, h), max(len(self.hashes) - 1, 0))
-        found = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
-        count = np.where(found, self.counts[at] if len(self.hashes) else 0, -1)
-        symbol = np.where(found, self.symbol[at] if len(self.hashes) else -1, -1)
-        for i in np.flatnonzero(symbol < 0).tolist():
-            symbol[i] = self.n_own + word_class(words[i])
-        return symbol.astype(np.uint16), count
+
+def look_up(lex, words: list[bytes]):
+    """Symbol and count (-1: not in the table) of distinct words."""
+    h = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    at = np.minimum(np.searchsorted(lex.hashes, h), max(len(lex.hashes) - 1, 0))
+    found = lex.hashes[at] == h if len(lex.hashes) else np.zeros(len(h), bool)
+    count = np.where(found, lex.counts[at] if len(lex.hashes) else 0, -1)
+    symbol = np.where(found, lex.symbol[at] if len(lex.hashes) else -1, -1)
+    for i in np.flatnonzero(symbol < 0).tolist():
+        symbol[i] = lex.n_own + word_class(words[i])
+    return symbol.astype(np.uint16), count
 
 
 def word_class(word: bytes) -> int:
@@ -122,7 +125,7 @@ def _encode(lex):
     def run(batches):
         for batch in slices(batches, "text"):
             ids, ends, distinct = coded_words(raw_texts(batch, "text"))
-            symbol, count = lex.value.look_up(distinct)
+            symbol, count = look_up(lex.value, distinct)
             logs, known = np.log10(np.maximum(count, 0) + 1.0), count > 0
             classed = symbol >= lex.value.n_own
             columns, begin = ([], [], [], [], [], []), 0
@@ -234,8 +237,8 @@ def baum_welch(symbols: DataFrame, unigram: np.ndarray, states: int, rounds: int
     model, size = Model.first(unigram, states, seed), len(unigram)
     names = [f"s{j}" for j in range(states)]
     for _ in range(rounds):
-        shared = symbols.sparkSession.sparkContext.broadcast(model)
-        sums = (symbols.mapInArrow(_e_step(shared), "at int, " + ", ".join(f"{n} double" for n in names))
+        current = shared(symbols.sparkSession, model)
+        sums = (symbols.mapInArrow(_e_step(current), "at int, " + ", ".join(f"{n} double" for n in names))
                 .groupBy("at").agg(*[F.sum(n).alias(n) for n in names]).toPandas())
         rows = np.zeros((size + states + 3, states))
         rows[sums["at"].to_numpy(int)] = sums[names].to_numpy(float)
@@ -290,14 +293,14 @@ def hmm_scores(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text"
     counts = materialize(word_counts(narrow.filter("NOT held_out")))
     lex, least, n, v = lexicon(counts, symbols, known)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(lex)
+    known_words = shared(spark, lex)
     kind = dict(narrow.dtypes)["doc_id"]
     encoded = materialize(narrow.mapInArrow(
-        _encode(shared), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, class_logs double, "
+        _encode(known_words), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, class_logs double, "
         "symbols binary, rare array<string>").withColumn("row", F.monotonically_increasing_id()))
-    model = spark.sparkContext.broadcast(baum_welch(encoded.filter("NOT held_out").select("symbols"), lex.unigram, states, rounds, seed))
+    model = shared(spark, baum_welch(encoded.filter("NOT held_out").select("symbols"), lex.unigram, states, rounds, seed))
     scored = encoded.drop("rare").mapInArrow(
-        _score(model, shared), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, class_logs double, row long, hmm double")
+        _score(model, known_words), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, class_logs double, row long, hmm double")
     # counts of the words that are not in the table
     rare = encoded.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
     seen = rare.join(counts.filter(f"c < {least}"), "word").groupBy("row").agg(
