@@ -22,6 +22,10 @@ from deskspark.llm.common import ascii_lower, fresh, let, read, require
 from deskspark.operators.common import materialize
 
 
+#: Tasks that fit the bounded sample.
+FIT_TASKS = 2
+
+
 def text_tokens(text: Column) -> Column:
     """Words (letters) and runs of other symbols, A-Z lower-cased."""
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(r"\p{L}+|[^\p{L}\x20\x09-\x0D]+"), F.lit(0))
@@ -49,7 +53,7 @@ def view_features(meta: list[str], vocabulary: int):
 
 
 def cotrain(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", meta: tuple[str, ...] = ("source", "lang"),
-            max_labelled: int = 20_000, max_pool: int = 20_000, rounds: int = 2, sure: float = 0.95, vocabulary: int = 1 << 15,
+            max_labelled: int = 20_000, max_pool: int = 20_000, rounds: int = 2, sure: float = 0.95, vocabulary: int = 1 << 14,
             threshold: float = 0.5):
     """Fit on the labelled rows and return (score, fitted): a function that adds the columns p_text, p_meta and p_bad to a
     table with the columns of ``docs``; None if the labelled rows have one class only (then nothing can be learned)."""
@@ -71,21 +75,23 @@ def cotrain(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
         return out.withColumns({f"m{i}": F.get("m", F.lit(i)) for i in range(len(meta))})
 
     fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id").cast("string")), F.lit(4))
-    sample = materialize(prepared(rows).withColumn("held", F.col("bad").isNotNull() & (fold == 0)).repartition(8, "doc_id"))
+    sample = materialize(prepared(rows).withColumn("held", F.col("bad").isNotNull() & (fold == 0)))
     classes = sample.filter("bad IS NOT NULL").groupBy("held").agg(F.countDistinct("bad").alias("k")).filter("k = 2").count()
     if classes < 2:
         return None
     features = view_features(meta, vocabulary).fit(sample)
-    sample = materialize(features.transform(sample).select("doc_id", "bad", "held", "text_view", "meta_view"))
+    # the sample is bounded: few partitions spare the solver's shuffles
+    sample = materialize(features.transform(sample).select("doc_id", "bad", "held", "text_view", "meta_view")).coalesce(FIT_TASKS)
 
-    def fit(train, view):
+    def fit(train, view, iterations):
         return LogisticRegression(featuresCol=view, labelCol="y", probabilityCol=f"p_{view}", rawPredictionCol=f"r_{view}", predictionCol=f"c_{view}",
-                                  maxIter=40, regParam=0.002, tol=1e-5).fit(train)
+                                  maxIter=iterations, regParam=0.0003, tol=1e-4, standardization=False).fit(train)
 
     seen = {v: sample.filter("bad IS NOT NULL AND NOT held").withColumn("y", F.col("bad")) for v in ("text_view", "meta_view")}
     pool, models = sample.filter("bad IS NULL"), {}
     for k in range(rounds + 1):
-        models = {v: fit(seen[v].persist(), v) for v in seen}
+        seen = {v: rows.coalesce(FIT_TASKS).persist() for v, rows in seen.items()}
+        models = {v: fit(seen[v], v, 20 if k == rounds else 10) for v in seen}
         if k == rounds:
             break
         scored = pool
@@ -108,7 +114,7 @@ def cotrain(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
             df = m.transform(df)
         return df.withColumns({"z_text": vector_to_array("r_text_view")[1], "z_meta": vector_to_array("r_meta_view")[1]})
 
-    held = materialize(logits(sample.filter("held")).select(F.col("bad").alias("y"), "z_text", "z_meta"))
+    held = materialize(logits(sample.filter("held")).select(F.col("bad").alias("y"), "z_text", "z_meta")).coalesce(1).persist()
 
     def calibrated(inputs):
         at = VectorAssembler(inputCols=inputs, outputCol="z")
@@ -117,6 +123,8 @@ def cotrain(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
 
     chances = {"p_text": calibrated(["z_text"]), "p_meta": calibrated(["z_meta"]), "p_bad": calibrated(["z_text", "z_meta"])}
 
+    held.unpersist()
+
     def score(df: DataFrame, keep: list[str]) -> DataFrame:
         """``keep`` columns of ``df`` with p_text, p_meta, p_bad and kept; ``df`` has the columns that were fitted on."""
         names = {c: f"k{i}" for i, c in enumerate(keep)}
