@@ -281,7 +281,7 @@ def _score(model, lex):
 
 
 def hmm_scores(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text", states: int = 8, rounds: int = 5,
-               symbols: int = 8192, known: int = 1 << 20, seed: int = 7) -> DataFrame:
+               symbols: int = 8192, known: int = 1 << 18, seed: int = 7) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score and score, learned from the
     rows where ``held_out`` is false.
 
