@@ -1,154 +1,229 @@
 """Quality classifier by co-training.
 
-Two views of a document: its text (words, symbol runs, share of repeated words) and its metadata (source, language, size and
-layout).  A logistic regression per view is fitted on the labelled rows; over some rounds each view labels the rows of
-an unlabelled pool about which it is sure, and these join the other view's training set.  The views are calibrated and
-combined by a logistic regression on labelled rows that neither view was fitted on.
+Two views of a document: its text (hashed words and symbol runs, share of repeated words) and its metadata (source, language,
+size and layout).  A logistic regression per view is fitted on the labelled rows; over some rounds each view labels the
+rows of an unlabelled pool about which it is sure, and these join the other view's training set.  The views are calibrated
+and combined on labelled rows that neither view was fitted on.
 
 Fitting uses bounded samples (``max_labelled`` labelled and ``max_pool`` unlabelled rows, those with the smallest hash of
-doc_id); the fitted model scores every document in one pass without a shuffle.
+doc_id), so it runs as one task over a small table; the driver sees one row, the weights.  They score every document in
+one pass without a shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, FeatureHasher, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import ascii_lower, fresh, let, read, require
+from deskspark.llm.common import fresh, raw_texts, read, require, shared, ship, slices, Ids
 from deskspark.operators.common import materialize
 
+ship(__name__)
+
+TEXT_BITS, META_BITS = 18, 12
+_LETTERS = bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
+_SPACES = b" \t\n\r\x0b\x0c"
+_TO_WORDS = bytes(b if b in _LETTERS else 0x20 for b in range(256))
+_TO_MARKS = bytes(0x20 if b in _LETTERS or b in _SPACES else b for b in range(256))
+
+
+def text_view(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per text the hashed places and values: 1 for each distinct word or symbol run, place 0 has the share of repeated
+    words of more than three bytes, the last place the intercept."""
+    ids, rows = Ids(), []
+    for text in texts:
+        low = text.lower()
+        words = low.translate(_TO_WORDS).split()
+        long = [w for w in words if len(w) > 3]
+        own = set(words)
+        repeated = 1 - len({*long}) / len(long) if long else 0.0
+        own.update(low.translate(_TO_MARKS).split())
+        rows.append((np.fromiter(map(ids.__getitem__, own), np.int64, len(own)), repeated))
+    size = 1 << TEXT_BITS
+    place = np.fromiter((1 + xxhash.xxh64_intdigest(w) % (size - 2) for w in ids), np.int64, len(ids))
+    out = []
+    for own, repeated in rows:
+        at = np.unique(place[own])
+        out.append((np.concatenate([[0], at, [size - 1]]), np.concatenate([[repeated], np.ones(len(at)), [1.0]])))
+    return out
+
+
+def meta_view(text: bytes, values: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed places of the metadata values, then size and layout; the last place is the intercept."""
+    size, n = 1 << META_BITS, max(len(text), 1)
+    lines = text.count(b"\n") + 1
+    upper = len(text) - len(text.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    digits = len(text) - len(text.translate(None, b"0123456789"))
+    marks = len(text) - len(text.translate(None, b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
+    numbers = [np.log1p(len(text)) / 4, np.log1p(lines) / 2, np.log1p(n / lines) / 4, 4 * upper / n, 4 * digits / n, 4 * marks / n]
+    named = [8 + xxhash.xxh64_intdigest(f"{i}={v}") % (size - 9) for i, v in enumerate(values)]
+    return np.array([*range(len(numbers)), *named, size - 1]), np.array([*numbers, *[1.0] * len(named), 1.0])
+
+
+class Rows:
+    """Sparse rows."""
+
+    def __init__(self, places: list, values: list, size: int):
+        self.at, self.value = np.concatenate(places).astype(np.int64), np.concatenate(values).astype(float)
+        self.lengths, self.size = np.array([len(p) for p in places]), size
+        self.begin = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+
+    def dot(self, w):
+        return np.add.reduceat(self.value * w[self.at], self.begin)
+
+    def back(self, r):
+        return np.bincount(self.at, self.value * np.repeat(r, self.lengths), self.size)
+
+
+def logistic(rows, y: np.ndarray, weight: np.ndarray, penalty: float, steps: int) -> np.ndarray:
+    """Weights of an L2-penalised logistic regression by limited-memory BFGS; the last weight is not penalised."""
+    total, scale = weight.sum(), np.append(np.full(rows.size - 1, penalty), 0.0)
+
+    def value(w):
+        z = rows.dot(w)
+        loss = (weight * (np.logaddexp(0, z) - y * z)).sum() / total + (scale * w * w).sum() / 2
+        return loss, rows.back(weight * (1 / (1 + np.exp(-z)) - y)) / total + scale * w
+
+    w, pairs = np.zeros(rows.size), []
+    loss, grad = value(w)
+    for _ in range(steps):
+        q, alphas = grad.copy(), []
+        for s, d, rho in reversed(pairs):
+            alphas.append(rho * (s @ q))
+            q -= alphas[-1] * d
+        q *= (pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1.0
+        for (s, d, rho), a in zip(pairs, reversed(alphas), strict=True):
+            q += s * (a - rho * (d @ q))
+        step, slope = 1.0, grad @ q
+        while True:
+            new = w - step * q
+            new_loss, new_grad = value(new)
+            if new_loss <= loss - 1e-4 * step * slope or step < 1e-8:
+                break
+            step /= 2
+        s, d = new - w, new_grad - grad
+        if new_loss > loss - 1e-9:
+            break
+        w, loss, grad = new, new_loss, new_grad
+        if s @ d > 1e-12:
+            pairs = [*pairs[-9:], (s, d, 1 / (s @ d))]
+    return w
 
-#: Tasks that fit the bounded sample.
-FIT_TASKS = 2
-
-
-def text_tokens(text: Column) -> Column:
-    """Words (letters) and runs of other symbols, A-Z lower-cased."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(r"\p{L}+|[^\p{L}\x20\x09-\x0D]+"), F.lit(0))
 
+class Dense:
+    """Dense rows with an intercept, for the calibration."""
 
-def with_views(df: DataFrame, text: str, meta: list[str]) -> DataFrame:
-    """Working columns of both views; ``text`` itself is dropped."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.regexp_count(t, F.lit(r"[^\n]+")).cast("double")
-    share = lambda p: F.regexp_count(t, F.lit(p)) / F.greatest(F.length(t), F.lit(1))
-    return df.withColumns({
-        "tokens": text_tokens(F.col(text)),
-        "size": F.log1p(F.length(t).cast("double")), "lines": F.log1p(lines),
-        "line_size": F.log1p(F.length(t) / F.greatest(lines, F.lit(1.0))), "upper": share("[A-Z]"), "marks": share(r"[^\p{L}\p{N}\s]"),
-        "digits": share("[0-9]"), "m": F.array(*[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in meta]),
-    }).drop(text).withColumn("repeated", let(F.filter("tokens", lambda x: F.length(x) > 3), lambda w: 1 - F.size(F.array_distinct(w)) / F.greatest(F.size(w), F.lit(1))))
+    def __init__(self, *columns):
+        self.x = np.stack([*columns, np.ones(len(columns[0]))], axis=1)
+        self.size = self.x.shape[1]
 
+    def dot(self, w):
+        return self.x @ w
 
-def view_features(meta: list[str], vocabulary: int):
-    named = [f"m{i}" for i in range(len(meta))]
-    words = CountVectorizer(inputCol="tokens", outputCol="words", vocabSize=vocabulary, minDF=5.0, binary=True)
-    return Pipeline(stages=[
-        words, VectorAssembler(inputCols=["words", "repeated"], outputCol="text_view"),
-        FeatureHasher(inputCols=[*named, "size", "lines", "line_size", "upper", "marks", "digits"], outputCol="meta_view", numFeatures=1 << 12)])
+    def back(self, r):
+        return r @ self.x
 
 
-def cotrain(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", meta: tuple[str, ...] = ("source", "lang"),
-            max_labelled: int = 20_000, max_pool: int = 20_000, rounds: int = 2, sure: float = 0.95, vocabulary: int = 1 << 14,
-            threshold: float = 0.5):
-    """Fit on the labelled rows and return (score, fitted): a function that adds the columns p_text, p_meta and p_bad to a
-    table with the columns of ``docs``; None if the labelled rows have one class only (then nothing can be learned)."""
-    meta = [c for c in meta if c in docs.columns]
+def _fit(batches, rounds, sure, penalty, steps):
+    table = pa.Table.from_batches(list(batches)).to_pylist()
+    table.sort(key=lambda r: (str(r["doc_id"]), r["bad"] is None, r["bad"], r["t"]))
+    bad = np.array([np.nan if r["bad"] is None else r["bad"] for r in table])
+    held = np.array([r["held"] for r in table], bool)
+    train, pool, test = ~np.isnan(bad) & ~held, np.isnan(bad), ~np.isnan(bad) & held
+    if not all(len({*bad[part]}) == 2 for part in (train, test)):
+        return
+    rows = {"t": Rows([r["t"] for r in table], [r["tv"] for r in table], 1 << TEXT_BITS),
+            "m": Rows([r["m"] for r in table], [r["mv"] for r in table], 1 << META_BITS)}
+    y, weight = {v: np.where(train, np.nan_to_num(bad), 0.0) for v in rows}, {v: train.astype(float) for v in rows}
+    for k in range(rounds + 1):
+        fitted = {v: logistic(rows[v], y[v], weight[v], penalty, steps) for v in rows}
+        if k < rounds:
+            # each view labels for the other
+            for view, other in (("t", "m"), ("m", "t")):
+                p = 1 / (1 + np.exp(-rows[other].dot(fitted[other])))
+                certain = pool & ((p >= sure) | (p <= 1 - sure))
+                weight[view] = train + certain.astype(float)
+                y[view] = np.where(certain, p >= 0.5, np.where(train, np.nan_to_num(bad), 0.0)).astype(float)
+    z = {v: rows[v].dot(fitted[v])[test] for v in rows}
+    one = np.ones(int(test.sum()))
+    parts = [fitted["t"], fitted["m"], logistic(Dense(z["t"]), bad[test], one, 1e-4, 100), logistic(Dense(z["m"]), bad[test], one, 1e-4, 100),
+             logistic(Dense(z["t"], z["m"]), bad[test], one, 1e-4, 100)]
+    yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()) for w in parts], names=["t", "m", "ct", "cm", "c"])
+
+
+def _sample_rows(batches):
+    for batch in slices(batches, "text"):
+        texts = raw_texts(batch, "text")
+        t, m = text_view(texts), [meta_view(x, v) for x, v in zip(texts, batch.column(3).to_pylist(), strict=True)]
+        ints, reals = pa.list_(pa.int32()), pa.list_(pa.float64())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([a for a, _ in t], ints), pa.array([b for _, b in t], reals),
+                                          pa.array([a for a, _ in m], ints), pa.array([b for _, b in m], reals)],
+                                         names=["doc_id", "bad", "held", "t", "tv", "m", "mv"])
+
+
+def learn(docs: DataFrame, labels: DataFrame, meta: list[str], max_labelled: int, max_pool: int, rounds: int, sure: float,
+          penalty: float, steps: int):
+    """The weights, or None if the labelled rows (or those held for calibration) have one class only."""
     bad = F.when((F.col("quality") == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1), 1.0).otherwise(0.0)
-    order = F.xxhash64(F.col("doc_id").cast("string"))
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max(bad).alias("bad"))
-    picked = known.orderBy(order, "doc_id").limit(max_labelled)
-    # the pool: the smallest hashes of another seed among all rows, less the labelled ones
-    pool_ids = (docs.select(F.col(id).alias("doc_id")).filter("doc_id IS NOT NULL").orderBy(F.xxhash64(F.lit("pool"), F.col("doc_id").cast("string")), "doc_id")
-                .limit(max_pool).distinct().join(known, "doc_id", "left_anti").withColumn("bad", F.lit(None).cast("double")))
-    chosen = materialize(picked.unionByName(pool_ids).coalesce(8))
-    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), *[F.col(c).alias(f"_{c}") for c in meta])
-    rows = rows.join(F.broadcast(chosen), "doc_id")  # at most max_labelled + max_pool rows
-    named = [f"_{c}" for c in meta]
-
-    def prepared(df):
-        out = with_views(df, "text", named)
-        return out.withColumns({f"m{i}": F.get("m", F.lit(i)) for i in range(len(meta))})
-
-    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id").cast("string")), F.lit(4))
-    sample = materialize(prepared(rows).withColumn("held", F.col("bad").isNotNull() & (fold == 0)))
-    classes = sample.filter("bad IS NOT NULL").groupBy("held").agg(F.countDistinct("bad").alias("k")).filter("k = 2").count()
-    if classes < 2:
-        return None
-    features = view_features(meta, vocabulary).fit(sample)
-    # the sample is bounded: few partitions spare the solver's shuffles
-    sample = materialize(features.transform(sample).select("doc_id", "bad", "held", "text_view", "meta_view")).coalesce(FIT_TASKS)
-
-    def fit(train, view, iterations):
-        return LogisticRegression(featuresCol=view, labelCol="y", probabilityCol=f"p_{view}", rawPredictionCol=f"r_{view}", predictionCol=f"c_{view}",
-                                  maxIter=iterations, regParam=0.0003, tol=1e-4, standardization=False).fit(train)
-
-    seen = {v: sample.filter("bad IS NOT NULL AND NOT held").withColumn("y", F.col("bad")) for v in ("text_view", "meta_view")}
-    pool, models = sample.filter("bad IS NULL"), {}
-    for k in range(rounds + 1):
-        seen = {v: rows.coalesce(FIT_TASKS).persist() for v, rows in seen.items()}
-        models = {v: fit(seen[v], v, 20 if k == rounds else 10) for v in seen}
-        if k == rounds:
-            break
-        scored = pool
-        for m in models.values():
-            scored = m.transform(scored)
-        p = {v: vector_to_array(F.col(f"p_{v}"))[1] for v in models}
-        # each view labels for the other
-        scored = materialize(scored.select("doc_id", "bad", "held", "text_view", "meta_view", *[
-            F.when(p[v] >= sure, 1.0).when(p[v] <= 1 - sure, 0.0).alias(f"by_{v}") for v in models]))
-        columns = sample.columns
-        base = sample.filter("bad IS NOT NULL AND NOT held").withColumn("y", F.col("bad"))
-        for v, other in (("text_view", "meta_view"), ("meta_view", "text_view")):
-            seen[v].unpersist()
-            seen[v] = base.unionByName(scored.filter(F.col(f"by_{other}").isNotNull()).select(*columns, F.col(f"by_{other}").alias("y")))
-    for s in seen.values():
-        s.unpersist()
-
-    def logits(df):
-        for m in models.values():
-            df = m.transform(df)
-        return df.withColumns({"z_text": vector_to_array("r_text_view")[1], "z_meta": vector_to_array("r_meta_view")[1]})
-
-    held = materialize(logits(sample.filter("held")).select(F.col("bad").alias("y"), "z_text", "z_meta")).coalesce(1).persist()
-
-    def calibrated(inputs):
-        at = VectorAssembler(inputCols=inputs, outputCol="z")
-        fitted = LogisticRegression(featuresCol="z", labelCol="y", maxIter=50, regParam=1e-4).fit(at.transform(held))
-        return sum((F.col(c) * float(w) for c, w in zip(inputs, fitted.coefficients, strict=True)), F.lit(float(fitted.intercept)))
-
-    chances = {"p_text": calibrated(["z_text"]), "p_meta": calibrated(["z_meta"]), "p_bad": calibrated(["z_text", "z_meta"])}
-
-    held.unpersist()
-
-    def score(df: DataFrame, keep: list[str]) -> DataFrame:
-        """``keep`` columns of ``df`` with p_text, p_meta, p_bad and kept; ``df`` has the columns that were fitted on."""
-        names = {c: f"k{i}" for i, c in enumerate(keep)}
-        x = df.select(*[F.col(c).alias(n) for c, n in names.items()], F.col(text).alias("text"), *[F.col(c).alias(f"_{c}") for c in meta])
-        x = logits(features.transform(prepared(x)))
-        x = x.select(*names.values(), *[(1 / (1 + F.exp(-c))).alias(n) for n, c in chances.items()])
-        out = fresh(df.select(*keep), "p_text", "p_meta", "p_bad", "kept")
-        return x.select(*[F.col(n).alias(c) for c, n in names.items()], *[F.col(n).alias(o) for n, o in zip(("p_text", "p_meta", "p_bad"), out, strict=False)],
-                        (F.col("p_bad") < threshold).alias(out[3]))
-
-    return score
-
-
-def score_documents(docs: DataFrame, labels: DataFrame, keep: list[str], **options) -> DataFrame:
-    """The columns ``keep`` of every row of ``docs`` with p_text, p_meta, p_bad (chance of low quality or toxicity) and kept.
-
-    A null text has no words and is scored by its metadata; nulls in source or lang are a value of their own; labels with
+    seeded = lambda seed: F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
+    picked = known.orderBy(seeded("label"), "doc_id").limit(max_labelled)
+    pool = (docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(seeded("pool"), "doc_id").limit(max_pool).distinct()
+            .join(known, "doc_id", "left_anti").withColumn("bad", F.lit(None).cast("double")))
+    chosen = materialize(picked.unionByName(pool))
+    held = F.col("bad").isNotNull() & (F.pmod(seeded("fold"), F.lit(4)) == 0)
+    # the chosen ids are at most max_labelled + max_pool rows; of repeated rows one is enough
+    rows = (docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "bad", held.alias("held"), values(meta), F.col("text"))
+            .dropDuplicates(["doc_id"]))
+    kind = dict(docs.select("doc_id").dtypes)["doc_id"]
+    sample = materialize(rows.mapInArrow(_sample_rows, f"doc_id {kind}, bad double, held boolean, t array<int>, tv array<double>, m array<int>, mv array<double>"))
+    found = sample.coalesce(1).mapInArrow(lambda b: _fit(b, rounds, sure, penalty, steps), "t binary, m binary, ct binary, cm binary, c binary").collect()
+    return SimpleNamespace(**{k: np.frombuffer(v) for k, v in found[0].asDict().items()}) if found else None
+
+
+def values(meta: list[str]):
+    return F.array(*[F.col(c).cast("string") for c in meta]).cast("array<string>").alias("values")
+
+
+def _score(model, text):
+    def run(batches):
+        m = model.value
+        for batch in slices(batches, text):
+            texts, width = raw_texts(batch, text), batch.num_columns - 2
+            zt = np.array([(m.t[a] * v).sum() for a, v in text_view(texts)])
+            zm = np.array([(m.m[a] * v).sum() for a, v in (meta_view(x, v) for x, v in zip(texts, batch.column(width + 1).to_pylist(), strict=True))])
+            logits = [m.ct[0] * zt + m.ct[1], m.cm[0] * zm + m.cm[1], m.c[0] * zt + m.c[1] * zm + m.c[2]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *[pa.array(1 / (1 + np.exp(-z))) for z in logits]],
+                                             names=[*batch.schema.names[:width], "p_text", "p_meta", "p_bad"])
+    return run
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, meta: tuple[str, ...] = ("source", "lang"),
+                    max_labelled: int = 10_000, max_pool: int = 10_000, rounds: int = 2, sure: float = 0.95, penalty: float = 3e-4,
+                    steps: int = 40, threshold: float = 0.5) -> DataFrame:
+    """The columns ``keep`` (default doc_id) of every row of ``docs`` with p_text, p_meta, p_bad (chance of low quality or
+    toxicity) and kept (these get other names where ``keep`` has them).
+
+    A null text has no words and is scored by its metadata; a null source or language is a value of its own; labels with
     a null id or quality are ignored, several labels of an id count as bad if one is; repeated rows score alike; an empty
     table gives an empty result; without labels of both classes all probabilities are 0 and every row is kept."""
     require(docs, "doc_id", "text")
-    score = cotrain(docs, labels, **options)
-    if score is None:
-        return docs.select(*keep, *[F.lit(0.0).alias(c) for c in ("p_text", "p_meta", "p_bad")], F.lit(True).alias("kept"))
-    return score(docs, keep)
+    keep, meta = keep or ["doc_id"], [c for c in meta if c in docs.columns]
+    model = learn(docs, labels, meta, max_labelled, max_pool, rounds, sure, penalty, steps)
+    out = fresh(docs.select(*keep), "p_text", "p_meta", "p_bad", "kept")
+    if model is None:
+        return docs.select(*keep, *[F.lit(0.0).alias(c) for c in out[:3]], F.lit(True).alias(out[3]))
+    inside = [f"k{i}" for i in range(len(keep))]
+    x = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, inside, strict=True)], F.col("text").alias("text"), values(meta))
+    kinds = dict(x.dtypes)
+    scored = x.mapInArrow(_score(shared(docs.sparkSession, model), "text"), ", ".join(f"{n} {kinds[n]}" for n in inside) + ", p_text double, p_meta double, p_bad double")
+    return scored.select(*[F.col(n).alias(c) for c, n in zip(keep, inside, strict=True)],
+                         *[F.col(n).alias(o) for n, o in zip(("p_text", "p_meta", "p_bad"), out, strict=False)], (F.col("p_bad") < threshold).alias(out[3]))
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -158,4 +233,4 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame
 
 
 def op8_cotrain_quality(spark, sf_dir):
-    return score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), ["doc_id"])
+    return score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
