@@ -16,11 +16,12 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import fresh, raw_texts, read, require, shared, ship, slices, Ids
+from deskspark.llm.common import fresh, Ids, raw_texts, read, require, shared, ship, slices
 from deskspark.operators.common import materialize
 
 ship(__name__)
@@ -66,11 +67,12 @@ def meta_view(text: bytes, values: list[str | None]) -> tuple[np.ndarray, np.nda
 
 
 class Rows:
-    """Sparse rows."""
+    """Sparse rows from two Arrow list columns (places and values), without Python objects."""
 
-    def __init__(self, places: list, values: list, size: int):
-        self.at, self.value = np.concatenate(places).astype(np.int64), np.concatenate(values).astype(float)
-        self.lengths, self.size = np.array([len(p) for p in places]), size
+    def __init__(self, places: pa.ChunkedArray, values: pa.ChunkedArray, size: int):
+        places, values = places.combine_chunks(), values.combine_chunks()
+        self.at, self.value = places.flatten().to_numpy(zero_copy_only=False), values.flatten().to_numpy(zero_copy_only=False)
+        self.lengths, self.size = pc.list_value_length(places).to_numpy(zero_copy_only=False), size
         self.begin = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
 
     def dot(self, w):
@@ -130,15 +132,17 @@ class Dense:
 
 
 def _fit(batches, rounds, sure, penalty, steps):
-    table = pa.Table.from_batches(list(batches)).to_pylist()
-    table.sort(key=lambda r: (str(r["doc_id"]), r["bad"] is None, r["bad"], r["t"]))
-    bad = np.array([np.nan if r["bad"] is None else r["bad"] for r in table])
-    held = np.array([r["held"] for r in table], bool)
+    table = pa.Table.from_batches(list(batches))
+    if not table.num_rows:
+        return
+    table = table.sort_by("doc_id")  # ids are distinct: the fit does not depend on the order of arrival
+    bad = table["bad"].to_pandas().to_numpy(float)
+    held = table["held"].to_numpy()
     train, pool, test = ~np.isnan(bad) & ~held, np.isnan(bad), ~np.isnan(bad) & held
     if not all(len({*bad[part]}) == 2 for part in (train, test)):
         return
-    rows = {"t": Rows([r["t"] for r in table], [r["tv"] for r in table], 1 << TEXT_BITS),
-            "m": Rows([r["m"] for r in table], [r["mv"] for r in table], 1 << META_BITS)}
+    rows = {"t": Rows(table["t"], table["tv"], 1 << TEXT_BITS), "m": Rows(table["m"], table["mv"], 1 << META_BITS)}
+    del table
     y, weight = {v: np.where(train, np.nan_to_num(bad), 0.0) for v in rows}, {v: train.astype(float) for v in rows}
     for k in range(rounds + 1):
         fitted = {v: logistic(rows[v], y[v], weight[v], penalty, steps) for v in rows}
@@ -156,13 +160,17 @@ def _fit(batches, rounds, sure, penalty, steps):
     yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()) for w in parts], names=["t", "m", "ct", "cm", "c"])
 
 
+def lists(rows, part: int, kind) -> pa.ListArray:
+    ends = np.cumsum([0, *[len(r[part]) for r in rows]]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([r[part] for r in rows]).astype(kind)))
+
+
 def _sample_rows(batches):
     for batch in slices(batches, "text"):
         texts = raw_texts(batch, "text")
         t, m = text_view(texts), [meta_view(x, v) for x, v in zip(texts, batch.column(3).to_pylist(), strict=True)]
-        ints, reals = pa.list_(pa.int32()), pa.list_(pa.float64())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([a for a, _ in t], ints), pa.array([b for _, b in t], reals),
-                                          pa.array([a for a, _ in m], ints), pa.array([b for _, b in m], reals)],
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists(t, 0, np.int32), lists(t, 1, float),
+                                          lists(m, 0, np.int32), lists(m, 1, float)],
                                          names=["doc_id", "bad", "held", "t", "tv", "m", "mv"])
 
 
