@@ -132,9 +132,10 @@ class Dense:
 
 
 def _fit(batches, rounds, sure, penalty, steps):
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
         return
+    table = pa.Table.from_batches(batches)
     table = table.sort_by("doc_id")  # ids are distinct: the fit does not depend on the order of arrival
     bad = table["bad"].to_pandas().to_numpy(float)
     held = table["held"].to_numpy()

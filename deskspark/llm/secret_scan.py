@@ -24,7 +24,7 @@ BASE = {
 }
 #: Weak kinds: names and patterns.
 WEAK = {
-    "identifier": (r"""(?i:access_?key(?:_?id)?|client_?id|account|user(?:name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=-]+""", 0, 1),
+    "identifier": (r"""(?i:access_?key(?:_?id)?|client_?id|account|user(?:_?name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=-]+""", 0, 1),
     "opaque": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{16,}", 0, 16),
     "endpoint": (r"""(?i:https?|ftp|ssh|jdbc:[a-z]+|mongodb|redis|amqp)://[^\x00-\x20"'<>]+""", 0, 8),
 }
