@@ -38,6 +38,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """At most ``rows`` texts in an Arrow batch: a batch lies in direct memory beside the heap and once more in the worker.
+    A smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)

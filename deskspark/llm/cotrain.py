@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import fresh, Ids, raw_texts, read, require, shared, ship, slices
+from deskspark.llm.common import fresh, Ids, raw_texts, read, require, shared, ship, slices, small_batches
 from deskspark.operators.common import materialize
 
 ship(__name__)
@@ -222,6 +222,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: list[str] | None =
     a null id or quality are ignored, several labels of an id count as bad if one is; repeated rows score alike; an empty
     table gives an empty result; without labels of both classes all probabilities are 0 and every row is kept."""
     require(docs, "doc_id", "text")
+    small_batches(docs.sparkSession)
     keep, meta = keep or ["doc_id"], [c for c in meta if c in docs.columns]
     model = learn(docs, labels, meta, max_labelled, max_pool, rounds, sure, penalty, steps)
     out = fresh(docs.select(*keep), "p_text", "p_meta", "p_bad", "kept")

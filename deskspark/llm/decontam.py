@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskspark.llm.common import LOWER, UPPER, fresh, raw_texts, read, require, shared, ship, slices
+from deskspark.llm.common import LOWER, UPPER, fresh, raw_texts, read, require, shared, ship, slices, small_batches
 
 ship(__name__)
 
@@ -212,6 +212,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_char
     (state,) = [out] if out else fresh(docs, "_scan")
     schema = T.StructType([*docs.schema.fields, T.StructField(state, STATE)])
     spark = docs.sparkSession
+    small_batches(spark)
     width = len(docs.columns)
 
     def step(block, first):
