@@ -40,9 +40,10 @@ def details(counts: list[Column]) -> Column:
 
 
 def has_pii(text: Column) -> Column:
-    return F.coalesce(
-        F.greatest(*[F.regexp_like(text, F.lit(_ci(p))).cast("int") for _, p in PII_PATTERNS]) == 1,
-        F.lit(False))
+    found = F.lit(False)
+    for _, p in PII_PATTERNS:
+        found = found | F.regexp_like(text, F.lit(_ci(p)))
+    return F.coalesce(found, F.lit(False))
 
 
 def types_from_details(det: Column) -> Column:

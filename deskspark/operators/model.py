@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
@@ -220,19 +221,16 @@ def softmax_logits(df: DataFrame, logits: str = "logits") -> DataFrame:
 # --------------------------------------------------------------------------- M5 / M6
 
 def cv_weighted_f1(train: DataFrame, params: Params = DEFAULT, label: str = "topic_encoded") -> float:
-    """M5: mean weighted F1 over ``cv_folds`` folds (0.0 on failure)."""
-    try:
-        feats = fit_features(train, params)
-        x = drop_feature_temps(feats.transform(train)).withColumn("label", F.col(label).cast("double"))
-        n = x.count()
-        x = right_size(x, n)
-        est = svm(params, int(n * (params.cv_folds - 1) / params.cv_folds))
-        ev = MulticlassClassificationEvaluator(metricName="f1", labelCol="label", predictionCol="prediction")
-        cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                            numFolds=params.cv_folds, seed=params.seed, parallelism=params.cv_folds)
-        return float(cv.fit(x).avgMetrics[0])
-    except Exception:  # noqa: BLE001 - a failed trial scores 0.0
-        return 0.0
+    """M5: mean weighted F1 over ``cv_folds`` folds."""
+    feats = fit_features(train, params)
+    x = drop_feature_temps(feats.transform(train)).withColumn("label", F.col(label).cast("double"))
+    n = x.count()
+    x = right_size(x, n)
+    est = svm(params, int(n * (params.cv_folds - 1) / params.cv_folds))
+    ev = MulticlassClassificationEvaluator(metricName="f1", labelCol="label", predictionCol="prediction")
+    cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
+                        numFolds=params.cv_folds, seed=params.seed, parallelism=params.cv_folds)
+    return float(cv.fit(x).avgMetrics[0])
 
 
 def search_space(trials: int, seed: int = DEFAULT.seed):
@@ -250,7 +248,11 @@ def search(train: DataFrame, trials: int = DEFAULT.search_trials, params: Params
     """M6: score every parameter set with M5; returns run rows."""
     runs = []
     for i, p in enumerate(search_space(trials, params.seed)):
-        score = cv_weighted_f1(train, params.with_(**p))
+        try:
+            score = cv_weighted_f1(train, params.with_(**p))
+        except Exception:  # noqa: BLE001 - a failed trial scores 0.0
+            logging.getLogger(__name__).exception("trial %d failed: %s", i, p)
+            score = 0.0
         runs.append({"trial": i, **p, "score": score})
     return runs
 

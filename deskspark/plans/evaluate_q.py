@@ -111,10 +111,12 @@ def model_comparison(spark, sf_dir):
 WITH {PRED},
 sm AS (SELECT doc_id, sum(exp(score - mx)) AS z FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS mx FROM nbs)
        GROUP BY doc_id),
-te2 AS (SELECT te.*, 1.0 / sm.z AS confidence FROM te LEFT JOIN sm USING (doc_id))
+ps AS (SELECT doc_id, sum(exp(score - mx) / z) AS p_sum
+       FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS mx FROM nbs) JOIN sm USING (doc_id) GROUP BY doc_id),
+te2 AS (SELECT te.*, 1.0 / sm.z AS confidence, p_sum FROM te LEFT JOIN sm USING (doc_id) LEFT JOIN ps USING (doc_id))
 SELECT CAST(count(*) AS BIGINT) AS n, avg((y = p)::INT) > 0 AS accuracy_positive,
        CAST(count(*) FILTER (WHERE confidence IS NULL OR confidence < 0 OR confidence > 1) AS BIGINT) AS bad_confidence,
-       CAST(0 AS BIGINT) AS bad_probability_sum FROM te2""")
+       CAST(count(*) FILTER (WHERE p_sum IS NULL OR abs(p_sum - 1) > 0.01) AS BIGINT) AS bad_probability_sum FROM te2""")
 def quality_gates(spark, sf_dir):
     """V7 on the test split."""
     return V.quality_gates(_test(spark, sf_dir))

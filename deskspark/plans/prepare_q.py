@@ -33,9 +33,14 @@ def prepared(spark, sf_dir, params=DEFAULT, topic="lang"):
 
 def prepared_split(spark, sf_dir, params=DEFAULT, reuse=False, topic="lang"):
     """Prepared tickets with their split.  ``reuse=True`` writes the table
-    to the checkpoint folder once, for plans that run several jobs on it."""
+    to the checkpoint folder once per session, for plans that run several jobs on it."""
     sp = P.split(prepared(spark, sf_dir, params, topic), params)
-    return materialize(sp) if reuse else sp
+    if not reuse:
+        return sp
+    key = ("split", spark.sparkContext.applicationId, sf_dir.rstrip("/"), params, topic)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = materialize(sp)
+    return _WRITTEN[key]
 
 
 def train_rows(spark, sf_dir, params=DEFAULT):
