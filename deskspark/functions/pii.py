@@ -20,13 +20,14 @@ PII_PATTERNS = (
 )
 
 
-def _ci(pattern: str) -> str:
-    return "(?i)" + pattern
+def flagged(pattern: str) -> str:
+    """Case-insensitive, with the Unicode meaning of ``\\s``, ``\\d``, ``\\w`` and ``\\b``."""
+    return "(?iU)" + pattern
 
 
 def pattern_counts(text: Column) -> list[Column]:
     """Occurrences of each pattern in the original text (one column each)."""
-    return [F.regexp_count(text, F.lit(_ci(p))).cast("long") for _, p in PII_PATTERNS]
+    return [F.regexp_count(text, F.lit(flagged(p))).cast("long") for _, p in PII_PATTERNS]
 
 
 def details(counts: list[Column]) -> Column:
@@ -42,7 +43,7 @@ def details(counts: list[Column]) -> Column:
 def has_pii(text: Column) -> Column:
     found = F.lit(False)
     for _, p in PII_PATTERNS:
-        found = found | F.regexp_like(text, F.lit(_ci(p)))
+        found = found | F.regexp_like(text, F.lit(flagged(p)))
     return F.coalesce(found, F.lit(False))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -83,13 +84,13 @@ def clean_text(c: Column, remove_accents: bool = True) -> Column:
         out = transliterate(out)
     out = F.lower(out)
     for pat in CLEAN_STEPS:
-        out = F.regexp_replace(out, pat, " ")
-    return F.trim(F.regexp_replace(out, WHITESPACE_RUN, " "))
+        out = F.regexp_replace(out, "(?U)" + pat, " ")
+    return F.trim(F.regexp_replace(out, "(?U)" + WHITESPACE_RUN, " "))
 
 
 def words(c: Column) -> Column:
     """Whitespace tokens, like Python ``str.split()`` (empty for blank)."""
-    t = F.trim(F.regexp_replace(c, r"\s+", " "))
+    t = F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
 
 
@@ -101,6 +102,23 @@ def char_count(c: Column) -> Column:
     return F.length(c).cast("long")
 
 
+def unicode_re2(pattern: str) -> str:
+    """A pattern for the oracle's engine, whose ``\\s``, ``\\S`` and ``\\d`` know ASCII alone: Unicode classes spelt out.
+    Its ``\\b`` and ``\\w`` stay ASCII."""
+    space = r"\s\x0B\x{85}\p{Z}"
+    pattern = pattern.replace(r"[^\s]", r"\S").replace(r"\S", f"[^{space}]").replace(r"\d", r"\p{Nd}")
+    out, depth = "", 0
+    parts = pattern.split(r"\s")
+    for i, part in enumerate(parts):
+        depth += len(re.findall(r"(?<!\\)\[", part)) - len(re.findall(r"(?<!\\)\]", part))
+        out += part
+        if i < len(parts) - 1:
+            # the classes spelt out above go on with the rest of the space characters
+            known = parts[i + 1].startswith(space[2:])
+            out += r"\s" if known else space if depth else f"[{space}]"
+    return out
+
+
 def transliterate_sql(expr: str) -> str:
     """The same transliteration as DuckDB SQL (used by the oracle)."""
     out = expr
@@ -112,5 +130,5 @@ def transliterate_sql(expr: str) -> str:
 def clean_text_sql(expr: str) -> str:
     out = f"lower({transliterate_sql(f'coalesce(CAST({expr} AS VARCHAR), {chr(39)}{chr(39)})')})"
     for pat in CLEAN_STEPS:
-        out = f"regexp_replace({out}, '{pat}', ' ', 'g')"
-    return f"trim(regexp_replace({out}, '{WHITESPACE_RUN}', ' ', 'g'))"
+        out = f"regexp_replace({out}, '{unicode_re2(pat)}', ' ', 'g')"
+    return f"trim(regexp_replace({out}, '{unicode_re2(WHITESPACE_RUN)}', ' ', 'g'))"

@@ -26,7 +26,8 @@ def confusion(pred: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """V4: ``(actual, predicted, n)`` for every pair of classes seen in
     either column (zero cells included)."""
     counts = pred.groupBy(F.col(y).alias("actual"), F.col(p).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
-    classes = pred.select(F.explode(F.array(F.col(y), F.col(p))).alias("c")).agg(
+    # classes x classes counted pairs at most
+    classes = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).agg(
         F.array_sort(F.collect_set("c")).alias("cs"))
     grid = (classes.select(F.explode("cs").alias("actual"), "cs")
             .select("actual", F.explode("cs").alias("predicted")))

@@ -1,16 +1,17 @@
 """Language identification as a Spark job - a character-trigram naive
-Bayes model trained by explode / group-by and applied with a broadcast
-lookup and one per-document aggregate."""
+Bayes model trained by explode / group-by and applied in-row."""
 
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.operators.common import checked_broadcast
+from deskspark.operators import linear
 
 # Fixed alphabet: ASCII and Latin-1 lower-case letters; every other run of
 # characters becomes one space.  This bounds the trigram space to 60**3,
@@ -22,73 +23,68 @@ def normalized(col: str):
     return F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(col)), NON_LETTERS, " "), F.lit(" "))
 
 
-def trigrams(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """One row per trigram occurrence: ``keep`` columns + ``gram``.
+class Fitted(NamedTuple):
+    """Trigrams, their log weights (trigram, label), labels and log priors."""
+    grams: list[str]
+    weights: np.ndarray
+    labels: list[str]
+    priors: np.ndarray
 
-    All overlapping trigrams come from a single regex pass (a zero-width
-    look-ahead capturing three characters), linear in the text length;
-    per-position ``substring`` would rescan the UTF-8 string each time.
-    """
-    grams = F.regexp_extract_all(normalized(text), F.lit(r"(?s)(?=(.{3}))"), 1)
-    return df.select(*keep, F.explode(grams).alias("gram"))
+
+def grams_of(text: str) -> Column:
+    """All overlapping trigrams of a text from a single regex pass (a
+    zero-width look-ahead capturing three characters), linear in its length;
+    per-position ``substring`` would rescan the UTF-8 string each time."""
+    return F.regexp_extract_all(normalized(text), F.lit(r"(?s)(?=(.{3}))"), 1)
 
 
 def fit(train: DataFrame, text: str = "document", label: str = "topic_group", alpha: float = 1.0,
-        max_labels: int = 1000):
-    """Returns ``(model, labels)``.
-
-    ``model``: one row per trigram with ``w`` = array over labels of
-    ``log(c + alpha) - log(alpha)`` (label order = ``labels``).
-    ``labels``: list of ``(label, log_prior, log_denominator)``, collected
-    only after checking the label count is at most ``max_labels``.
-    """
-    grams = trigrams(train, text, [label])
+        max_model_bytes: int = 256 << 20) -> Fitted:
+    """Counts per (trigram, label).  The model is 8 bytes per trigram and label and goes to the tasks whole; one above
+    ``max_model_bytes`` raises ``ValueError`` before it is collected."""
+    grams = train.select(label, F.explode(grams_of(text)).alias("gram"))
     # at most 60**3 x labels rows: persisted because it feeds three actions
     counts = grams.groupBy("gram", label).agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
     priors = train.groupBy(label).agg(F.count(F.lit(1)).alias("n_docs"))
     totals = counts.groupBy(label).agg(F.sum("c").alias("t"))
     vocab = counts.select("gram").distinct().count()
-    meta = priors.join(totals, label, "left").orderBy(label).limit(max_labels + 1).collect()
-    if len(meta) > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
+    n_labels = priors.count()
+    if 8 * vocab * n_labels > max_model_bytes:
+        raise ValueError(f"a model of {vocab} trigrams and {n_labels} labels is above {max_model_bytes} bytes")
+    meta = priors.join(totals, label, "left").orderBy(label).collect()
     n_docs = sum(r["n_docs"] for r in meta)
     labels = [(r[label], math.log(r["n_docs"] / n_docs), math.log((r["t"] or 0) + alpha * vocab)) for r in meta]
-    names = [l for l, _, _ in labels]
-    idx = F.create_map(*[x for i, l in enumerate(names) for x in (F.lit(l), F.lit(i))])
-    per_gram = (counts.withColumn("_i", idx[F.col(label)])
-                .groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("_i", "c"))).alias("_m")))
-    w = F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)),
-                    lambda i: F.log(F.coalesce(F.col("_m")[i], F.lit(0)) + alpha) - math.log(alpha))
-    model = per_gram.select("gram", w.alias("w"))
-    return model, labels, alpha
-
-
-def predict(fitted, df: DataFrame, text: str, id_col: str, out: str = "language",
-            max_model_rows: int = 60 ** 3, with_probabilities: bool = False) -> DataFrame:
+    index = {name: i for i, (name, _, _) in enumerate(labels)}
+    rows = counts.collect()  # at most 60**3 x labels rows
+    counts.unpersist()
+    grams = sorted({r["gram"] for r in rows})
+    place = {g: i for i, g in enumerate(grams)}
+    weights = np.full((len(grams), len(labels)), math.log(alpha))
+    for r in rows:
+        weights[place[r["gram"]], index[r[label]]] = math.log(r["c"] + alpha)
+    weights -= np.array([d for _, _, d in labels])
+    return Fitted(grams, weights, [n for n, _, _ in labels], np.array([p for _, p, _ in labels]))
+
+
+def predict(fitted: Fitted, df: DataFrame, text: str, out: str = "language",
+            with_probabilities: bool = False) -> DataFrame:
     """Argmax over labels of ``log prior + sum log P(gram | label)`` with
     Laplace smoothing; unseen trigrams are ignored.  Ties go to the first
-    label in ascending order.  Empty texts get ``unknown``."""
-    model, labels, alpha = fitted
-    k = len(labels)
-    ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    grams = trigrams(df, text, ids)
-    j = grams.join(checked_broadcast(model, max_model_rows), "gram")
-    sums = j.groupBy(*ids).agg(F.count(F.lit(1)).alias("_nv"),
-                                 *[F.sum(F.col("w")[i]).alias(f"_s{i}") for i in range(k)])
-    scores = [F.col(f"_s{i}") + F.col("_nv") * (math.log(alpha) - labels[i][2]) + labels[i][1]
-              for i in range(k)]
-    best = F.greatest(*scores) if k > 1 else scores[0]
-    pick = F.coalesce(*[F.when(scores[i] == best, F.lit(labels[i][0])) for i in range(k)])
-    cols = [*ids, pick.alias(out)]
+    label in ascending order.  Empty and null texts get ``unknown``.
+
+    Every row is scored by itself (an Arrow UDF over its trigrams), so
+    nothing is shuffled and rows may share an id."""
+    x = df.withColumn("_s", linear.weight_sums(grams_of(text), fitted.grams, fitted.weights, fitted.priors))
+    best, names = F.array_max("_s"), F.array(*[F.lit(n) for n in fitted.labels])
+    x = x.withColumn(out, F.coalesce(F.get(names, F.array_position("_s", best).cast("int") - 1), F.lit("unknown")))
     if with_probabilities:
         # softmax over the label scores, listed by descending probability
-        ex = [F.exp(s - best) for s in scores]
-        z = sum(ex[1:], ex[0])
-        probs = F.array(*[F.struct(F.lit(labels[i][0]).alias("label"), (ex[i] / z).alias("prob"))
-                          for i in range(k)])
+        ex = F.transform("_s", lambda s: F.exp(s - best))
+        x = x.withColumn("_e", ex).withColumn("_z", F.aggregate("_e", F.lit(0.0), lambda a, e: a + e))
+        probs = F.zip_with(names, "_e", lambda n, e: F.struct(n.alias("label"), (e / F.col("_z")).alias("prob")))
         probs = F.array_sort(probs, lambda a, b: F.when(a["prob"] > b["prob"], -1)
                              .when(a["prob"] < b["prob"], 1)
                              .otherwise(F.when(a["label"] < b["label"], -1).otherwise(1)))
-        cols += [probs.alias("probabilities"), (F.lit(1.0) / z).alias("confidence")]
-    scored = sums.select(*cols)
-    return df.join(scored, ids, "left").withColumn(out, F.coalesce(F.col(out), F.lit("unknown")))
+        x = x.withColumn("probabilities", F.when(F.col("_s").isNotNull(), probs))
+        x = x.withColumn("confidence", F.lit(1.0) / F.col("_z")).drop("_e", "_z")
+    return x.drop("_s")

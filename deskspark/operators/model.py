@@ -1,196 +1,129 @@
-"""Model training, calibration, scoring and tuning with MLlib (M1-M9).
-
-* M1  TF-IDF features + one-vs-rest linear SVM (``OneVsRest(LinearSVC)``),
-      ``regParam = 1 / (C * n)`` matches ``C`` of the primal SVM objective.
-* M2  3-fold sigmoid calibration.  Every fold fits the SVM on the other
-      folds; the Platt parameters of all (fold, class) pairs are then fitted
-      in ONE distributed logistic regression: the rows carry the margin in
-      the (fold, class) slot of a block feature vector, so the likelihood
-      separates into the independent per-pair problems.  Soft Platt targets
-      become two weighted copies of each row.
-* M3  argmax / confidence / probabilities sorted descending.
+"""Model training, calibration, scoring and tuning (M1-M9).
+
+* M1  TF-IDF features + one-vs-rest linear SVM (squared hinge, intercept in
+      the norm), all classes in the same jobs (``linear.squared_hinge``).
+* M2  3-fold sigmoid calibration of the whole pipeline: vocabulary, idf and
+      SVM of a fold come from the other folds, the sigmoids from the fold
+      itself.  Folds are stratified.  The fits of all folds run together:
+      one job per solver iteration for every (fold, class).
+* M3  argmax / confidence / probabilities sorted descending, in-row.
 * M4  softmax over a logits array column.
-* M5  k-fold cross-validated weighted F1 (``CrossValidator``).
+* M5  k-fold cross-validated weighted F1 of the calibrated pipeline, all
+      (outer fold, inner fold, class) fits together.
 * M6  seeded random search over the vectoriser and SVM parameters.
 * M7  best run, M8 early-stopping rule, M9 external batch scorer hook.
 """
 
 from __future__ import annotations
 
+import functools
 import logging
 import math
 import random
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer,
-                                SQLTransformer, StopWordsRemover)
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT, Params
-from deskspark.functions import stopwords
+from deskspark.operators import linear
 from deskspark.operators import tfidf as T
+from deskspark.operators.common import exact_row_number, materialize
 
 
 # --------------------------------------------------------------------------- features
 
-def feature_stages(vocab_rows, params: Params = DEFAULT, text: str = "document_clean", out: str = "features"):
-    """Feature transformers for a fitted vocabulary (``(term, idf)`` rows,
-    at most ``max_features``): tokens -> stop words -> n-grams -> counts ->
-    ``tf * idf`` -> unit L2 norm.  All in-row, no shuffle."""
-    terms = [r["term"] for r in vocab_rows]
-    idf = [float(r["idf"]) for r in vocab_rows]
-    stages = [RegexTokenizer(inputCol=text, outputCol="_tok", pattern=T.TOKEN, gaps=False, toLowercase=True),
-              StopWordsRemover(inputCol="_tok", outputCol="_uni", stopWords=list(stopwords.english()),
-                               caseSensitive=True)]
-    grams = ["_uni"]
-    for n in range(max(2, params.ngram_min), params.ngram_max + 1):
-        stages.append(NGram(n=n, inputCol="_uni", outputCol=f"_g{n}"))
-        grams.append(f"_g{n}")
-    stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(grams)}) AS _terms FROM __THIS__"))
-    stages.append(CountVectorizerModel.from_vocabulary(terms, inputCol="_terms", outputCol="_tf"))
-    stages.append(ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf"))
-    stages.append(Normalizer(p=2.0, inputCol="_tfidf", outputCol=out))
-    return stages
-
-
-def fit_features(train: DataFrame, params: Params = DEFAULT, text: str = "document_clean") -> PipelineModel:
-    """Vocabulary from T3 (deterministic ties), then the in-row stages."""
-    a = T.analyze(train, text, True, params.ngram_min, params.ngram_max)
-    n_docs = train.count()
-    vocab = T.vocabulary(T.term_counts(a), n_docs, params.min_df, params.max_df, params.max_features)
-    rows = vocab.orderBy("term").collect()  # <= max_features rows by construction
-    return PipelineModel(stages=feature_stages(rows, params, text))
-
-
-def drop_feature_temps(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
-
-
-def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = 500_000) -> DataFrame:
-    """Iterative solvers run one job per iteration over every partition:
-    merge partitions (no shuffle) down to about ``rows_per_partition`` rows
-    each; large inputs keep one partition per that many rows."""
-    want = max(1, -(-n_rows // rows_per_partition))
-    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+def analyzed(df: DataFrame, params: Params = DEFAULT, text: str = "document_clean") -> DataFrame:
+    """Adds ``terms`` (T1 + T2)."""
+    return T.analyze(df, text, True, params.ngram_min, params.ngram_max)
+
+
+def vocabularies(docs: DataFrame, train: list[set[int]], params: Params = DEFAULT):
+    """Per training set (a set of ``group`` values) the terms and idf of its own rows: T3 for all sets from one shuffle by
+    term, with the document and corpus counts kept by group.  Returns ``([terms], [idf])``, each list of at most
+    ``max_features`` entries."""
+    groups = sorted(set().union(*train))
+    rows_in = {r["group"]: r["n"] for r in docs.groupBy("group").agg(F.count(F.lit(1)).alias("n")).collect()}
+    exploded = docs.select("group", F.inline(T.counted(F.col("terms"))))
+    per = [f(F.when(F.col("group") == g, x)).alias(f"{name}{g}") for g in groups
+           for name, f, x in (("df", F.count, F.lit(1)), ("cf", F.sum, F.col("tf")))]
+    stats = materialize(exploded.groupBy("term").agg(*per).na.fill(0))
+    parts = []
+    for fit, inside in enumerate(train):
+        add = lambda name: functools.reduce(lambda a, b: a + b, [F.col(f"{name}{g}") for g in sorted(inside)])  # noqa: E731, B023
+        of = stats.select("term", add("df").alias("df"), add("cf").alias("cf")).filter("df > 0")
+        n = sum(rows_in.get(g, 0) for g in inside)
+        kept = T.vocabulary(of, n, params.min_df, params.max_df, params.max_features)
+        parts.append(kept.select(F.lit(fit).alias("fit"), "term", "idf"))
+    rows = functools.reduce(DataFrame.union, parts).collect()  # at most max_features rows per set
+    terms, idfs = [[] for _ in train], [[] for _ in train]
+    for r in sorted(rows, key=lambda r: (r["fit"], r["term"])):
+        terms[r["fit"]].append(r["term"])
+        idfs[r["fit"]].append(float(r["idf"]))
+    return terms, idfs
+
+
+def stratified_groups(df: DataFrame, label: str, id_col: str, seed: int, groups: int) -> DataFrame:
+    """Adds ``group``: the rows of a class are dealt in turn over ``groups`` in the order of a seeded hash of their id."""
+    key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-fold-{seed}")))
+    x = df.withColumn("_k", key)
+    x = exact_row_number(x, [label], ["_k", id_col], F.conv(F.substring("_k", 1, 4), 16, 10).cast("int"), out="_rn")
+    return x.withColumn("group", ((F.col("_rn") - 1) % groups).cast("int")).drop("_k", "_rn")
+
+
+def fit_together(docs: DataFrame, train: list[set[int]], held: list[set[int]] | None, params: Params) -> list[linear.Fit]:
+    """One fitted pipeline per training set over ``docs`` (label, group, terms), calibrated on ``held``."""
+    k = int(docs.agg(F.max("label")).first()[0] or 0) + 1
+    terms, idfs = vocabularies(docs, train, params)
+    width = max(map(len, terms))
+    rows = linear.blocks(docs, terms, idfs)
+    try:
+        coef = linear.squared_hinge(rows, train, k, width, params.svm_c, params.svm_max_iter, params.svm_tol)
+        platt = linear.sigmoids(rows, held, coef, params.platt_tol) if held else [None] * len(train)
+    finally:
+        rows.unpersist()
+    # a shorter vocabulary leaves places without weight before the intercept
+    cut = [np.delete(c, np.s_[len(t):width], axis=1) for c, t in zip(coef, terms)]
+    return [linear.Fit(t, i, c, p) for t, i, c, p in zip(terms, idfs, cut, platt)]
+
+
+def _training(train: DataFrame, params: Params, label: str, group: Column | None = None) -> DataFrame:
+    x = analyzed(train, params).withColumn("label", F.col(label).cast("int"))
+    return materialize((x if group is None else x.withColumn("group", group)).select("label", "group", "terms"))
 
 
 # --------------------------------------------------------------------------- M1
 
-def svm(params: Params, n_rows: int, label: str = "label") -> OneVsRest:
-    base = LinearSVC(featuresCol="features", labelCol=label, maxIter=params.svm_max_iter,
-                     regParam=1.0 / (params.svm_c * max(n_rows, 1)), tol=params.svm_tol,
-                     maxBlockSizeInMB=16.0)
-    return OneVsRest(classifier=base, featuresCol="features", labelCol=label, parallelism=4)
-
-
-def train_svm(train: DataFrame, params: Params = DEFAULT, label: str = "topic_encoded"):
-    """M1: returns ``(features_model, ovr_model)``."""
-    feats = fit_features(train, params)
-    x = feats.transform(train).withColumn("label", F.col(label).cast("double"))
-    n = x.count()
-    ovr = svm(params, n).fit(right_size(x, n))
-    return feats, ovr
+def train_svm(train: DataFrame, params: Params = DEFAULT, label: str = "topic_encoded") -> list[linear.Fit]:
+    """M1: the uncalibrated pipeline fitted on all rows."""
+    return fit_together(_training(train, params, label, F.lit(0)), [{0}], None, params)
 
 
-def margins(ovr_model, df: DataFrame, k: int) -> DataFrame:
-    """Per-class SVM margins (the one-vs-rest ``rawPrediction``) as an array."""
-    return ovr_model.transform(df).withColumn("margins", vector_to_array("rawPrediction"))
+def predict_class(fits: list[linear.Fit], df: DataFrame, params: Params = DEFAULT, out: str = "prediction") -> DataFrame:
+    """The class with the greatest margin or probability (the first on ties), scored in-row."""
+    x = analyzed(df, params).withColumn("_s", linear.scores(F.col("terms"), fits))
+    return x.withColumn(out, (F.array_position("_s", F.array_max("_s")) - 1).cast("int")).drop("_s", "terms")
 
 
 # --------------------------------------------------------------------------- M2
 
-def fold_of(id_col: str, seed: int, folds: int) -> Column:
-    """Deterministic fold id from the row key."""
-    return (F.conv(F.substring(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-fold-{seed}"))), 1, 8), 16, 10)
-            .cast("long") % folds).cast("int")
+def fit_calibrated(train: DataFrame, params: Params = DEFAULT, label: str = "topic_encoded",
+                   id_col: str = "doc_id") -> list[linear.Fit]:
+    """M2: one calibrated pipeline per fold."""
+    folds = range(params.calibration_folds)
+    docs = _training(stratified_groups(train, label, id_col, params.seed, len(folds)), params, label)
+    return fit_together(docs, [set(folds) - {f} for f in folds], [{f} for f in folds], params)
 
 
-def fit_calibrated(train: DataFrame, params: Params = DEFAULT, label: str = "topic_encoded",
-                   id_col: str = "doc_id"):
-    """M2: ``(features_model, [fold svm models], platt (A, B) per fold/class, k)``."""
-    k = train.select(label).distinct().count()
-    feats = fit_features(train, params)
-    x = feats.transform(train).withColumn("label", F.col(label).cast("double")) \
-        .withColumn("fold", fold_of(id_col, params.seed, params.calibration_folds))
-    x = drop_feature_temps(x).select(id_col, "label", "features", "fold")
-    x = right_size(x, train.count()).cache()
-    def fit_fold(f):
-        fit_part = x.filter(F.col("fold") != f)
-        return svm(params, fit_part.count()).fit(fit_part)
-
-    # the fold fits are independent: submit them concurrently (each
-    # iteration is a small job, so scheduling overhead, not CPU, dominates)
-    with ThreadPoolExecutor(max_workers=params.calibration_folds) as pool:
-        models = list(pool.map(fit_fold, range(params.calibration_folds)))
-    held = [margins(m, x.filter(F.col("fold") == f), k).select(id_col, "label", "fold", "margins")
-            for f, m in enumerate(models)]
-    cal = held[0]
-    for h in held[1:]:
-        cal = cal.unionByName(h)
-    platt = fit_platt(cal, k, params.calibration_folds, params.platt_tol)
-    x.unpersist()
-    return feats, models, platt, k
-
-
-def fit_platt(cal: DataFrame, k: int, folds: int, tol: float = DEFAULT.platt_tol):
-    """All (fold, class) Platt fits in one logistic regression (see module doc)."""
-    dim = 2 * k * folds
-    rows = cal.select("fold", "label", F.posexplode("margins").alias("c", "m"))
-    pos = (F.col("label") == F.col("c").cast("double"))
-    # class sizes per (fold, class): a grouped count (k * folds rows, so the
-    # broadcast is bounded), not a window over each whole class
-    sizes = rows.groupBy("fold", "c").agg(F.sum(pos.cast("long")).alias("n_pos"), F.count(F.lit(1)).alias("n_all"))
-    rows = rows.join(F.broadcast(sizes), ["fold", "c"])
-    # Platt's soft targets
-    t = F.when(pos, (F.col("n_pos") + 1.0) / (F.col("n_pos") + 2.0)).otherwise(
-        1.0 / (F.col("n_all") - F.col("n_pos") + 2.0))
-    rows = rows.withColumn("t", t)
-    slot = (F.col("fold") * k + F.col("c")) * 2
-
-    # dense block vector of width 2 * k * folds, built natively (no Python UDF)
-    rows = rows.withColumn("_slot", slot)
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                      lambda i: F.when(i == F.col("_slot"), F.col("m")).when(i == F.col("_slot") + 1, F.lit(1.0))
-                      .otherwise(F.lit(0.0)))
-    feats = rows.withColumn("features", array_to_vector(vec))
-    both = (feats.select("features", F.lit(1.0).alias("y"), F.col("t").alias("w"))
-            .unionByName(feats.select("features", F.lit(0.0).alias("y"), (1.0 - F.col("t")).alias("w"))))
-    both = right_size(both, 2 * cal.count() * k)
-    lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", fitIntercept=False,
-                            regParam=0.0, maxIter=200, tol=tol, standardization=False)
-    coef = lr.fit(both).coefficients.toArray()
-    return [[(float(coef[(f * k + c) * 2]), float(coef[(f * k + c) * 2 + 1])) for c in range(k)]
-            for f in range(folds)]
-
-
-def predict_calibrated(fitted, df: DataFrame, labels: list[str] | None = None) -> DataFrame:
-    """M2 + M3: per fold sigmoid(A * margin + B) per class, normalised, then
+def predict_calibrated(fits: list[linear.Fit], df: DataFrame, labels: list[str] | None = None, params: Params = DEFAULT,
+                       keep=("doc_id",)) -> DataFrame:
+    """M2 + M3: per fold ``sigmoid(a * margin + b)`` per class, normalised, then
     averaged over folds; class = argmax, confidence = max probability,
-    ``probabilities`` = array of ``(label, prob)`` sorted descending."""
-    feats, models, platt, k = fitted
-    x = drop_feature_temps(feats.transform(df))
-    fold_probs = []
-    for f, m in enumerate(models):
-        # every fold model scores the same rows in turn: no joins
-        x = (m.transform(x).withColumn(f"_m{f}", vector_to_array("rawPrediction"))
-             .drop("rawPrediction", "prediction"))
-        p = [F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(f"_m{f}")[c] + F.lit(b))))
-             for c, (a, b) in enumerate(platt[f])]
-        z = sum(p[1:], p[0])
-        x = x.withColumn(f"_p{f}", F.array(*[pi / z for pi in p]))
-        fold_probs.append(f"_p{f}")
-    avg = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                      lambda c: sum((F.col(c2)[c] for c2 in fold_probs[1:]), F.col(fold_probs[0])[c])
-                      / len(models))
-    out = x.select("doc_id", avg.alias("_prob"))
-    return probabilities_table(out, "_prob", labels or [str(i) for i in range(k)])
+    ``probabilities`` = array of ``(label, prob)`` sorted descending.  In-row:
+    no join, no shuffle."""
+    x = analyzed(df, params)
+    x = x.select(*keep, linear.scores(F.col("terms"), fits).alias("_prob"))
+    return probabilities_table(x, "_prob", labels or [str(i) for i in range(len(fits[0].coef))])
 
 
 def probabilities_table(df: DataFrame, prob: str, labels: list[str]) -> DataFrame:
@@ -220,17 +153,32 @@ def softmax_logits(df: DataFrame, logits: str = "logits") -> DataFrame:
 
 # --------------------------------------------------------------------------- M5 / M6
 
-def cv_weighted_f1(train: DataFrame, params: Params = DEFAULT, label: str = "topic_encoded") -> float:
-    """M5: mean weighted F1 over ``cv_folds`` folds."""
-    feats = fit_features(train, params)
-    x = drop_feature_temps(feats.transform(train)).withColumn("label", F.col(label).cast("double"))
-    n = x.count()
-    x = right_size(x, n)
-    est = svm(params, int(n * (params.cv_folds - 1) / params.cv_folds))
-    ev = MulticlassClassificationEvaluator(metricName="f1", labelCol="label", predictionCol="prediction")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        numFolds=params.cv_folds, seed=params.seed, parallelism=params.cv_folds)
-    return float(cv.fit(x).avgMetrics[0])
+def cv_weighted_f1(train: DataFrame, params: Params = DEFAULT, label: str = "topic_encoded",
+                   id_col: str = "doc_id") -> float:
+    """M5: mean weighted F1 over ``cv_folds`` stratified outer folds.  Per outer fold the calibrated pipeline (vocabulary
+    included) is fitted on the other rows; the fits of all outer and inner folds run together."""
+    outer, inner = params.cv_folds, params.calibration_folds
+    pairs = [(g, h) for g in range(outer) for h in range(inner)]
+    code = {pair: i for i, pair in enumerate(pairs)}
+    docs = _training(stratified_groups(train, label, id_col, params.seed, len(pairs)), params, label)
+    fits = fit_together(docs, [{code[p] for p in pairs if p[0] != g and p[1] != h} for g, h in pairs],
+                        [{code[p] for p in pairs if p[0] != g and p[1] == h} for g, h in pairs], params)
+    found = []
+    for g in range(outer):
+        own = [fits[code[g, h]] for h in range(inner)]
+        held = docs.filter(F.floor(F.col("group") / inner) == g).withColumn("_s", linear.scores(F.col("terms"), own))
+        found.append(held.select(F.lit(g).alias("fold"), "label",
+                                 (F.array_position("_s", F.array_max("_s")) - 1).cast("int").alias("p")))
+    counts = functools.reduce(DataFrame.union, found).groupBy("fold", "label", "p").agg(F.count(F.lit(1)).alias("n")).collect()
+    scores = []
+    for g in range(outer):  # outer folds x classes x classes counts
+        cells = [(r["label"], r["p"], r["n"]) for r in counts if r["fold"] == g]
+        total, f1 = sum(n for _, _, n in cells), 0.0
+        for c in {y for y, _, _ in cells}:
+            support, hits = sum(n for y, _, n in cells if y == c), sum(n for y, p, n in cells if y == p == c)
+            f1 += support * 2 * hits / (support + sum(n for _, p, n in cells if p == c))
+        scores.append(f1 / max(total, 1))
+    return sum(scores) / outer
 
 
 def search_space(trials: int, seed: int = DEFAULT.seed):

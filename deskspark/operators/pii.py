@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deskspark.functions import pii
+from deskspark.operators.common import bind
 
 
 def detect(df: DataFrame, text: str = "text") -> DataFrame:
@@ -24,11 +25,15 @@ def detect(df: DataFrame, text: str = "text") -> DataFrame:
 def scrub(df: DataFrame, text: str = "text", out: str = "scrubbed_text") -> DataFrame:
     """Replace, in pattern order, on the progressively scrubbed text, but
     only patterns that occur in the original (needs ``detect`` first)."""
-    res = df.withColumn(out, F.col(text))
+    done = F.col(text)
     for i, (tag, pat) in enumerate(pii.PII_PATTERNS):
-        res = res.withColumn(out, F.when(F.col(f"_pii{i}") > 0,
-                                         F.regexp_replace(F.col(out), "(?i)" + pat, tag)).otherwise(F.col(out)))
-    return res
+        # each step names the one before it once, so that a pushed-down copy doesn't double with every pattern
+        done = bind(done, _step(pii.flagged(pat), tag, F.col(f"_pii{i}")))
+    return df.withColumn(out, done)
+
+
+def _step(pattern: str, tag: str, hits: Column):
+    return lambda t: F.when(hits > 0, F.regexp_replace(t, pattern, tag)).otherwise(t)
 
 
 def types(df: DataFrame, details: str = "pii_details", out: str = "pii_types") -> DataFrame:

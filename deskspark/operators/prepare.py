@@ -185,9 +185,9 @@ def validate_requests(df: DataFrame, text: str = "text", params: Params = DEFAUL
     the transformer (10..512) endpoints.  Length is tested on the raw value,
     blank values are rejected, accepted values are stripped."""
     n = F.length(F.col(text))
-    blank = F.trim(F.regexp_replace(F.col(text), r"^\s+|\s+$", "")) == ""
+    blank = F.trim(F.regexp_replace(F.col(text), r"(?U)^\s+|\s+$", "")) == ""
     ok = lambda lo, hi: F.col(text).isNotNull() & (n >= lo) & (n <= hi) & ~blank
     return (df.withColumn("n_chars", n.cast("long"))
             .withColumn("agent_ok", ok(params.request_min_chars, params.request_max_chars))
             .withColumn("transformer_ok", ok(params.request_min_chars, params.transformer_max_chars))
-            .withColumn("text_stripped", F.regexp_replace(F.col(text), r"^\s+|\s+$", "")))
+            .withColumn("text_stripped", F.regexp_replace(F.col(text), r"(?U)^\s+|\s+$", "")))

@@ -42,12 +42,12 @@ def downstream_status(agent_ok: Column, model: Column, text: Column, params: Par
     failure as an internal error); 200 otherwise."""
     n = F.length(text)
     limit = F.when(model == "distilbert", params.transformer_max_chars).otherwise(params.request_max_chars)
-    blank = F.regexp_replace(text, r"^\s+|\s+$", "") == ""
+    blank = F.regexp_replace(text, r"(?U)^\s+|\s+$", "") == ""
     ok = (n >= params.request_min_chars) & (n <= limit) & ~blank
     return F.when(~agent_ok, 422).when(~ok, 500).otherwise(200)
 
 
-def route(df: DataFrame, fitted_langid, text: str = "text", id_col: str = "request_id",
+def route(df: DataFrame, fitted_langid, text: str = "text",
           complexity: Column | None = None, params: Params = DEFAULT,
           with_probabilities: bool = False) -> DataFrame:
     """Validate, scrub, detect language, count words, choose the model.
@@ -55,8 +55,7 @@ def route(df: DataFrame, fitted_langid, text: str = "text", id_col: str = "reque
     (used when that model is also the ticket classifier)."""
     x = P.validate_requests(df, text, params)
     x = pii.types(pii.scrub(pii.detect(x, text), text))
-    x = langid.predict(fitted_langid, x, "scrubbed_text", id_col, out="language",
-                       with_probabilities=with_probabilities)
+    x = langid.predict(fitted_langid, x, "scrubbed_text", out="language", with_probabilities=with_probabilities)
     x = x.withColumn("word_count", word_count(F.col("scrubbed_text")))
     x = x.withColumn("complexity", normalize_complexity(complexity, params))
     x = x.withColumn("model_used", choose_model(F.col("language"), F.col("word_count"), F.col("complexity"), params))

@@ -1,10 +1,10 @@
 """TF-IDF features in long form ``(doc_id, term, tf, tfidf)``.
 
-Plan shape: tokens and n-grams are built in-row (no shuffle); one partial
-aggregate gives per-document term counts; one more gives document and
-corpus frequencies per term.  The vocabulary is capped at
-``max_features`` rows, so it is broadcast; the per-document L2 norm is a
-window over the narrow ``(doc_id, term, w)`` rows.
+Plan shape: tokens, n-grams and the term counts of a document are built
+in-row (a document is one row).  The only shuffle is by term, after a
+map-side combine, for document and corpus frequencies.  The vocabulary has
+at most ``max_features`` terms, so it goes to the tasks whole; weights and
+norms are computed in-row and exploded last.
 """
 
 from __future__ import annotations
@@ -15,16 +15,21 @@ from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT, Params
 from deskspark.functions import stopwords
+from deskspark.functions.text import transliterate
+from deskspark.operators import linear
+from deskspark.operators.common import bind
 
-TOKEN = r"\b\w\w+\b"
+TOKEN = r"(?U)\b\w\w+\b"
 
 
 def analyze(df: DataFrame, text: str = "document_clean", stop_words: bool = True,
-            ngram_min: int = 1, ngram_max: int = 2, out: str = "terms") -> DataFrame:
-    """T1 + T2: lower-case tokens of two or more word characters, English
-    stop words removed, then every n-gram for n in [ngram_min, ngram_max]
-    (so a bigram may span a removed stop word)."""
-    x = df.withColumn("_tok", F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), 0))
+            ngram_min: int = 1, ngram_max: int = 2, out: str = "terms", strip_accents: bool = True) -> DataFrame:
+    """T1 + T2: lower-case tokens of two or more word characters with their
+    accents stripped, English stop words removed, then every n-gram for n in
+    [ngram_min, ngram_max] (so a bigram may span a removed stop word)."""
+    plain = F.lower(F.col(text))
+    plain = transliterate(plain) if strip_accents else plain
+    x = df.withColumn("_tok", F.regexp_extract_all(plain, F.lit(TOKEN), 0))
     if stop_words:
         rem = StopWordsRemover(inputCol="_tok", outputCol="_tok2", stopWords=list(stopwords.english()),
                                caseSensitive=True)
@@ -45,41 +50,55 @@ def analyze(df: DataFrame, text: str = "document_clean", stop_words: bool = True
     return x.withColumn(out, F.concat(*grams) if len(grams) > 1 else grams[0]).drop("_tok")
 
 
-def term_counts(df: DataFrame, keys=("doc_id",), terms: str = "terms") -> DataFrame:
-    """``keys + (term, tf)``: occurrences of each term in each document."""
-    return (df.select(*keys, F.explode(terms).alias("term"))
-            .groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")))
+def counted(terms: Column) -> Column:
+    """The distinct terms of an array with their counts, ``array<struct<term, tf>>`` in term order: the runs of the sorted
+    array, linear after the sort."""
+    none = F.lit(None).cast("string")
 
+    def starts(s):
+        before = F.concat(F.array(none), F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0))))
+        first = F.zip_with(s, before, lambda t, b: F.when(~t.eqNullSafe(b), t))
+        return F.struct(F.size(s).alias("n"), F.filter(F.transform(first, lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
+                                                       lambda z: z["term"].isNotNull()).alias("first"))
 
-def vocabulary(counts: DataFrame, n_docs: Column | int, min_df: int = DEFAULT.min_df,
-               max_df: float = DEFAULT.max_df, max_features: int | None = DEFAULT.max_features) -> DataFrame:
+    def runs(x):
+        ends = F.slice(F.concat(x["first"]["at"], F.array(x["n"])), 2, F.size(x["first"]))
+        return F.zip_with(x["first"], ends, lambda z, e: F.struct(z["term"].alias("term"), (e - z["at"]).cast("long").alias("tf")))
+
+    return bind(bind(F.array_sort(terms), starts), runs)
+
+
+def term_stats(docs: DataFrame, terms: str = "terms") -> DataFrame:
+    """``(term, df, cf)``: document and corpus frequency of every term, one shuffle by term."""
+    return (docs.select(F.inline(counted(F.col(terms)))).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")))
+
+
+def vocabulary(stats: DataFrame, n_docs: Column | int, min_df: int = DEFAULT.min_df,
+               max_df: float = DEFAULT.max_df, max_features: int = DEFAULT.max_features) -> DataFrame:
     """Document frequency within [min_df, max_df * n_docs], then the
     ``max_features`` terms of highest corpus frequency (ties: term asc).
     Adds the smoothed idf ``ln((1 + n) / (1 + df)) + 1`` (T4)."""
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     keep = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n))
-    if max_features:
-        keep = keep.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
+    keep = keep.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
     return keep.withColumn("idf", F.log((F.lit(1) + n) / (F.lit(1) + F.col("df"))) + 1)
 
 
-def weights(counts: DataFrame, vocab: DataFrame, keys=("doc_id",)) -> DataFrame:
-    """T4: ``tf * idf`` scaled to unit L2 norm per document."""
-    j = counts.join(F.broadcast(vocab.select("term", "idf")), "term")  # <= max_features rows
-    j = j.withColumn("_w", F.col("tf") * F.col("idf"))
-    z = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*keys)))
-    return j.withColumn("tfidf", F.col("_w") / z).drop("_w", "idf")
+def fit(docs: DataFrame, params: Params = DEFAULT, text: str = "document_clean", stop_words: bool = True) -> DataFrame:
+    """The vocabulary of a corpus."""
+    a = analyze(docs, text, stop_words, params.ngram_min, params.ngram_max)
+    return vocabulary(term_stats(a), docs.count(), params.min_df, params.max_df, params.max_features)
 
 
-def fit_transform(docs: DataFrame, params: Params = DEFAULT, text: str = "document_clean",
-                  stop_words: bool = True, keys=("doc_id",)):
-    """Returns ``(vocabulary, weights)`` for a corpus."""
+def transform(docs: DataFrame, vocab: DataFrame, params: Params = DEFAULT, text: str = "document_clean",
+              stop_words: bool = True, keys=("doc_id",)) -> DataFrame:
+    """T4: ``keys + (term, tf, tfidf)``, tf * idf scaled to unit L2 norm per document.  Works row by row: repeated
+    keys stay apart."""
+    rows = vocab.select("term", "idf").orderBy("term").collect()  # at most max_features rows
     a = analyze(docs, text, stop_words, params.ngram_min, params.ngram_max)
-    counts = term_counts(a, keys)
-    n_docs = docs.count()
-    vocab = vocabulary(counts, n_docs, params.min_df, params.max_df, params.max_features)
-    return vocab, weights(counts, vocab, keys)
+    w = linear.tfidf_column(F.col("terms"), [r["term"] for r in rows], [r["idf"] for r in rows])
+    return a.select(*keys, w.alias("_w")).select(*keys, F.inline("_w"))
 
 
 def top_terms_per_class(docs: DataFrame, params: Params = DEFAULT, k: int = DEFAULT.top_terms,
@@ -87,7 +106,7 @@ def top_terms_per_class(docs: DataFrame, params: Params = DEFAULT, k: int = DEFA
     """Per class, the ``k`` terms with the largest mean TF-IDF over all
     the class's documents (vectoriser without a stop list).  The
     ``row_number() <= k`` filter is planned as a window group-limit."""
-    vocab, w = fit_transform(docs, params, text, stop_words=False, keys=("doc_id", label))
+    w = transform(docs, fit(docs, params, text, False), params, text, False, (label,))
     n_class = docs.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     sums = w.groupBy(label, "term").agg(F.sum("tfidf").alias("_s"))
     score = sums.join(n_class, label).withColumn("score", F.col("_s") / F.col("_n"))

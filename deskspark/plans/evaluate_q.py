@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from deskspark.operators import evaluate as V
 from deskspark.operators import langid
+from deskspark.operators.common import materialize
 from deskspark.plans import register
 from deskspark.plans.prepare_q import PREP, SPLIT, prepared_split
 from deskspark.plans.request_q import TRAIN_SRC, fitted_langid
@@ -27,11 +28,18 @@ pcf AS (SELECT *, coalesce(CASE WHEN precision + recall > 0 THEN 2 * precision *
                   AS f1 FROM pc)"""
 
 
+_SCORED: dict = {}
+
+
 def predictions(spark, sf_dir, text="document"):
-    """``(doc_id, split, y, p)`` for every prepared ticket."""
+    """``(doc_id, split, y, p)`` for every prepared ticket, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), text)
+    if key in _SCORED:
+        return _SCORED[key]
     sp = prepared_split(spark, sf_dir, reuse=True)
-    pr = langid.predict(fitted_langid(spark, sf_dir), sp, text, "doc_id", out="p", with_probabilities=True)
-    return pr.select("doc_id", "split", F.col("topic_group").alias("y"), "p", "confidence", "probabilities")
+    pr = langid.predict(fitted_langid(spark, sf_dir), sp, text, out="p", with_probabilities=True)
+    pr = pr.select("doc_id", "split", F.col("topic_group").alias("y"), "p", "confidence", "probabilities")
+    return _SCORED.setdefault(key, materialize(pr))
 
 
 def _test(spark, sf_dir):
@@ -102,8 +110,8 @@ def model_comparison(spark, sf_dir):
     sp = prepared_split(spark, sf_dir, reuse=True)
     fitted = fitted_langid(spark, sf_dir)
     test = sp.filter(F.col("split") == "test")
-    a = langid.predict(fitted, test, "document", "doc_id", out="p").select("doc_id", F.col("topic_group").alias("y"), "p")
-    b = langid.predict(fitted, test, "document_clean", "doc_id", out="p").select("doc_id", "p")
+    a = langid.predict(fitted, test, "document", out="p").select("doc_id", F.col("topic_group").alias("y"), "p")
+    b = langid.predict(fitted, test, "document_clean", out="p").select("doc_id", "p")
     return V.compare_models(a, b)
 
 

@@ -250,7 +250,7 @@ SELECT CAST(count(*) AS BIGINT) AS repeated_texts, CAST(count(*) FILTER (WHERE k
 def consistency_check(spark, sf_dir):
     """Repeated document texts must get one predicted class."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pred = langid.predict(fitted_langid(spark, sf_dir), docs, "text", "doc_id", out="p")
+    pred = langid.predict(fitted_langid(spark, sf_dir), docs, "text", out="p")
     return O.consistency(pred)
 
 

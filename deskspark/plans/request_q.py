@@ -80,7 +80,7 @@ SELECT doc_id, language FROM nbp""")
 def language_detection(spark, sf_dir):
     """Detected language of every test-split ticket."""
     test = prepared_split(spark, sf_dir).filter(F.col("split") == "test")
-    return langid.predict(fitted_langid(spark, sf_dir), test, "document", "doc_id").select("doc_id", "language")
+    return langid.predict(fitted_langid(spark, sf_dir), test, "document").select("doc_id", "language")
 
 
 def requests(spark, sf_dir):
@@ -112,7 +112,7 @@ rm AS (SELECT *, CASE WHEN language <> 'en' THEN 'distilbert'
 
 
 def routed(spark, sf_dir):
-    return R.route(requests(spark, sf_dir), fitted_langid(spark, sf_dir), id_col=["conv_id", "turn"])
+    return R.route(requests(spark, sf_dir), fitted_langid(spark, sf_dir))
 
 
 @register("route_choice", f"""
@@ -150,7 +150,7 @@ def request_scoring(spark, sf_dir):
     """Validate -> scrub -> route -> predict -> response rows.  The
     predictor is the trigram model over the ticket topic (= language in the
     driver binding); probabilities are a softmax over its class scores."""
-    r = R.route(requests(spark, sf_dir), fitted_langid(spark, sf_dir), id_col=["conv_id", "turn"],
+    r = R.route(requests(spark, sf_dir), fitted_langid(spark, sf_dir),
                 with_probabilities=True)
     # the topic is the language in this binding, so the routing model's
     # scores are the prediction: one pass, no second scoring join

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from deskspark.config import DEFAULT
-from deskspark.functions.text import clean_text_sql
+from deskspark.functions.text import clean_text_sql, unicode_re2
 
 
 def md5_key(id_expr: str, salt: str) -> str:
@@ -45,7 +45,8 @@ sp AS (SELECT rk.* EXCLUDE (r_strat, r_all),
 
 
 def words_sql(x: str) -> str:
-    t = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    run = unicode_re2(r"\s+")
+    t = f"trim(regexp_replace({x}, '{run}', ' ', 'g'))"
     return f"(CASE WHEN {t} = '' THEN []::VARCHAR[] ELSE string_split({t}, ' ') END)"
 
 
@@ -85,7 +86,7 @@ tl AS (SELECT topic_group, 'word_count' AS feature, CAST(word_count AS DOUBLE) A
 def pii_count_cols(text: str) -> str:
     from deskspark.functions.pii import PII_PATTERNS
 
-    return ", ".join(f"CAST(len(regexp_extract_all({text}, '{p}', 0, 'i')) AS BIGINT) AS c{i}"
+    return ", ".join(f"CAST(len(regexp_extract_all({text}, '{unicode_re2(p)}', 0, 'i')) AS BIGINT) AS c{i}"
                      for i, (_, p) in enumerate(PII_PATTERNS))
 
 
@@ -105,7 +106,7 @@ def pii_scrub_ctes(src: str, ids: str, text: str = "text") -> str:
              f"pd AS (SELECT *, {pii_details_sql()} AS details FROM pc)",
              "s0 AS (SELECT *, text AS scrubbed FROM pd)"]
     for i, (tag, p) in enumerate(PII_PATTERNS):
-        parts.append(f"s{i + 1} AS (SELECT * REPLACE (CASE WHEN c{i} > 0 THEN regexp_replace(scrubbed, '{p}', "
+        parts.append(f"s{i + 1} AS (SELECT * REPLACE (CASE WHEN c{i} > 0 THEN regexp_replace(scrubbed, '{unicode_re2(p)}', "
                      f"'{tag}', 'gi') ELSE scrubbed END AS scrubbed) FROM s{i})")
     parts.append(f"ps AS (SELECT * FROM s{len(PII_PATTERNS)})")
     return ",\n".join(parts)

@@ -67,18 +67,12 @@ def ngram_counts(spark, sf_dir):
                               F.count(F.lit(1)).alias("occurrences"))
 
 
-def _fit(spark, sf_dir):
-    docs = train_docs(spark, sf_dir)
-    return T.fit_transform(docs)
-
-
 @register("tfidf_vocabulary", f"""
 WITH {PREP}, {SPLIT}, {tfidf_sql_ctes()}
 SELECT term, df, cf, round(idf, 6) AS idf FROM vocab""")
 def tfidf_vocabulary(spark, sf_dir):
     """T3 (+ idf of T4)."""
-    vocab, _ = _fit(spark, sf_dir)
-    return vocab.select("term", "df", "cf", F.round("idf", 6).alias("idf"))
+    return T.fit(train_docs(spark, sf_dir)).select("term", "df", "cf", F.round("idf", 6).alias("idf"))
 
 
 @register("tfidf_weights", f"""
@@ -86,7 +80,8 @@ WITH {PREP}, {SPLIT}, {tfidf_sql_ctes()}
 SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM tw""")
 def tfidf_weights(spark, sf_dir):
     """T4: unit-normalised TF-IDF of every (training document, term)."""
-    _, w = _fit(spark, sf_dir)
+    docs = train_docs(spark, sf_dir)
+    w = T.transform(docs, T.fit(docs))
     return w.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -94,8 +89,7 @@ def tfidf_weights(spark, sf_dir):
 WITH {PREP}, {SPLIT}, {tfidf_sql_ctes()} SELECT CAST(count(*) AS BIGINT) AS n_features FROM vocab""")
 def feature_count(spark, sf_dir):
     """T5."""
-    vocab, _ = _fit(spark, sf_dir)
-    return vocab.agg(F.count(F.lit(1)).alias("n_features"))
+    return T.fit(train_docs(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_features"))
 
 
 @register("top_terms_per_class", f"""

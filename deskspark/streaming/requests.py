@@ -13,7 +13,7 @@ from deskspark.session import ensure_checkpoint_dir
 
 
 def score_batch(batch: DataFrame, fitted) -> DataFrame:
-    r = R.route(batch, fitted, id_col=["conv_id", "turn"], with_probabilities=True)
+    r = R.route(batch, fitted, with_probabilities=True)
     ok = r.filter(F.col("status") == 200).withColumn("predicted_class", F.col("language"))
     return ok.select("conv_id", "turn", "predicted_class", "confidence", "model_used", "pii_detected",
                      "pii_details", F.to_json("routing_explanation").alias("routing_explanation"), "status")

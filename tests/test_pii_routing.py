@@ -78,3 +78,27 @@ def test_downstream_status(spark):
     got = [r["s"] for r in df.select(R.downstream_status(F.col("ok"), F.col("m"), F.col("t"), DEFAULT)
                                      .alias("s")).collect()]
     assert got == [500, 200, 422]
+
+
+def test_unicode_spaces_digits_and_neighbours(spark):
+    """Values as Python's ``re`` gives them."""
+    assert _pii(spark, "http://10.0.0.1/x\u00a0bonjour")["scrubbed_text"] == "[URL]\u00a0bonjour"
+    assert _pii(spark, "Telé555-123-4567")["pii_types"] == []
+    assert _pii(spark, "ssn ١٢٣-45-6789")["pii_types"] == ["ssn"]
+    from deskspark.functions.text import word_count
+
+    df = spark.createDataFrame([("prix\u00a0:\u00a05 euros",)], "text string")
+    assert df.select(word_count(F.col("text")).alias("n")).first()["n"] == 4
+
+
+def test_filter_on_route_does_not_repeat_the_text_work(spark):
+    from deskspark.operators import langid
+
+    train = spark.createDataFrame([("the printer is broken", "en"), ("imprimante en panne", "fr")],
+                                  "document string, topic_group string")
+    df = spark.createDataFrame([(1, "the printer is broken again"), (1, "imprimante toujours en panne"), (2, None)],
+                               "request_id long, text string")
+    routed = R.route(df, langid.fit(train)).filter("status = 200")
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan and "Join" not in plan
+    assert sorted(r["language"] for r in routed.collect()) == ["en", "fr"]
