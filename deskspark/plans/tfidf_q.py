@@ -40,7 +40,7 @@ tw AS (SELECT wt.* EXCLUDE (w), w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))
 
 
 def train_docs(spark, sf_dir):
-    return prepared_split(spark, sf_dir).filter(F.col("split") == "train")
+    return prepared_split(spark, sf_dir, reuse=True).filter(F.col("split") == "train")
 
 
 @register("analyzer_terms", f"""
