@@ -55,7 +55,9 @@ class Params:
     buffer_trim_above: int = 1000
     buffer_keep: int = 500
     rate_window: str = "5 minutes"
-    checkpoint_window: str = "1 hour"
+    rate_window_seconds: int = 300
+    # the alert rules' own evaluation interval
+    alert_step_seconds: int = 10
 
     # --- broadcast guard ----------------------------------------------------
     # a derived table is broadcast only when it has at most this many rows

@@ -108,3 +108,42 @@ def exact_row_number(df: DataFrame, by: list[str], order: list[str], bucket: Col
     y = x.join(off, [*by, "_b"])
     w2 = Window.partitionBy(*by, "_b").orderBy(*order)
     return y.withColumn(out, (F.row_number().over(w2) + F.col("_off")).cast("long")).drop("_b", "_off")
+
+
+def exact_percentiles(df: DataFrame, by: list[str], value: str, qs: list[float], accuracy: int = 10000) -> DataFrame:
+    """Exact linear-interpolated percentiles ``_q0, _q1, ...`` of ``value`` per group, nulls left out, without a buffer
+    that grows with the number of distinct values.
+
+    ``percentile_approx`` (a bounded sketch) brackets each rank within ``2 / accuracy``; the rows below a bracket are
+    counted, and only the distinct values inside it are ranked.  The next value on either side covers a rank that
+    falls just outside, as in small groups."""
+    x = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    eps = 2 / accuracy
+    ends = [e for q in qs for e in (max(q - eps, 0.0), min(q + eps, 1.0))]
+    keys = [f"_k{j}" for j in range(len(by))]
+
+    def joined(left, right):
+        right = right.withColumnsRenamed(dict(zip(by, keys)))
+        return left.join(right, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys)]).drop(*keys)
+
+    y = joined(x, x.groupBy(*by).agg(F.percentile_approx("_v", ends, accuracy).alias("_e")))
+    v, each = F.col("_v"), range(len(qs))
+    lo, hi = [F.col("_e")[2 * i] for i in each], [F.col("_e")[2 * i + 1] for i in each]
+    around = F.array(*[F.struct(F.count_if(v < lo[i]).alias("below"), F.max(F.when(v < lo[i], v)).alias("prev"),
+                                F.min(F.when(v > hi[i], v)).alias("next"), F.lit(qs[i]).alias("q")) for i in each])
+    totals = y.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), around.alias("_around"))
+    within = F.filter(F.array(*[F.when(v.between(lo[i], hi[i]), F.lit(i)) for i in each]), lambda i: i.isNotNull())
+    inside = y.select(*by, "_v", F.explode(within).alias("_i")).groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    a = F.col("_a")
+    z = (joined(inside.withColumn("_upto", F.sum("_c").over(w)), totals).withColumn("_a", F.element_at("_around", F.col("_i") + 1))
+         .withColumn("_pos", a["q"] * (F.col("_n") - 1)))
+
+    def at(rank):
+        found = F.coalesce(F.min(F.when(a["below"] + F.col("_upto") > rank, v)), F.first(a["next"]))
+        return F.when(F.first(rank) < F.first(a["below"]), F.first(a["prev"])).otherwise(found)
+
+    z = z.groupBy(*by, "_i").agg(at(F.floor("_pos")).alias("_lo"), at(F.ceil("_pos")).alias("_hi"),
+                                 F.first(F.col("_pos") - F.floor("_pos")).alias("_part"))
+    val = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")
+    return z.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, val)).alias(f"_q{i}") for i in each])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT, Params
-from deskspark.operators.common import exact_row_number
+from deskspark.operators.common import exact_percentiles, exact_row_number
 
 # ---------------------------------------------------------------------------
 # Histogram bucket bounds and service-level targets.
@@ -29,6 +29,7 @@ THRESHOLD_ALERTS = (
 DISTRIBUTION_ALERTS = (
     ("LowConfidencePredictions", "confidence_p25", "<", 0.6, 300),
     ("ClassImbalance", "n_classes", "<", 5.0, 600),
+    ("HighPIIDetected", "pii_rate", ">", 10.0, 120),
 )
 
 
@@ -67,9 +68,8 @@ def cumulative_histogram(ev: DataFrame, value: str, bounds, by=("service",)) ->
 
 def latency_percentiles(ev: DataFrame, by=("service",)) -> DataFrame:
     """Exact linear-interpolated P95 / P99."""
-    q = F.percentile("latency", F.array(F.lit(0.95), F.lit(0.99)))
-    return ev.groupBy(*by).agg(q.alias("_q")).select(
-        *by, F.round(F.col("_q")[0], 6).alias("p95_latency"), F.round(F.col("_q")[1], 6).alias("p99_latency"))
+    return exact_percentiles(ev, list(by), "latency", [0.95, 0.99]).select(
+        *by, F.round("_q0", 6).alias("p95_latency"), F.round("_q1", 6).alias("p99_latency"))
 
 
 def error_rate(ev: DataFrame, by=("service",)) -> DataFrame:
@@ -101,39 +101,12 @@ def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 sec
     own = x.withColumn("_own", F.lit(True))
     carry = x.filter(rn >= nxt - keep).withColumn("_epoch", F.col("_epoch") + 1).withColumn("_own", F.lit(False))
     both = own.unionByName(carry).select("service", "_epoch", "rn", "ts", "latency", "_own")
-    # every (service, epoch) group holds at most trim_above + 1 + keep rows,
-    # so the per-group pandas function has a proven memory bound
-    return both.groupBy("service", "_epoch").applyInPandas(
-        _buffer_percentiles(first, cyc),
-        "service string, rn long, ts timestamp_ntz, buffer_size long, p95_latency double, p99_latency double")
-
-
-def _linear_percentile(sorted_vals, q):
-    pos = q * (len(sorted_vals) - 1)
-    lo = int(pos)
-    hi = min(lo + 1, len(sorted_vals) - 1)
-    return sorted_vals[lo] + (sorted_vals[hi] - sorted_vals[lo]) * (pos - lo)
-
-
-def _buffer_percentiles(first: int, cyc: int):
-    import bisect
-
-    import pandas as pd
-
-    def run(pdf):
-        pdf = pdf.sort_values("rn", kind="mergesort")
-        buf: list = []
-        out = []
-        for rn, ts, lat, own in zip(pdf["rn"], pdf["ts"], pdf["latency"], pdf["_own"]):
-            bisect.insort(buf, lat)
-            if own:
-                size = rn if rn <= first else cyc + (rn - first - 1) % cyc
-                out.append((rn, ts, size, round(_linear_percentile(buf, 0.95), 9),
-                            round(_linear_percentile(buf, 0.99), 9)))
-        res = pd.DataFrame(out, columns=["rn", "ts", "buffer_size", "p95_latency", "p99_latency"])
-        res.insert(0, "service", pdf["service"].iloc[0] if len(pdf) else None)
-        return res
-    return run
+    growing = Window.partitionBy("service", "_epoch").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_q", F.percentile("latency", F.array(F.lit(0.95), F.lit(0.99))).over(growing))
+    size = F.when(rn <= first, rn).otherwise(F.lit(cyc) + (rn - first - 1) % cyc)
+    return both.filter("_own").select("service", "rn", "ts", size.alias("buffer_size"),
+                                      F.round(F.col("_q")[0], 9).alias("p95_latency"),
+                                      F.round(F.col("_q")[1], 9).alias("p99_latency"))
 
 
 def windowed_rate(ev: DataFrame, width: str = DEFAULT.rate_window, seconds: int = 300, by=("service",),
@@ -168,45 +141,47 @@ def histogram_quantile(hist: DataFrame, q: float = 0.95, by=("service",)) -> Dat
     return first.select(*by, F.round(val, 6).alias(f"q{int(q * 100)}"))
 
 
-def hourly_gauges(ev: DataFrame, buffer: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Gauge values seen by the alert rules at the end of every evaluation
-    window: cumulative error rate and the rolling-buffer percentiles after
-    the window's last prediction; windows without events keep the last
-    value (a gauge holds until it is set again)."""
-    width = params.checkpoint_window
-    per = ev.groupBy("service", F.window("ts", width).start.alias("t")).agg(
+def _evaluated(params: Params) -> Column:
+    """The first evaluation of the alert rules that sees an event: the end of its evaluation step."""
+    return F.window("ts", f"{params.alert_step_seconds} seconds").end.alias("t")
+
+
+def service_gauges(ev: DataFrame, buffer: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Gauge values seen by the alert rules: cumulative error rate and the
+    rolling-buffer percentiles.  One row per service and evaluation at which
+    they may have changed, valid from ``t`` until the next change (a gauge
+    holds until it is set again), so no grid of evaluations is made."""
+    per = ev.groupBy("service", _evaluated(params)).agg(
         F.count_if("is_error").alias("_e"), F.count_if(~F.col("is_error")).alias("_s"))
-    last = buffer.groupBy("service", F.window("ts", width).start.alias("t")).agg(
+    last = buffer.groupBy("service", _evaluated(params)).agg(
         F.max_by(F.struct("p95_latency", "p99_latency"), F.col("rn")).alias("_b"))
-    # every window between the first and the last one, per service (an
-    # explode of a bounded sequence, not a join)
-    span = per.groupBy("service").agg(F.min("t").alias("_lo"), F.max("t").alias("_hi"))
-    grid = span.select("service", F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {width}"))).alias("t"))
-    g = grid.join(per, ["service", "t"], "left").join(last, ["service", "t"], "left")
-    run = Window.partitionBy("service").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    g = (g.withColumn("_ce", F.sum(F.coalesce("_e", F.lit(0))).over(run))
-         .withColumn("_cs", F.sum(F.coalesce("_s", F.lit(0))).over(run))
-         .withColumn("_lb", F.last("_b", ignorenulls=True).over(run)))
-    return g.select("service", "t",
+    w = Window.partitionBy("service").orderBy("t")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    end = F.timestamp_add("SECOND", F.lit(params.alert_step_seconds), per.select(F.max("t")).scalar())
+    g = (per.join(last, ["service", "t"], "left")
+         .withColumn("_ce", F.sum("_e").over(run)).withColumn("_cs", F.sum("_s").over(run))
+         .withColumn("_lb", F.last("_b", ignorenulls=True).over(run)).withColumn("_next", F.lead("t").over(w)))
+    return g.select("service", "t", F.coalesce("_next", end).alias("until"),
                     F.try_divide(F.col("_ce") * 100.0, F.col("_cs")).alias("error_rate"),
                     F.col("_lb.p95_latency").alias("p95_latency"), F.col("_lb.p99_latency").alias("p99_latency"))
 
 
-def for_duration(cond_rows: DataFrame, by: list[str], interval_seconds: int) -> DataFrame:
-    """An alert is *pending* from the first evaluation where its
-    condition holds and *firing* once it has held for ``for_s`` seconds
-    without a break (gaps-and-islands over consecutive evaluations).
-    Input: ``by + (t, alert, active, value, for_s)`` with one row per
-    evaluation time."""
+def alert_periods(cond: DataFrame, by: list[str], step_seconds: int) -> DataFrame:
+    """The periods in which an alert's condition holds without a break.
+
+    Input: ``by + (t, until, alert, value, active, for_s)``, a gauge value valid from ``t`` until ``until``.  A
+    period ends with an inactive value and also where no value is valid.  The alert is *pending* from ``active_from``
+    and *firing* from ``firing_from``, the evaluation at which it has held for ``for_s`` seconds (null if it never
+    does); ``active_until`` is the first evaluation at which it doesn't hold, or the end of the observed range."""
     w = Window.partitionBy(*by, "alert").orderBy("t")
-    x = cond_rows.withColumn("_brk", F.when(F.col("active") & ~F.coalesce(F.lag("active").over(w), F.lit(False)), 1)
-                             .otherwise(0))
-    x = x.withColumn("_isl", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    x = x.filter("active")
-    start = F.min("t").over(Window.partitionBy(*by, "alert", "_isl"))
-    held = F.timestamp_diff("MICROSECOND", start, F.col("t")) / 1e6
-    return x.select(*by, "t", "alert", F.round("value", 6).alias("value"),
-                    F.when(held >= F.col("for_s"), "firing").otherwise("pending").alias("state"))
+    x = cond.filter("active").withColumn("_new", F.when(F.lag("until").over(w) >= F.col("t"), 0).otherwise(1))
+    x = x.withColumn("_period", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    p = x.groupBy(*by, "alert", "_period").agg(
+        F.min("t").alias("active_from"), F.max("until").alias("active_until"),
+        F.round(F.min_by("value", "t"), 6).alias("value"), F.max("for_s").alias("for_s"))
+    held = F.timestamp_diff("SECOND", F.col("active_from"), F.col("active_until")) - step_seconds
+    firing = F.when(held >= F.col("for_s"), F.timestamp_add("SECOND", F.col("for_s"), F.col("active_from")))
+    return p.select(*by, "alert", "active_from", "active_until", firing.alias("firing_from"), "value")
 
 
 def _conditions(g: DataFrame, by: list[str], rules) -> DataFrame:
@@ -216,39 +191,48 @@ def _conditions(g: DataFrame, by: list[str], rules) -> DataFrame:
         active = (v > thr) if op == ">" else (v < thr)
         cells.append(F.struct(F.lit(name).alias("alert"), v.alias("value"),
                               F.coalesce(active, F.lit(False)).alias("active"), F.lit(for_s).alias("for_s")))
-    return g.select(*by, "t", F.inline(F.array(*cells)))
+    return g.select(*by, "t", "until", F.inline(F.array(*cells)))
 
 
 def threshold_alerts(gauges: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """O16 evaluated once per checkpoint window."""
-    return for_duration(_conditions(gauges, ["service"], THRESHOLD_ALERTS), ["service"], 3600)
+    """Periods of the latency and error-rate alerts per service."""
+    return alert_periods(_conditions(gauges, ["service"], THRESHOLD_ALERTS), ["service"], params.alert_step_seconds)
 
 
-def distribution_gauges(ev: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    ok = ev.filter(~F.col("is_error"))
-    return ok.groupBy(F.window("ts", params.checkpoint_window).start.alias("t")).agg(
-        F.percentile("confidence", 0.25).alias("confidence_p25"),
-        F.count_distinct("class_name").cast("double").alias("n_classes"))
+def distribution_gauges(ev: DataFrame, detections: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Per rate window: 25th-percentile confidence, number of predicted classes and PII detections per second
+    (``detections``: ts, n).  A value is known at the window's end and valid for one window's length; a
+    window without events has none."""
+    width, seconds = params.rate_window, params.rate_window_seconds
+    t = F.window("ts", width).end.alias("t")
+    ok = ev.filter(~F.col("is_error")).withColumn("t", t)
+    p25 = exact_percentiles(ok, ["t"], "confidence", [0.25]).withColumnRenamed("_q0", "confidence_p25")
+    classes = ok.groupBy("t").agg(F.count_distinct("class_name").cast("double").alias("n_classes"))
+    rate = detections.groupBy(t).agg((F.sum("n") / seconds).alias("pii_rate"))
+    g = classes.join(p25, "t", "left").join(rate, "t", "full")
+    return g.withColumn("until", F.timestamp_add("SECOND", F.lit(seconds), F.col("t")))
 
 
-def distribution_alerts(ev: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Low 25th-percentile confidence and too few predicted classes."""
-    g = distribution_gauges(ev, params).withColumn("_all", F.lit("all"))
-    return for_duration(_conditions(g, ["_all"], DISTRIBUTION_ALERTS), ["_all"], 3600).drop("_all")
+def distribution_alerts(ev: DataFrame, detections: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Low 25th-percentile confidence, too few predicted classes, high rate of PII detections."""
+    g = distribution_gauges(ev, detections, params).withColumn("_all", F.lit("all"))
+    return alert_periods(_conditions(g, ["_all"], DISTRIBUTION_ALERTS), ["_all"], params.alert_step_seconds).drop("_all")
 
 
 def source_silence(ev: DataFrame, gap_seconds: int = 60) -> DataFrame:
     """Gaps longer than ``gap_seconds`` between consecutive events of a
-    service.  A gap that long always crosses a minute boundary, so the
+    service, and (``ongoing``) from its last event to the last event of all.
+    A gap that long always crosses a minute boundary, so the
     scan is reduced to per-(service, minute) min/max first; the ordered
     window then runs over that small table, never over a service's rows."""
     per = ev.groupBy("service", F.window("ts", "1 minute").start.alias("_m")).agg(
-        F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+        F.min("ts").alias("_first"), F.max("ts").alias("silence_start"))
     w = Window.partitionBy("service").orderBy("_m")
-    x = per.withColumn("silence_start", F.lag("_last").over(w)).withColumnRenamed("_first", "silence_end")
+    x = per.withColumn("_next", F.lead("_first").over(w))
+    x = x.withColumn("silence_end", F.coalesce("_next", ev.select(F.max("ts")).scalar()))
     gap = F.timestamp_diff("MICROSECOND", F.col("silence_start"), F.col("silence_end")) / 1e6
     return (x.withColumn("gap_seconds", F.round(gap, 6)).filter(F.col("gap_seconds") > gap_seconds)
-            .select("service", "silence_start", "silence_end", "gap_seconds"))
+            .select("service", "silence_start", "silence_end", "gap_seconds", F.isnull("_next").alias("ongoing")))
 
 
 def consistency(pred: DataFrame, text: str = "text", p: str = "p") -> DataFrame:

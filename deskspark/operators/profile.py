@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskspark.functions.text import words
+from deskspark.operators.common import exact_percentiles
 
 FEATURES = ("word_count", "char_count", "avg_word_length", "unique_ratio")
 
@@ -70,20 +71,22 @@ def length_stats(df: DataFrame, text: str = "document") -> DataFrame:
                   r6(F.stddev_samp(ln)).alias("std"), F.min(ln).alias("min"), F.max(ln).alias("max"))
 
 
-def _quartiles(col: Column, approx: bool = False) -> Column:
-    """Exact linear-interpolated quartiles; ``approx=True`` switches to
-    ``percentile_approx`` (bounded sketch) for float features whose exact
-    buffer would grow with the number of distinct values."""
-    if approx:
-        return F.percentile_approx(col, [0.25, 0.5, 0.75], 10000).cast("array<double>")
-    return F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+QUARTILES = [0.25, 0.5, 0.75]
 
 
-def _describe(col: Column, approx: bool = False):
-    qs = _quartiles(col, approx)
+def _quartiles(col: Column) -> Column:
+    """Exact linear-interpolated quartiles of an integer column of few distinct values (lengths)."""
+    return F.percentile(col, F.array(*map(F.lit, QUARTILES)))
+
+
+def _moments(col: Column):
     return [F.count(col).alias("count"), r6(F.avg(col)).alias("mean"), r6(F.stddev_samp(col)).alias("std"),
-            r6(F.min(col).cast("double")).alias("min"), r6(qs[0]).alias("q25"), r6(qs[1]).alias("q50"),
-            r6(qs[2]).alias("q75"), r6(F.max(col).cast("double")).alias("max")]
+            r6(F.min(col).cast("double")).alias("min"), r6(F.max(col).cast("double")).alias("max")]
+
+
+def _describe(col: Column):
+    qs = _quartiles(col)
+    return [*_moments(col), r6(qs[0]).alias("q25"), r6(qs[1]).alias("q50"), r6(qs[2]).alias("q75")]
 
 
 def describe_lengths(df: DataFrame, text: str = "document") -> DataFrame:
@@ -156,18 +159,20 @@ def _features_long(df: DataFrame, topic: str) -> DataFrame:
         F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in FEATURES])))
 
 
-def features_by_class(df: DataFrame, topic: str = "topic_group", approx: bool = False) -> DataFrame:
-    """describe() of the four E11 features per class (one group-by)."""
-    return _features_long(df, topic).groupBy(topic, "feature").agg(*_describe(F.col("v"), approx))
+def features_by_class(df: DataFrame, topic: str = "topic_group") -> DataFrame:
+    """describe() of the four E11 features per class."""
+    long = _features_long(df, topic)
+    qs = exact_percentiles(long, [topic, "feature"], "v", QUARTILES).select(
+        F.col(topic).alias("_t"), F.col("feature").alias("_f"), r6(F.col("_q0")).alias("q25"), r6(F.col("_q1")).alias("q50"),
+        r6(F.col("_q2")).alias("q75"))
+    base = long.groupBy(topic, "feature").agg(*_moments(F.col("v")))
+    return base.join(qs, F.col(topic).eqNullSafe(F.col("_t")) & (F.col("feature") == F.col("_f")), "left").drop("_t", "_f")
 
 
-def boxplot_stats(df: DataFrame, topic: str = "topic_group", k: float = 1.5, approx: bool = False) -> DataFrame:
+def boxplot_stats(df: DataFrame, topic: str = "topic_group", k: float = 1.5) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per class/feature."""
     long = _features_long(df, topic)
-    qs = (long.groupBy(topic, "feature")
-          .agg(_quartiles(F.col("v"), approx).alias("_q"))
-          .select(topic, "feature", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                  F.col("_q")[2].alias("q3")))
+    qs = exact_percentiles(long, [topic, "feature"], "v", QUARTILES).withColumnsRenamed({"_q0": "q1", "_q1": "median", "_q2": "q3"})
     qs = (qs.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lo_fence", F.col("q1") - k * F.col("iqr"))
           .withColumn("hi_fence", F.col("q3") + k * F.col("iqr")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from deskspark.config import DEFAULT
 from deskspark.operators import langid
 from deskspark.operators import monitor as O
 from deskspark.operators import pii
@@ -182,60 +183,67 @@ def throughput_hourly(spark, sf_dir):
 def _alerts_sql(gauge_cte: str, by: str, rules) -> str:
     conds = []
     for name, metric, op, thr, for_s in rules:
-        conds.append(f"SELECT {by}, t, '{name}' AS alert, CAST({metric} AS DOUBLE) AS value, "
-                     f"coalesce(CAST({metric} AS DOUBLE) {op} {thr}, false) AS active, {for_s} AS for_s FROM {gauge_cte}")
+        conds.append(f"SELECT {by}, t, until, '{name}' AS alert, CAST({metric} AS DOUBLE) AS value, {for_s} AS for_s "
+                     f"FROM {gauge_cte} WHERE CAST({metric} AS DOUBLE) {op} {thr}")
     return f"""
 cd AS ({" UNION ALL ".join(conds)}),
-br AS (SELECT *, CASE WHEN active AND NOT coalesce(lag(active) OVER (PARTITION BY {by}, alert ORDER BY t), false)
-                      THEN 1 ELSE 0 END AS brk FROM cd),
+br AS (SELECT *, CASE WHEN lag(until) OVER (PARTITION BY {by}, alert ORDER BY t) >= t THEN 0 ELSE 1 END AS brk FROM cd),
 il AS (SELECT *, sum(brk) OVER (PARTITION BY {by}, alert ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                  AS isl FROM br),
-ac AS (SELECT *, min(t) OVER (PARTITION BY {by}, alert, isl) AS st FROM il WHERE active)"""
+pe AS (SELECT {by}, alert, min(t) AS active_from, max(until) AS active_until, round(arg_min(value, t), 6) AS value, max(for_s) AS for_s
+       FROM il GROUP BY {by}, alert, isl),
+al AS (SELECT {by}, alert, active_from, active_until,
+              CASE WHEN epoch(active_until - active_from) - {STEP} >= for_s THEN active_from + to_seconds(for_s) END AS firing_from,
+              value FROM pe)"""
 
 
+STEP = DEFAULT.alert_step_seconds
+AT = f"time_bucket(INTERVAL '{STEP} seconds', ts) + INTERVAL '{STEP} seconds'"
 GAUGES = f"""{BUF},
-per AS (SELECT service, time_bucket(INTERVAL '1 hour', ts) AS t, count(*) FILTER (WHERE is_error) AS e,
+per AS (SELECT service, {AT} AS t, count(*) FILTER (WHERE is_error) AS e,
                count(*) FILTER (WHERE NOT is_error) AS s FROM ev GROUP BY ALL),
-lst AS (SELECT service, time_bucket(INTERVAL '1 hour', ts) AS t, arg_max(p95_latency, rn) AS p95, arg_max(p99_latency, rn) AS p99
-        FROM buf GROUP BY ALL),
-grid AS (SELECT service, unnest(range(min(t), max(t) + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS t FROM per GROUP BY service),
-gj AS (SELECT grid.service, grid.t, per.e, per.s, lst.p95, lst.p99 FROM grid
-       LEFT JOIN per ON grid.service = per.service AND grid.t = per.t
-       LEFT JOIN lst ON grid.service = lst.service AND grid.t = lst.t),
+lst AS (SELECT service, {AT} AS t, arg_max(p95_latency, rn) AS p95, arg_max(p99_latency, rn) AS p99 FROM buf GROUP BY ALL),
 gg AS (SELECT service, t,
-              CASE WHEN sum(coalesce(s, 0)) OVER w <> 0 THEN sum(coalesce(e, 0)) OVER w * 100.0 / sum(coalesce(s, 0)) OVER w END
-                AS error_rate,
+              coalesce(lead(t) OVER (PARTITION BY service ORDER BY t), (SELECT max(t) FROM per) + INTERVAL '{STEP} seconds') AS until,
+              CASE WHEN sum(s) OVER w <> 0 THEN sum(e) OVER w * 100.0 / sum(s) OVER w END AS error_rate,
               last_value(p95 IGNORE NULLS) OVER w AS p95_latency, last_value(p99 IGNORE NULLS) OVER w AS p99_latency
-       FROM gj WINDOW w AS (PARTITION BY service ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+       FROM per LEFT JOIN lst USING (service, t)
+       WINDOW w AS (PARTITION BY service ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 
 @register("threshold_alerts", f"""
 WITH {GAUGES}, {_alerts_sql('gg', 'service', O.THRESHOLD_ALERTS)}
-SELECT service, t, alert, round(value, 6) AS value,
-       CASE WHEN date_diff('microsecond', st, t) / 1e6 >= for_s THEN 'firing' ELSE 'pending' END AS state FROM ac""")
+SELECT * FROM al""")
 def threshold_alerts(spark, sf_dir):
-    """O16 + O18: latency and error-rate alerts per service, evaluated hourly."""
+    """O16 + O18: periods of the latency and error-rate alerts per service, at the rules' evaluation interval."""
     e = ev(spark, sf_dir)
-    return O.threshold_alerts(O.hourly_gauges(e, O.rolling_buffer(e)))
+    return O.threshold_alerts(O.service_gauges(e, O.rolling_buffer(e)))
 
 
 @register("distribution_alerts", f"""
-WITH {EV},
-dg AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS t, quantile_cont(confidence, 0.25) AS confidence_p25,
-              CAST(count(DISTINCT class_name) AS DOUBLE) AS n_classes FROM ev WHERE NOT is_error GROUP BY ALL),
-dga AS (SELECT 'all' AS grp, * FROM dg), {_alerts_sql('dga', 'grp', O.DISTRIBUTION_ALERTS)}
-SELECT t, alert, round(value, 6) AS value,
-       CASE WHEN date_diff('microsecond', st, t) / 1e6 >= for_s THEN 'firing' ELSE 'pending' END AS state FROM ac""")
+WITH {EV}, {pii_scrub_ctes("documents", "doc_id")},
+bk AS (SELECT time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS t, * FROM ev),
+dg AS (SELECT t, quantile_cont(confidence, 0.25) AS confidence_p25, CAST(count(DISTINCT class_name) AS DOUBLE) AS n_classes
+       FROM bk WHERE NOT is_error GROUP BY t),
+pg AS (SELECT t, sum(len(details)) / 300 AS pii_rate FROM bk JOIN pd ON event_id = doc_id GROUP BY t),
+dga AS (SELECT 'all' AS grp, t, t + INTERVAL '5 minutes' AS until, confidence_p25, n_classes, pii_rate FROM dg FULL JOIN pg USING (t)),
+{_alerts_sql('dga', 'grp', O.DISTRIBUTION_ALERTS)}
+SELECT alert, active_from, active_until, firing_from, value FROM al""")
 def distribution_alerts(spark, sf_dir):
-    """O17 + O18."""
-    return O.distribution_alerts(ev(spark, sf_dir))
+    """O17 + O18.  A request event carries the text of the document with its number."""
+    e = ev(spark, sf_dir)
+    found = pii.types(pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    found = found.select(F.col("doc_id").alias("event_id"), F.size("pii_types").alias("n"))
+    return O.distribution_alerts(e, e.select("event_id", "ts").join(found, "event_id"))
 
 
 @register("source_silence", f"""
 WITH {EV},
-sq AS (SELECT service, lag(ts) OVER (PARTITION BY service ORDER BY ts) AS silence_start, ts AS silence_end FROM ev)
-SELECT service, silence_start, silence_end, round(date_diff('microsecond', silence_start, silence_end) / 1e6, 6) AS gap_seconds
-FROM sq WHERE date_diff('microsecond', silence_start, silence_end) / 1e6 > 60""")
+sq AS (SELECT service, ts AS silence_start, lead(ts) OVER (PARTITION BY service ORDER BY ts) AS nxt FROM ev),
+se AS (SELECT service, silence_start, coalesce(nxt, (SELECT max(ts) FROM ev)) AS silence_end, nxt IS NULL AS ongoing FROM sq)
+SELECT service, silence_start, silence_end, round(date_diff('microsecond', silence_start, silence_end) / 1e6, 6) AS gap_seconds,
+       ongoing
+FROM se WHERE date_diff('microsecond', silence_start, silence_end) / 1e6 > 60""")
 def source_silence(spark, sf_dir):
     """O19."""
     return O.source_silence(ev(spark, sf_dir))

@@ -61,14 +61,68 @@ def test_required_columns(spark):
         require_columns(spark.createDataFrame([("x",)], "Document string"))
 
 
-def test_approx_quartiles_close_to_exact(spark):
-    from deskspark.operators import profile as E
-
-    feats = E.text_features(prepare_q.train_rows(spark, SF001))
-    exact = {(r["topic_group"], r["feature"]): r for r in E.features_by_class(feats).collect()}
-    approx = {(r["topic_group"], r["feature"]): r for r in E.features_by_class(feats, approx=True).collect()}
-    assert exact.keys() == approx.keys()
-    for k, r in exact.items():
-        assert approx[k]["count"] == r["count"]
-        lo, hi = r["min"], r["max"]
-        assert lo <= approx[k]["q50"] <= hi
+def test_exact_percentiles_match_numpy(spark):
+    import numpy as np
+
+    from deskspark.operators.common import exact_percentiles
+
+    rng = np.random.default_rng(3)
+    groups = {"hot": rng.lognormal(size=60_000), "ties": rng.integers(0, 3, 500).astype(float), "two": np.array([1.0, 5.0]),
+              "one": np.array([2.5]), None: rng.normal(size=37)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("two", None), ("none", None)]
+    qs = [0.0, 0.25, 0.5, 0.95, 0.99, 1.0]
+    got = {r["g"]: r for r in exact_percentiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", qs, 1000).collect()}
+    assert got.keys() == groups.keys()
+    for g, vs in groups.items():
+        assert [got[g][f"_q{i}"] for i in range(len(qs))] == [__import__("pytest").approx(x) for x in np.quantile(vs, qs)]
+
+
+def _alert_periods(spark, rows):
+    import datetime as dt
+
+    from deskspark.operators import monitor as O
+
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda s: t0 + dt.timedelta(seconds=s)
+    cond = spark.createDataFrame([("a", at(f), at(u), "A", 1.0, on, 120) for f, u, on in rows],
+                                 "service string, t timestamp_ntz, until timestamp_ntz, alert string, value double, active boolean, for_s int")
+    sec = lambda x: None if x is None else int((x - t0).total_seconds())
+    return sorted((sec(r["active_from"]), sec(r["active_until"]), sec(r["firing_from"]))
+                  for r in O.alert_periods(cond, ["service"], 10).collect())
+
+
+def test_alert_fires_within_the_hour(spark):
+    assert _alert_periods(spark, [(0, 60, True), (60, 200, True), (200, 230, False), (230, 300, True)]) == [(0, 200, 120), (230, 300, None)]
+
+
+def test_alert_needs_the_evaluation_at_for(spark):
+    assert _alert_periods(spark, [(0, 120, True)]) == [(0, 120, None)]
+    assert _alert_periods(spark, [(0, 130, True)]) == [(0, 130, 120)]
+
+
+def test_outage_breaks_an_alert(spark):
+    assert _alert_periods(spark, [(0, 100, True), (18000, 18100, True)]) == [(0, 100, None), (18000, 18100, None)]
+
+
+def test_high_pii_rate_fires(spark):
+    import datetime as dt
+
+    from deskspark.operators import monitor as O
+
+    t0 = dt.datetime(2024, 1, 1)
+    ev = spark.createDataFrame([(t0, False, 0.9, "a")], "ts timestamp_ntz, is_error boolean, confidence double, class_name string")
+    found = spark.createDataFrame([(t0 + dt.timedelta(seconds=s), 3001) for s in (0, 310)], "ts timestamp_ntz, n int")
+    got = {r["alert"]: r for r in O.distribution_alerts(ev, found).collect()}
+    assert (got["HighPIIDetected"]["firing_from"] - t0).total_seconds() == 300 + 120
+    assert got["HighPIIDetected"]["active_until"] - t0 == dt.timedelta(seconds=900)
+
+
+def test_source_still_silent_is_reported(spark):
+    import datetime as dt
+
+    from deskspark.operators import monitor as O
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", t0), ("b", t0), ("b", t0 + dt.timedelta(seconds=50)), ("b", t0 + dt.timedelta(seconds=100))]
+    got = O.source_silence(spark.createDataFrame(rows, "service string, ts timestamp_ntz")).collect()
+    assert [(r["service"], r["gap_seconds"], r["ongoing"]) for r in got] == [("a", 100.0, True)]
