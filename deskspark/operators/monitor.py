@@ -166,6 +166,22 @@ def service_gauges(ev: DataFrame, buffer: DataFrame, params: Params = DEFAULT) -
                     F.col("_lb.p95_latency").alias("p95_latency"), F.col("_lb.p99_latency").alias("p99_latency"))
 
 
+def periods(cond: DataFrame, by: list[str]) -> DataFrame:
+    """``by + (alert, active_from, active_until, value, for_s)``: the runs of active values without a break."""
+    w = Window.partitionBy(*by, "alert").orderBy("t")
+    x = cond.filter("active").withColumn("_new", F.when(F.lag("until").over(w) >= F.col("t"), 0).otherwise(1))
+    x = x.withColumn("_period", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return x.groupBy(*by, "alert", "_period").agg(
+        F.min("t").alias("active_from"), F.max("until").alias("active_until"),
+        F.round(F.min_by("value", "t"), 6).alias("value"), F.max("for_s").alias("for_s")).drop("_period")
+
+
+def with_firing(found: DataFrame, by: list[str], step_seconds: int) -> DataFrame:
+    held = F.timestamp_diff("SECOND", F.col("active_from"), F.col("active_until")) - step_seconds
+    firing = F.when(held >= F.col("for_s"), F.timestamp_add("SECOND", F.col("for_s"), F.col("active_from")))
+    return found.select(*by, "alert", "active_from", "active_until", firing.alias("firing_from"), "value")
+
+
 def alert_periods(cond: DataFrame, by: list[str], step_seconds: int) -> DataFrame:
     """The periods in which an alert's condition holds without a break.
 
@@ -173,18 +189,10 @@ def alert_periods(cond: DataFrame, by: list[str], step_seconds: int) -> DataFram
     period ends with an inactive value and also where no value is valid.  The alert is *pending* from ``active_from``
     and *firing* from ``firing_from``, the evaluation at which it has held for ``for_s`` seconds (null if it never
     does); ``active_until`` is the first evaluation at which it doesn't hold, or the end of the observed range."""
-    w = Window.partitionBy(*by, "alert").orderBy("t")
-    x = cond.filter("active").withColumn("_new", F.when(F.lag("until").over(w) >= F.col("t"), 0).otherwise(1))
-    x = x.withColumn("_period", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    p = x.groupBy(*by, "alert", "_period").agg(
-        F.min("t").alias("active_from"), F.max("until").alias("active_until"),
-        F.round(F.min_by("value", "t"), 6).alias("value"), F.max("for_s").alias("for_s"))
-    held = F.timestamp_diff("SECOND", F.col("active_from"), F.col("active_until")) - step_seconds
-    firing = F.when(held >= F.col("for_s"), F.timestamp_add("SECOND", F.col("for_s"), F.col("active_from")))
-    return p.select(*by, "alert", "active_from", "active_until", firing.alias("firing_from"), "value")
+    return with_firing(periods(cond, by), by, step_seconds)
 
 
-def _conditions(g: DataFrame, by: list[str], rules) -> DataFrame:
+def conditions(g: DataFrame, by: list[str], rules) -> DataFrame:
     cells = []
     for name, metric, op, thr, for_s in rules:
         v = F.col(metric).cast("double")
@@ -196,7 +204,7 @@ def _conditions(g: DataFrame, by: list[str], rules) -> DataFrame:
 
 def threshold_alerts(gauges: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Periods of the latency and error-rate alerts per service."""
-    return alert_periods(_conditions(gauges, ["service"], THRESHOLD_ALERTS), ["service"], params.alert_step_seconds)
+    return alert_periods(conditions(gauges, ["service"], THRESHOLD_ALERTS), ["service"], params.alert_step_seconds)
 
 
 def distribution_gauges(ev: DataFrame, detections: DataFrame, params: Params = DEFAULT) -> DataFrame:
@@ -216,7 +224,7 @@ def distribution_gauges(ev: DataFrame, detections: DataFrame, params: Params = D
 def distribution_alerts(ev: DataFrame, detections: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Low 25th-percentile confidence, too few predicted classes, high rate of PII detections."""
     g = distribution_gauges(ev, detections, params).withColumn("_all", F.lit("all"))
-    return alert_periods(_conditions(g, ["_all"], DISTRIBUTION_ALERTS), ["_all"], params.alert_step_seconds).drop("_all")
+    return alert_periods(conditions(g, ["_all"], DISTRIBUTION_ALERTS), ["_all"], params.alert_step_seconds).drop("_all")
 
 
 def source_silence(ev: DataFrame, gap_seconds: int = 60) -> DataFrame:

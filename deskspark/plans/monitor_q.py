@@ -180,7 +180,7 @@ def throughput_hourly(spark, sf_dir):
     return O.windowed_rate(ev(spark, sf_dir), width="1 hour", seconds=3600)
 
 
-def _alerts_sql(gauge_cte: str, by: str, rules) -> str:
+def alerts_sql(gauge_cte: str, by: str, rules) -> str:
     conds = []
     for name, metric, op, thr, for_s in rules:
         conds.append(f"SELECT {by}, t, until, '{name}' AS alert, CAST({metric} AS DOUBLE) AS value, {for_s} AS for_s "
@@ -212,7 +212,7 @@ gg AS (SELECT service, t,
 
 
 @register("threshold_alerts", f"""
-WITH {GAUGES}, {_alerts_sql('gg', 'service', O.THRESHOLD_ALERTS)}
+WITH {GAUGES}, {alerts_sql('gg', 'service', O.THRESHOLD_ALERTS)}
 SELECT * FROM al""")
 def threshold_alerts(spark, sf_dir):
     """O16 + O18: periods of the latency and error-rate alerts per service, at the rules' evaluation interval."""
@@ -227,7 +227,7 @@ dg AS (SELECT t, quantile_cont(confidence, 0.25) AS confidence_p25, CAST(count(D
        FROM bk WHERE NOT is_error GROUP BY t),
 pg AS (SELECT t, sum(len(details)) / 300 AS pii_rate FROM bk JOIN pd ON event_id = doc_id GROUP BY t),
 dga AS (SELECT 'all' AS grp, t, t + INTERVAL '5 minutes' AS until, confidence_p25, n_classes, pii_rate FROM dg FULL JOIN pg USING (t)),
-{_alerts_sql('dga', 'grp', O.DISTRIBUTION_ALERTS)}
+{alerts_sql('dga', 'grp', O.DISTRIBUTION_ALERTS)}
 SELECT alert, active_from, active_until, firing_from, value FROM al""")
 def distribution_alerts(spark, sf_dir):
     """O17 + O18.  A request event carries the text of the document with its number."""

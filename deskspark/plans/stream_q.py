@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deskspark.plans import register
-from deskspark.plans.monitor_q import EV
+from deskspark.plans.monitor_q import AT, EV, STEP, alerts_sql
 from deskspark.plans.request_q import fitted_langid
 from deskspark.streaming import monitor as SM
 from deskspark.streaming import requests as SR
@@ -51,10 +51,19 @@ def stream_latency_quantiles(spark, sf_dir):
     return SM.run_available(SM.latency_quantiles(_events(spark, sf_dir)), mode="complete", name="quantiles")
 
 
-@register("stream_error_rate_alerts")
+@register("stream_error_rate_alerts", f"""
+WITH {EV},
+per AS (SELECT service, {AT} AS t, count(*) FILTER (WHERE is_error) AS e, count(*) FILTER (WHERE NOT is_error) AS s
+        FROM ev GROUP BY ALL HAVING {AT} <= (SELECT max(ts) - INTERVAL {SM.WATERMARK} FROM ev)),
+gg AS (SELECT service, t,
+              coalesce(lead(t) OVER (PARTITION BY service ORDER BY t), (SELECT max(t) FROM per) + INTERVAL '{STEP} seconds') AS until,
+              CASE WHEN sum(s) OVER w <> 0 THEN sum(e) OVER w * 100.0 / sum(s) OVER w END AS error_rate
+       FROM per WINDOW w AS (PARTITION BY service ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+{alerts_sql('gg', 'service', SM.ERROR_RATE_RULES)}
+SELECT * FROM al""")
 def stream_error_rate_alerts(spark, sf_dir):
-    """O18 with keyed state (applyInPandasWithState)."""
-    return SM.run_available(SM.error_rate_alert_states(_events(spark, sf_dir)), mode="update", name="alerts")
+    """O18 by a streaming job, over the evaluation steps that the watermark has passed."""
+    return SM.error_rate_alerts(_events(spark, sf_dir))
 
 
 @register("stream_request_scoring")

@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from deskspark.config import DEFAULT, Params
 from deskspark.operators import monitor as O
 from deskspark.session import ensure_checkpoint_dir
 
@@ -36,16 +35,16 @@ def as_ntz(c: Column) -> Column:
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Parquet file stream with the schema of what is already there.  A
-    single-file table is watched through a glob on its folder, so new
-    files named like it are picked up as they arrive."""
+    """Parquet file stream with the schema of what is already there.  The
+    source takes folders and globs: a single-file table is named by a glob
+    that only its own name matches."""
     r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     if path.endswith(".parquet"):
         folder, name = path.rsplit("/", 1)
         r = r.option("basePath", folder)
-        path = f"{folder}/{name[:-len('.parquet')]}*.parquet"
+        path = f"{folder}/{name[:-1]}[t]"
     return r.parquet(path)
 
 
@@ -84,55 +83,94 @@ def latency_quantiles(ev: DataFrame, width: str = "1 hour", accuracy: int = 1000
                                        F.col("_q")[1].alias("p99_latency_approx"))
 
 
-ALERT_STATE_SCHEMA = "errors long, successes long, since long"
-ALERT_OUT_SCHEMA = ("service string, alert string, state string, error_rate double, "
-                    "since timestamp, at timestamp")
-
-
-def _error_rate_alert(rule):
-    name, _, op, threshold, for_s = rule
-
-    def fn(key, batches, state):
-        errors, successes, since = state.get if state.exists else (0, 0, None)
-        latest = None
-        for pdf in batches:
-            errors += int(pdf["is_error"].sum())
-            successes += int((~pdf["is_error"]).sum())
-            t = pdf["ts"].max()
-            latest = t if latest is None or t > latest else latest
-        now = int(pd.Timestamp(latest).value // 1000)
-        rate = errors * 100.0 / successes if successes else None
-        active = rate is not None and (rate > threshold if op == ">" else rate < threshold)
-        since = (since if since is not None else now) if active else None
-        held = (now - since) / 1e6 if active else -1.0
-        st = "firing" if active and held >= for_s else ("pending" if active else "inactive")
-        state.update((errors, successes, since))
-        yield pd.DataFrame([(key[0], name, st, rate, pd.Timestamp(since, unit="us") if since is not None else None,
-                             pd.Timestamp(now, unit="us"))],
-                           columns=["service", "alert", "state", "error_rate", "since", "at"])
-    return fn
-
-
-def error_rate_alert_states(ev: DataFrame, alert: str = "HighErrorRate") -> DataFrame:
-    """O18 on a stream: per service, the cumulative error rate after every
-    micro-batch and the rule's pending / firing state (held-for time in
-    event time), kept in keyed state - one small state row per service."""
-    rule = next(r for r in O.THRESHOLD_ALERTS if r[0] == alert)
-    return ev.select("service", "ts", "is_error").groupBy("service").applyInPandasWithState(
-        _error_rate_alert(rule), ALERT_OUT_SCHEMA, ALERT_STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+ERROR_RATE_RULES = [r for r in O.THRESHOLD_ALERTS if r[1] == "error_rate"]
+
+
+def _open() -> Column:
+    """The end of a period that has not ended."""
+    return F.expr("TIMESTAMP_NTZ'9999-12-31 00:00:00'")
+
+
+def evaluation_counts(ev: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Errors and successes per service and evaluation step; append mode gives each step once, when the watermark
+    has passed it."""
+    step = F.window("ts", f"{params.alert_step_seconds} seconds").alias("w")
+    g = ev.groupBy(step, "service").agg(F.count_if("is_error").alias("e"), F.count_if(~F.col("is_error")).alias("s"))
+    return g.select("service", as_ntz(F.col("w.end")).alias("t"), "e", "s")
+
+
+def _advance(steps: DataFrame, counts: DataFrame | None, open_: DataFrame | None):
+    """One micro-batch of evaluation steps after the state (``counts``: service, t, e, s up to its last step; ``open_``:
+    the periods not ended).  Returns the new counts and all periods, those not ended with ``active_until`` = ``_open()``."""
+    rows = steps if counts is None else steps.unionByName(counts)
+    w = Window.partitionBy("service").orderBy("t")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    g = rows.select("service", "t", F.coalesce(F.lead("t").over(w), _open()).alias("until"),
+                    F.try_divide(F.sum("e").over(run) * 100.0, F.sum("s").over(run)).alias("error_rate"))
+    found = O.periods(O.conditions(g, ["service"], ERROR_RATE_RULES), ["service"])
+    if counts is not None:
+        # a period that starts with the state's own row goes on from before
+        before = open_.join(counts.select("service", F.col("t").alias("_t")), "service").select(
+            "service", "alert", F.col("_t").alias("active_from"), F.col("active_from").alias("_from"), F.col("value").alias("_value"))
+        found = found.join(before, ["service", "alert", "active_from"], "left").select(
+            "service", "alert", F.coalesce("_from", "active_from").alias("active_from"), "active_until",
+            F.when(F.col("_from").isNull(), F.col("value")).otherwise(F.col("_value")).alias("value"), "for_s")
+    return rows.groupBy("service").agg(F.max("t").alias("t"), F.sum("e").alias("e"), F.sum("s").alias("s")), found
+
+
+def error_rate_alerts(ev: DataFrame, params: Params = DEFAULT, name: str = "alerts") -> DataFrame:
+    """O18 on a stream: the periods of the error-rate alerts, equal to the batch query's over the steps that the
+    watermark has passed, however the files fall into micro-batches.
+
+    The state (one row of counts per service, its periods not yet ended) and the ended periods are written per epoch,
+    so a replayed epoch overwrites its own output."""
+    spark = ev.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
+    part = lambda table, epoch: f"{base}/{table}/epoch={epoch}"
+
+    def sink(batch: DataFrame, epoch: int):
+        s = batch.sparkSession
+        counts = open_ = None
+        if epoch:
+            counts, open_ = (s.read.parquet(part(x, epoch - 1)) for x in ("counts", "open"))
+        steps = batch.persist()
+        counts, found = _advance(steps, counts, open_)
+        counts.write.mode("overwrite").parquet(part("counts", epoch))
+        found.filter(F.col("active_until") == _open()).write.mode("overwrite").parquet(part("open", epoch))
+        found.filter(F.col("active_until") < _open()).write.mode("overwrite").parquet(part("ended", epoch))
+        steps.unpersist()
+
+    q = (evaluation_counts(ev, params).writeStream.outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", f"{base}/_checkpoint").foreachBatch(sink).start())
+    q.awaitTermination()
+    last = q.lastProgress["batchId"]
+    end = F.timestamp_add("SECOND", F.lit(params.alert_step_seconds),
+                          spark.read.parquet(part("counts", last)).select(F.max("t")).scalar())
+    still = spark.read.parquet(part("open", last)).withColumn("active_until", end)
+    ended = spark.read.parquet(f"{base}/ended").drop("epoch")
+    return O.with_firing(ended.unionByName(still), ["service"], params.alert_step_seconds)
 
 
 def run_available(df: DataFrame, mode: str = "append", name: str = "stream") -> DataFrame:
     """Process everything currently in the source (``availableNow``) into a
     Parquet table under the checkpoint folder and return that table."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
-    out, ck = base + "/table", base + "/_checkpoint"
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
+    return run_epochs(df.writeStream.outputMode(mode), lambda batch: batch, base, df.sparkSession, last_only=mode == "complete")
 
+
+def epoch_sink(transform, base: str):
+    """A ``foreachBatch`` function that writes each epoch to its own folder: a replayed epoch replaces its output."""
     def sink(batch: DataFrame, epoch: int):
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        transform(batch).write.mode("overwrite").parquet(f"{base}/table/epoch={epoch}")
+    return sink
+
 
-    q = (df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", ck)
-         .foreachBatch(sink).start())
+def run_epochs(writer, transform, base: str, spark: SparkSession, last_only: bool = False) -> DataFrame:
+    """Run the stream to the end of its source; all epochs' rows, or those of the last one (complete mode)."""
+    q = (writer.trigger(availableNow=True).option("checkpointLocation", f"{base}/_checkpoint")
+         .foreachBatch(epoch_sink(transform, base)).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    table = spark.read.parquet(f"{base}/table")
+    if last_only:
+        table = table.filter(F.col("epoch") == table.select(F.max("epoch")).scalar())
+    return table.drop("epoch")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from deskspark.operators import routing as R
 from deskspark.session import ensure_checkpoint_dir
+from deskspark.streaming.monitor import run_epochs
 
 
 def score_batch(batch: DataFrame, fitted) -> DataFrame:
@@ -21,15 +22,7 @@ def score_batch(batch: DataFrame, fitted) -> DataFrame:
 
 def serve(requests: DataFrame, fitted, name: str = "responses") -> DataFrame:
     """Run the request stream to completion (``availableNow``); responses
-    are appended to a Parquet table that is returned."""
+    are written per epoch to a Parquet table that is returned."""
     spark = requests.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
-    out, ck = base + "/table", base + "/_checkpoint"
-
-    def sink(batch: DataFrame, epoch: int):
-        score_batch(batch, fitted).write.mode("append").parquet(out)
-
-    q = (requests.writeStream.trigger(availableNow=True).option("checkpointLocation", ck)
-         .foreachBatch(sink).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    return run_epochs(requests.writeStream, lambda batch: score_batch(batch, fitted), base, spark)

@@ -1,27 +1,47 @@
 """Streaming results against batch, and request-scoring invariants."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from deskspark.operators import monitor as O
 from deskspark.sources.tables import table
+from deskspark.streaming import monitor as SM
 from tests.conftest import SF001
 
 
-def test_stream_alert_state_matches_batch_error_rate(spark):
-    st = entry.queries()["stream_error_rate_alerts"](spark, SF001)
-    last = {}
-    for r in st.collect():  # one row per service per micro-batch: keep the latest
-        if r["service"] not in last or r["at"] > last[r["service"]]["at"]:
-            last[r["service"]] = r
-    batch = {r["service"]: r["error_rate"] for r in
-             O.error_rate(O.metric_events(table(spark, SF001, "events"))).collect()}
-    assert set(last) == set(batch)
-    for svc, r in last.items():
-        assert r["error_rate"] == pytest.approx(batch[svc], abs=1e-6)
-        assert r["state"] in ("pending", "firing", "inactive")
-        assert (r["state"] != "inactive") == (r["error_rate"] > 5)
+def test_stream_alerts_do_not_depend_on_the_micro_batches(spark, tmp_path):
+    """The events in one file, and in seven files by time, one per micro-batch: the same periods as in batch."""
+    ev = table(spark, SF001, "events")
+    end = ev.agg(F.max("ts")).first()[0]
+    cut = F.ntile(7).over(Window.orderBy("ts", "event_id"))
+    for i in range(1, 8):
+        ev.withColumn("k", cut).filter(F.col("k") == i).drop("k").coalesce(1).write.mode("append").parquet(str(tmp_path / "parts"))
+    one = SM.error_rate_alerts(SM.metric_stream(SM.file_stream(spark, f"{SF001}/events.parquet")))
+    many = SM.error_rate_alerts(SM.metric_stream(SM.file_stream(spark, str(tmp_path / "parts"), max_files=1)))
+    m = O.metric_events(ev)
+    passed = m.filter(F.window("ts", "10 seconds").end <= F.lit(end) - F.expr("INTERVAL 10 MINUTES"))
+    no_buffer = passed.select("service", "ts", F.lit(1).alias("rn"), F.lit(None).cast("double").alias("p95_latency"),
+                              F.lit(None).cast("double").alias("p99_latency"))
+    batch = O.threshold_alerts(O.service_gauges(passed, no_buffer))
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.select(sorted(df.columns)).collect())
+    assert rows(one) == rows(batch) and rows(many) == rows(batch)
+    assert any(r["firing_from"] for r in one.collect())
+
+
+def test_replayed_epoch_leaves_no_duplicates(spark, tmp_path):
+    sink = SM.epoch_sink(lambda b: b, str(tmp_path))
+    for epoch in (0, 1, 1):
+        sink(spark.range(epoch * 10, epoch * 10 + 5), epoch)
+    got = spark.read.parquet(str(tmp_path / "table"))
+    assert sorted(r["id"] for r in got.collect()) == [0, 1, 2, 3, 4, 10, 11, 12, 13, 14]
+
+
+def test_file_stream_takes_the_named_table_alone(spark, tmp_path):
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(50).coalesce(1).write.parquet(str(tmp_path / "events_old.parquet"))
+    assert SM.run_available(SM.file_stream(spark, str(tmp_path / "events.parquet"))).count() == 3
 
 
 def test_request_scoring_probabilities(spark):
