@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,17 +15,17 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
     """Broadcast a derived table only after proving it is small.
 
-    The table is persisted (it is recomputed from lineage if an executor
-    is lost), its rows are counted up to ``max_rows + 1`` and it gets a
-    broadcast hint only under the bound; otherwise the join stays a
-    shuffle join that AQE may still re-plan at run time.
+    The table is written once (:func:`materialize`), its rows are counted up to
+    ``max_rows + 1`` together with their bytes, and it gets a broadcast hint only
+    under both bounds; otherwise the join stays a shuffle join that AQE
+    may still re-plan at run time.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    df = materialize(df)
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
