@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT, Params
-from deskspark.operators.common import exact_percentiles, exact_row_number
+from deskspark.operators.common import bind, exact_percentiles, exact_row_number
 
 # ---------------------------------------------------------------------------
 # Histogram bucket bounds and service-level targets.
@@ -102,11 +102,19 @@ def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 sec
     carry = x.filter(rn >= nxt - keep).withColumn("_epoch", F.col("_epoch") + 1).withColumn("_own", F.lit(False))
     both = own.unionByName(carry).select("service", "_epoch", "rn", "ts", "latency", "_own")
     growing = Window.partitionBy("service", "_epoch").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("_q", F.percentile("latency", F.array(F.lit(0.95), F.lit(0.99))).over(growing))
+    # one array sort per row: the percentile aggregate would rebuild and sort its map of values
+    both = both.withColumn("_buf", F.collect_list("latency").over(growing))
+
+    def at(buf, q):
+        pos = F.lit(q) * (F.size(buf) - 1)
+        lo, hi = F.get(buf, F.floor(pos).cast("int")), F.get(buf, F.ceil(pos).cast("int"))
+        return F.round(lo + (hi - lo) * (pos - F.floor(pos)), 9)
+
+    q = bind(F.sort_array("_buf"), lambda buf: F.array(at(buf, 0.95), at(buf, 0.99)))
+    both = both.filter("_own").withColumn("_q", q)
     size = F.when(rn <= first, rn).otherwise(F.lit(cyc) + (rn - first - 1) % cyc)
-    return both.filter("_own").select("service", "rn", "ts", size.alias("buffer_size"),
-                                      F.round(F.col("_q")[0], 9).alias("p95_latency"),
-                                      F.round(F.col("_q")[1], 9).alias("p99_latency"))
+    return both.select("service", "rn", "ts", size.alias("buffer_size"), F.col("_q")[0].alias("p95_latency"),
+                       F.col("_q")[1].alias("p99_latency"))
 
 
 def windowed_rate(ev: DataFrame, width: str = DEFAULT.rate_window, seconds: int = 300, by=("service",),
