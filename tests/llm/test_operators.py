@@ -145,6 +145,21 @@ def test_language_held_out(spark):
     assert got[1] == ("und", 0.0) and got[2][0] == "en"
 
 
+def test_language_keeps_every_count(spark):
+    # words and n-grams beyond the broadcast are known by the join, whatever the bound
+    rows = [(i, " ".join(f"{c}{x}{y}" for x in "abcde" for y in "fgh"), la, "s") for i, (la, c) in enumerate([("aa", "un"), ("aa", "un"), ("aa", "un"), ("bb", "ka")])]
+    rows += [(10, "kaaf kabg", "aa", "s"), (11, "unaf kafx kaeh", "bb", "s"), (12, "qqka zzz9 kaaf", "bb", "s"), (13, "ŋŋŋ", "bb", "s"), (14, "123", "bb", "s")]
+    docs, held = frame(spark, rows), F.col("doc_id") >= 10
+    pick = lambda d: {r.doc_id: (r.lang_pred, pytest.approx(r.score, abs=1e-9)) for r in d.collect()}
+    whole = pick(lang_id.language_id(docs, held))
+    assert pick(lang_id.language_id(docs, held, max_words=3, max_grams=2)) == whole
+    assert pick(lang_id.language_id(docs, held, max_words=0, max_grams=0)) == whole
+    assert whole[10][0] == whole[11][0] == whole[12][0] == whole[3][0] == "bb" and whole[0][0] == "aa" and whole[14][0] == "und"
+    n = {la: 15 * k for la, k in (("aa", 3), ("bb", 1))}
+    a, b = (sum(math.log((own + 0.5) / (n[la] + 15)) for own in counts) for la, counts in (("aa", (0, 0)), ("bb", (1, 1))))
+    assert whole[10] == ("bb", pytest.approx(1 / (1 + math.exp(a - b)), abs=1e-6))
+
+
 def test_mix_targets(spark):
     docs = frame(spark, [(i, words(20 + i % 9, i), "en", "abc"[i % 3]) for i in range(900)])
     out = mixing.mix_documents(docs).join(docs.select("doc_id", "source"), "doc_id")
