@@ -3,9 +3,10 @@
 1. One pass over the texts keeps, per kind, the lengths of the matches and of the gaps between them; positions are their
    running sums.  Strong kinds (assign, access, hex) stand alone.  Weak kinds (identifier, opaque, endpoint) are reported
    only when complementary parts occur within ``scope`` code points.
-2. The interval join: parts are put in bins as wide as the scope.  A part can only have a partner in its own bin or in
-   the two next to it, and the least and greatest start of each class per bin decide whether it has one.  So a bin
-   gives one row, whatever the number of parts in it: no pairs are made and no key grows with the corpus.
+2. The interval join: parts are put in every bin, as wide as the scope, that they cover.  A part has its partners in the
+   bins that it covers widened by the scope on both sides; the least begin and the greatest end of each class per bin
+   decide whether the gap to one is within the scope.  So a bin gives one row, whatever the number of parts in it: no
+   pairs are made, no key grows with the corpus, and a part gives rows in proportion to its length.
 """
 
 from __future__ import annotations
@@ -70,18 +71,18 @@ def part_rows(rows: DataFrame, row: str, parts: str) -> DataFrame:
 
 
 def linked(parts: DataFrame, scope: int) -> DataFrame:
-    """The weak parts (row, kind, begin, end) that have complementary parts within ``scope``.
+    """The weak parts (row, kind, begin, end) that have complementary parts at a gap of at most ``scope``.
 
     opaque: needs an id and does not lie in a base span's place; identifier: needs a secret (base or opaque); endpoint:
     needs both."""
     what = F.coalesce(*[F.when(F.col("kind") == k, F.lit(c)) for k, c in CLASS.items()])
-    placed = parts.withColumn("class", what).withColumn("bin", F.expr(f"begin div {scope}"))
-    bins = (placed.filter("class <> 'place'").groupBy("row", "bin", "class")
-            .agg(F.min("begin").alias("least"), F.max("begin").alias("most"))
-            .select("row", "class", "least", "most", F.explode(F.array(*[F.col("bin") + d for d in (-1, 0, 1)])).alias("bin"))
-            .withColumnRenamed("class", "partner"))
-    weak = placed.filter(F.col("kind").isin(*WEAK))
-    near = (F.col("most") >= F.col("begin") - scope) & (F.col("least") <= F.col("begin") + scope)
+    placed = parts.withColumn("class", what)
+    bins = (placed.filter("class <> 'place'").withColumn("bin", F.explode(F.expr(f"sequence(begin div {scope}, end div {scope})")))
+            .groupBy("row", "bin", F.col("class").alias("partner")).agg(F.min("begin").alias("least"), F.max("end").alias("most")))
+    reach = F.expr(f"sequence(greatest(begin - {scope}, 0) div {scope}, (end + {scope}) div {scope})")
+    weak = placed.filter(F.col("kind").isin(*WEAK)).withColumn("bin", F.explode(reach))
+    # a part of a shared bin can miss one bound only in the first bin and the other only in the last: both hold for one part
+    near = (F.col("most") >= F.col("begin") - scope) & (F.col("least") <= F.col("end") + scope)
     hits = (weak.join(bins, ["row", "bin"]).filter(near & (F.col("partner") != F.col("class")))
             .groupBy("row", "kind", "begin", "end").agg(F.count_distinct("partner").alias("kinds")))
     return hits.filter((F.col("kind") != "endpoint") | (F.col("kinds") == 2)).drop("kinds")

@@ -106,6 +106,33 @@ def test_secret_links(spark):
     assert masked[2] == far and masked[1] == "[SECRET] key [SECRET] at [SECRET]" and "AKIA" not in masked[3]
 
 
+def test_secret_links_of_long_parts(spark):
+    key, url = "Zk83hfQ0" * 43, "https://db.example.com/" + "path." * 100
+    # a long key before, after and at the end of the scope; an id inside a long endpoint beside a key; many parts of random gaps
+    texts = [f"{key} client_id=app1", f"client_id=app1 {key}", key + " " * 200 + "client_id=app1", key + " " * 201 + "client_id=app1",
+             f"{url}account=bob/{'path.' * 100} {key}", f"login=bob {url} {key}"]
+    import random
+
+    rng = random.Random(5)
+    for _ in range(40):
+        piece = lambda: rng.choice(["client_id=" + "b." * rng.randint(1, 300), "a1b2c3d4" * rng.randint(2, 60), "ftp://h/" + "x." * rng.randint(1, 200), "password=hunter22"])
+        texts.append("".join(piece() + " " * rng.randint(1, 400) for _ in range(8)))
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    spans = {r.doc_id: r.spans for r in secret_scan.secret_scan(docs).collect()}
+    assert spans[0] == "opaque:0:344,identifier:345:359" and spans[1] == "identifier:0:14,opaque:15:359"
+    assert spans[2] and not spans[3] and spans[5] == "endpoint:10:533"
+    assert {r.doc_id: r.text for r in secret_scan.redact_secrets(docs).collect()}[0] == "[SECRET] [SECRET]"
+    # the links by all pairs
+    parts = secret_scan.part_rows(secret_scan.with_parts(docs.withColumn("row", F.col("doc_id")), "text", "parts"), "row", "parts")
+    rows, cls = [tuple(r) for r in parts.collect()], secret_scan.CLASS
+    want = set()
+    for r, k, b, e in rows:
+        kinds = {cls[k2] for r2, k2, b2, e2 in rows if r2 == r and cls[k2] not in ("place", cls[k]) and b2 <= e + 200 and e2 >= b - 200}
+        if k in secret_scan.WEAK and len(kinds) >= (2 if k == "endpoint" else 1):
+            want.add((r, k, b, e))
+    assert want and {tuple(r) for r in secret_scan.linked(parts, 200).collect()} == want
+
+
 def test_hmm_is_a_distribution(spark):
     rows = [(i, t, "en", "s") for i, t in enumerate(["a b", "b a", "a a b", "", None, "c"])]
     out = hmm.hmm_scores(frame(spark, rows), F.col("doc_id") == 5, states=2, rounds=3).collect()
