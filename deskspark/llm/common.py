@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from types import SimpleNamespace
 
 import numpy as np
@@ -46,6 +47,18 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = 2000):
+    """As :func:`small_batches` for the jobs inside the block; the session's own setting comes back after it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(key)
+    small_batches(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)
