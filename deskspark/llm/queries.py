@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from deskspark.llm import (cotrain, decontam, hamming_index, hmm, importance, lang_id, license_scan, mixing, near_dup,
-                           pii_bootstrap, quality_rules, secret_scan)
+                           pii_bootstrap, prefix_trie, quality_rules, secret_scan)
 
 REGISTRY = {
     "op1_decontamination": (decontam.op1_decontamination, decontam.SQL),
@@ -16,6 +16,7 @@ REGISTRY = {
     "op8_cotrain_quality": (cotrain.op8_cotrain_quality, None),
     "op9_pii_bootstrap": (pii_bootstrap.op9_pii_bootstrap, None),
     "op10_quality_rules": (quality_rules.op10_quality_rules, None),
+    "op11_prefix_trie": (prefix_trie.op11_prefix_trie, prefix_trie.SQL),
     "op12_hamming_index": (hamming_index.op12_hamming_index, None),
     "op13_importance_resampling": (importance.op13_importance_resampling, importance.SQL),
 }
