@@ -115,6 +115,52 @@ def fit_calibrated(train: DataFrame, params: Params = DEFAULT, label: str = "top
     return fit_together(docs, [set(folds) - {f} for f in folds], [{f} for f in folds], params)
 
 
+def weight_table(fits: list[linear.Fit], spark) -> DataFrame:
+    """The fitted weights as a table (fit, class, term, idf, weight); the intercept has a null term.  At most fits x classes x
+    ``max_features`` rows, which the driver holds anyway."""
+    rows = [(i, c, t, idf, float(w)) for i, f in enumerate(fits) for c, own in enumerate(f.coef)
+            for t, idf, w in zip([*f.vocabulary, None], [*map(float, f.idf), 1.0], own)]
+    return spark.createDataFrame(rows, "fit int, class int, term string, idf double, weight double")
+
+
+def certificate(train: DataFrame, fits: list[linear.Fit], params: Params = DEFAULT, label: str = "topic_encoded", id_col: str = "doc_id") -> DataFrame:
+    """How far :func:`fit_calibrated`'s weights are from optimal, recomputed from the rows by joins with the weight table: per fit
+    and class n_train, n_own (of the class), n_held, ``first_gradient`` and ``gradient`` (norms of the squared hinge's gradient
+    at zero and at the weights) and the two gradient sums ``sigmoid_a``, ``sigmoid_b`` of the sigmoid on the held fold."""
+    spark, folds = train.sparkSession, len(fits)
+    docs = stratified_groups(train, label, id_col, params.seed, folds).withColumn("row", F.monotonically_increasing_id())
+    docs = materialize(analyzed(docs, params).select("row", F.col(label).cast("int").alias("label"), "group", "terms"))
+    weights = materialize(weight_table(fits, spark))
+    entries = docs.select("row", F.inline(T.counted(F.col("terms")))).join(weights.filter("class = 0").select("fit", "term", "idf"), "term")
+    raw = entries.select("fit", "row", "term", (F.col("tf") * F.col("idf")).alias("v"))
+    norms = raw.groupBy("fit", "row").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    unit = raw.join(norms, ["fit", "row"]).select("fit", "row", "term", (F.col("v") / F.col("norm")).alias("v"))
+    ones = docs.select("row").crossJoin(F.broadcast(spark.range(folds))).select(  # a row per fold
+        F.col("id").cast("int").alias("fit"), "row", F.lit(None).cast("string").alias("term"), F.lit(1.0).alias("v"))
+    x = materialize(unit.unionByName(ones))
+    same = x["term"].eqNullSafe(weights["term"]) & (x["fit"] == weights["fit"])
+    margins = (x.join(F.broadcast(weights), same).groupBy(x["fit"], "class", "row").agg(F.sum(x["v"] * weights["weight"]).alias("m"))
+               .join(docs.select("row", "label", "group"), "row"))
+    margins = materialize(margins.withColumn("sign", F.when(F.col("label") == F.col("class"), 1.0).otherwise(-1.0)))
+    inside = margins.filter("group <> fit")
+    pull = lambda m: 2 * params.svm_c * F.col("sign") * F.greatest(1 - F.col("sign") * m, F.lit(0.0))
+    slopes = inside.select("fit", "class", "row", pull(F.col("m")).alias("now"), pull(F.lit(0.0)).alias("then"))
+    per = x.join(slopes, ["fit", "row"]).groupBy("fit", "class", "term").agg(F.sum(F.col("v") * F.col("now")).alias("now"), F.sum(F.col("v") * F.col("then")).alias("then"))
+    at = weights.join(per.withColumnsRenamed({"fit": "f", "class": "c", "term": "t"}),
+                      (F.col("fit") == F.col("f")) & (F.col("class") == F.col("c")) & F.col("term").eqNullSafe(F.col("t")), "left")
+    gradient = F.col("weight") - F.coalesce("now", F.lit(0.0))
+    hinge = at.groupBy("fit", "class").agg(F.sqrt(F.sum(gradient * gradient)).alias("gradient"), F.sqrt(F.sum(F.coalesce(F.col("then") * F.col("then"), F.lit(0.0)))).alias("first_gradient"))
+    counts = margins.groupBy("fit", "class").agg(F.count_if(F.col("group") != F.col("fit")).alias("n_train"), F.count_if(F.col("group") == F.col("fit")).alias("n_held"),
+                                                 F.count_if((F.col("group") != F.col("fit")) & (F.col("sign") > 0)).alias("n_own"),
+                                                 F.count_if((F.col("group") == F.col("fit")) & (F.col("sign") > 0)).alias("pos"))
+    platt = spark.createDataFrame([(i, c, float(a), float(b)) for i, f in enumerate(fits) for c, (a, b) in enumerate(f.platt)], "fit int, class int, a double, b double")
+    held = margins.filter("group = fit").join(F.broadcast(platt), ["fit", "class"]).join(counts.select("fit", "class", "pos", "n_held"), ["fit", "class"])
+    goal = F.when(F.col("sign") > 0, (F.col("pos") + 1) / (F.col("pos") + 2)).otherwise(1 / (F.col("n_held") - F.col("pos") + 2))
+    over = 1 / (1 + F.exp(-(F.col("a") * F.col("m") + F.col("b")))) - goal
+    sigmoid = held.groupBy("fit", "class").agg(F.sum(over * F.col("m")).alias("sigmoid_a"), F.sum(over).alias("sigmoid_b"))
+    return counts.drop("pos").join(hinge, ["fit", "class"]).join(sigmoid, ["fit", "class"])
+
+
 def predict_calibrated(fits: list[linear.Fit], df: DataFrame, labels: list[str] | None = None, params: Params = DEFAULT,
                        keep=("doc_id",)) -> DataFrame:
     """M2 + M3: per fold ``sigmoid(a * margin + b)`` per class, normalised, then

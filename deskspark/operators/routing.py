@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT, Params
 from deskspark.functions.text import word_count
-from deskspark.operators import langid, pii
+from deskspark.operators import langid, linear, model, pii
 from deskspark.operators import prepare as P
 
 
@@ -66,12 +66,10 @@ def route(df: DataFrame, fitted_langid, text: str = "text",
     return pii.drop_counts(x)
 
 
-def respond(routed: DataFrame, predictions: DataFrame, id_col: str = "request_id") -> DataFrame:
-    """Response rows for the requests that succeeded (status 200).
-    ``predictions`` holds ``id_col, predicted_class, confidence,
-    probabilities`` from whichever model scored the scrubbed text."""
+def answer(routed: DataFrame, fits, labels: list[str], params: Params = DEFAULT) -> DataFrame:
+    """Response columns for the requests that succeeded (status 200), answered by the calibrated classifier ``fits``
+    from the scrubbed text.  Scored in-row: no join, so requests may share an id."""
     ok = routed.filter(F.col("status") == 200)
-    return ok.join(predictions, id_col, "left").select(
-        id_col, "predicted_class", "confidence", "model_used", "pii_detected", "pii_details",
-        "routing_explanation", F.lit(None).cast("double").alias("processing_time_ms"),
-        F.struct("predicted_class", "confidence", "probabilities").alias("prediction_details"))
+    x = model.analyzed(ok, params, "scrubbed_text").withColumn("_prob", linear.scores(F.col("terms"), fits)).drop("terms")
+    return (model.probabilities_table(x, "_prob", labels)
+            .withColumn("prediction_details", F.struct("predicted_class", "confidence", "probabilities")))

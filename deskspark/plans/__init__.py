@@ -22,6 +22,6 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict:
     # importing the modules fills REGISTRY
     from deskspark.plans import (evaluate_q, model_q, monitor_q, prepare_q, profile_q, request_q,  # noqa: F401
-                                 sink_q, stream_q, tfidf_q)
+                                 sink_q, stream_q, svm_q, tfidf_q)
 
     return REGISTRY

@@ -12,10 +12,8 @@ from deskspark.plans.prepare_q import PREP, SPLIT, prepared_split
 from deskspark.plans.request_q import TRAIN_SRC, fitted_langid
 from deskspark.plans.sqlparts import nb_ctes
 
-ALL_SRC = "(SELECT doc_id, document AS text FROM sp)"
-PRED = f"""{PREP}, {SPLIT}, {nb_ctes(TRAIN_SRC, ALL_SRC, "doc_id")},
-pr AS (SELECT sp.doc_id, sp.split, sp.topic_group AS y, nbp.language AS p FROM sp JOIN nbp USING (doc_id)),
-te AS (SELECT * FROM pr WHERE split = 'test'),
+#: Confusion cells ``cf`` and per-class measures ``pcf`` of test predictions ``te``(doc_id, y, p).
+CLASS_CTES = """
 cls AS (SELECT DISTINCT c FROM (SELECT y AS c FROM te UNION ALL SELECT p FROM te)),
 cf AS (SELECT a.c AS actual, b.c AS predicted, CAST(count(te.doc_id) AS BIGINT) AS n
        FROM cls a CROSS JOIN cls b LEFT JOIN te ON te.y = a.c AND te.p = b.c GROUP BY ALL),
@@ -27,6 +25,12 @@ pc AS (SELECT class, coalesce(CASE WHEN n_pred > 0 THEN tp / n_pred END, 0.0) AS
 pcf AS (SELECT *, coalesce(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) END, 0.0)
                   AS f1 FROM pc)"""
 
+ALL_SRC = "(SELECT doc_id, document AS text FROM sp)"
+PRED = f"""{PREP}, {SPLIT}, {nb_ctes(TRAIN_SRC, ALL_SRC, "doc_id")},
+pr AS (SELECT sp.doc_id, sp.split, sp.topic_group AS y, nbp.language AS p FROM sp JOIN nbp USING (doc_id)),
+te AS (SELECT * FROM pr WHERE split = 'test'),
+{CLASS_CTES}"""
+
 
 _SCORED: dict = {}
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deskspark.operators import model as M
-from deskspark.operators import prepare as P
 from deskspark.plans import register
 from deskspark.plans.prepare_q import prepared_split
 from deskspark.sources.tables import table
@@ -22,17 +21,6 @@ def _labels(sp):
     return [r["topic_group"] for r in rows]
 
 
-@register("model_training")
-def model_training(spark, sf_dir):
-    """M1: TF-IDF + one-vs-rest linear SVM fitted on the training split;
-    test-split predictions decoded to class names."""
-    train, test, sp = _splits(spark, sf_dir)
-    pred = M.predict_class(M.train_svm(train), test)
-    labels = P.label_dictionary(sp)
-    out = pred.select("doc_id", "topic_group", F.col("prediction").alias("predicted_encoded"))
-    return P.label_decode(out, labels)
-
-
 @register("calibrated_predictions")
 def calibrated_predictions(spark, sf_dir):
     """M2 + M3: 3-fold sigmoid-calibrated SVM; class, confidence and the

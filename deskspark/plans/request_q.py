@@ -143,18 +143,3 @@ FROM rm""")
 def downstream_rejection(spark, sf_dir):
     """Status code per request."""
     return routed(spark, sf_dir).select("conv_id", "turn", "model_used", "status")
-
-
-@register("request_scoring")
-def request_scoring(spark, sf_dir):
-    """Validate -> scrub -> route -> predict -> response rows.  The
-    predictor is the trigram model over the ticket topic (= language in the
-    driver binding); probabilities are a softmax over its class scores."""
-    r = R.route(requests(spark, sf_dir), fitted_langid(spark, sf_dir),
-                with_probabilities=True)
-    # the topic is the language in this binding, so the routing model's
-    # scores are the prediction: one pass, no second scoring join
-    ok = r.filter(F.col("status") == 200).withColumn("predicted_class", F.col("language"))
-    return ok.select(
-        "conv_id", "turn", "predicted_class", "confidence", "model_used", "pii_detected", "pii_details",
-        "routing_explanation", F.struct("predicted_class", "confidence", "probabilities").alias("prediction_details"))
