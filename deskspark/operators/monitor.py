@@ -5,11 +5,20 @@ silence, consistency and SLA checks."""
 
 from __future__ import annotations
 
+import sys
+from bisect import insort
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT, Params
-from deskspark.operators.common import bind, exact_percentiles, exact_row_number
+from deskspark.operators.common import exact_percentiles, exact_row_number
+
+# executors need not be able to import the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # ---------------------------------------------------------------------------
 # Histogram bucket bounds and service-level targets.
@@ -86,7 +95,8 @@ def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 sec
     Between two trims the buffer starts at a fixed row, so each "epoch" of
     ``keep + 1`` rows is one window partition with a growing frame; the
     ``keep`` rows carried over from the previous epoch are copied into it
-    (each row lives in at most two partitions).  Partitions are
+    (each row lives in at most two partitions) and the epoch's values are
+    kept in order while it grows.  Partitions are
     ``(service, epoch)``, at most ``trim_above + 1 + keep`` rows each, so a
     hot service is spread over many tasks.
     """
@@ -101,20 +111,32 @@ def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 sec
     own = x.withColumn("_own", F.lit(True))
     carry = x.filter(rn >= nxt - keep).withColumn("_epoch", F.col("_epoch") + 1).withColumn("_own", F.lit(False))
     both = own.unionByName(carry).select("service", "_epoch", "rn", "ts", "latency", "_own")
-    growing = Window.partitionBy("service", "_epoch").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
-    # one array sort per row: the percentile aggregate would rebuild and sort its map of values
-    both = both.withColumn("_buf", F.collect_list("latency").over(growing))
-
-    def at(buf, q):
-        pos = F.lit(q) * (F.size(buf) - 1)
-        lo, hi = F.get(buf, F.floor(pos).cast("int")), F.get(buf, F.ceil(pos).cast("int"))
-        return F.round(lo + (hi - lo) * (pos - F.floor(pos)), 9)
-
-    q = bind(F.sort_array("_buf"), lambda buf: F.array(at(buf, 0.95), at(buf, 0.99)))
-    both = both.filter("_own").withColumn("_q", q)
-    size = F.when(rn <= first, rn).otherwise(F.lit(cyc) + (rn - first - 1) % cyc)
-    return both.select("service", "rn", "ts", size.alias("buffer_size"), F.col("_q")[0].alias("p95_latency"),
-                       F.col("_q")[1].alias("p99_latency"))
+    return both.groupBy("service", "_epoch").applyInArrow(
+        growing_percentiles(first, cyc), f"service string, rn long, ts {dict(both.dtypes)['ts']}, buffer_size long, p95_latency double, p99_latency double")
+
+
+def growing_percentiles(first: int, cyc: int):
+    """Over one epoch: P95 and P99 of the rows so far at each own row, from an array kept in order (a binary search and one
+    insertion a row)."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("rn")
+        held, out, kept = [], ([], []), []
+        for i, (x, own) in enumerate(zip(table["latency"].to_pylist(), table["_own"].to_pylist(), strict=True)):
+            if x is not None:
+                insort(held, x)
+            if own:
+                kept.append(i)
+                for q, found in zip((0.95, 0.99), out, strict=True):
+                    at = q * (len(held) - 1)
+                    lo = int(at)
+                    found.append(round(held[lo] + (held[min(lo + 1, len(held) - 1)] - held[lo]) * (at - lo), 9) if held else None)
+        own = table.take(pa.array(kept, pa.int64()))
+        rn = own["rn"].to_numpy()
+        size = np.where(rn <= first, rn, cyc + (rn - first - 1) % cyc)
+        return pa.table([own["service"], own["rn"], own["ts"], pa.array(size), pa.array(out[0], pa.float64()), pa.array(out[1], pa.float64())],
+                        names=["service", "rn", "ts", "buffer_size", "p95_latency", "p99_latency"])
+
+    return run
 
 
 def windowed_rate(ev: DataFrame, width: str = DEFAULT.rate_window, seconds: int = 300, by=("service",),
