@@ -5,9 +5,10 @@ size and layout).  A logistic regression per view is fitted on the labelled rows
 rows of an unlabelled pool about which it is sure, and these join the other view's training set.  The views are calibrated
 and combined on labelled rows that neither view was fitted on.
 
-Fitting uses bounded samples (``max_labelled`` labelled and ``max_pool`` unlabelled rows, those with the smallest hash of
-doc_id), so it runs as one task over a small table; the driver sees one row, the weights.  They score every document in
-one pass without a shuffle.
+The first fit uses a bounded sample of the labelled rows (``max_labelled``, those with the smallest hash of doc_id) and runs as one
+task.  The rounds use every unlabelled document: its features are written once, and each solver step is a pass over them
+that sums the losses and gradients of both views per task and adds the sums up through a tree.  The driver holds the weights
+and the held-out rows' scores; the weights score every document in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskspark.llm.common import fresh, Ids, raw_texts, read, require, shared, ship, slices, small_batches
+from deskspark.llm.common import Ids, batches_of, fresh, raw_texts, read, require, shared, ship, slices, small_batches
 from deskspark.operators.common import materialize
 
 ship(__name__)
@@ -67,13 +68,15 @@ def meta_view(text: bytes, values: list[str | None]) -> tuple[np.ndarray, np.nda
 
 
 class Rows:
-    """Sparse rows from two Arrow list columns (places and values), without Python objects."""
+    """Sparse rows from two Arrow list columns (places and values), without Python objects.  Without values all are 1, but for
+    the first place of each row, which has ``first``."""
 
-    def __init__(self, places: pa.ChunkedArray, values: pa.ChunkedArray, size: int):
-        places, values = places.combine_chunks(), values.combine_chunks()
-        self.at, self.value = places.flatten().to_numpy(zero_copy_only=False), values.flatten().to_numpy(zero_copy_only=False)
-        self.lengths, self.size = pc.list_value_length(places).to_numpy(zero_copy_only=False), size
+    def __init__(self, places: pa.ListArray, values: pa.ListArray | None, size: int, first: np.ndarray | None = None):
+        self.at, self.lengths, self.size = places.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(places).to_numpy(zero_copy_only=False), size
         self.begin = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        self.value = np.ones(len(self.at)) if values is None else values.flatten().to_numpy(zero_copy_only=False)
+        if first is not None:
+            self.value[self.begin] = first
 
     def dot(self, w):
         return np.add.reduceat(self.value * w[self.at], self.begin)
@@ -82,16 +85,9 @@ class Rows:
         return np.bincount(self.at, self.value * np.repeat(r, self.lengths), self.size)
 
 
-def logistic(rows, y: np.ndarray, weight: np.ndarray, penalty: float, steps: int) -> np.ndarray:
-    """Weights of an L2-penalised logistic regression by limited-memory BFGS; the last weight is not penalised."""
-    total, scale = weight.sum(), np.append(np.full(rows.size - 1, penalty), 0.0)
-
-    def value(w):
-        z = rows.dot(w)
-        loss = (weight * (np.logaddexp(0, z) - y * z)).sum() / total + (scale * w * w).sum() / 2
-        return loss, rows.back(weight * (1 / (1 + np.exp(-z)) - y)) / total + scale * w
-
-    w, pairs = np.zeros(rows.size), []
+def minimise(value, w: np.ndarray, steps: int) -> np.ndarray:
+    """Limited-memory BFGS from ``w``; ``value`` returns loss and gradient."""
+    pairs = []
     loss, grad = value(w)
     for _ in range(steps):
         q, alphas = grad.copy(), []
@@ -117,6 +113,22 @@ def logistic(rows, y: np.ndarray, weight: np.ndarray, penalty: float, steps: int
     return w
 
 
+def losses(rows, y: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray]:
+    """Sum of the logistic losses and its gradient."""
+    z = rows.dot(w)
+    return (np.logaddexp(0, z) - y * z).sum(), rows.back(1 / (1 + np.exp(-z)) - y)
+
+
+def penalised(loss: float, grad: np.ndarray, n: float, w: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+    """Mean loss with an L2 penalty on all weights but the last."""
+    scale = np.append(np.full(len(w) - 1, penalty), 0.0)
+    return loss / n + (scale * w * w).sum() / 2, grad / n + scale * w
+
+
+def logistic(rows, y: np.ndarray, penalty: float, steps: int) -> np.ndarray:
+    return minimise(lambda w: penalised(*losses(rows, y, w), len(y), w, penalty), np.zeros(rows.size), steps)
+
+
 class Dense:
     """Dense rows with an intercept, for the calibration."""
 
@@ -131,34 +143,21 @@ class Dense:
         return r @ self.x
 
 
-def _fit(batches, rounds, sure, penalty, steps):
+def views(batch: pa.RecordBatch) -> tuple[Rows, Rows]:
+    """Text and metadata rows of a batch of the feature table."""
+    t, first, m, v = (batch.column(batch.schema.get_field_index(c)) for c in ("t", "first", "m", "mv"))
+    return Rows(t, None, 1 << TEXT_BITS, first.to_numpy(zero_copy_only=False)), Rows(m, v, 1 << META_BITS)
+
+
+def _fit(batches, penalty, steps):
+    """The first weights of both views, from the labelled rows alone."""
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
-    table = pa.Table.from_batches(batches)
-    table = table.sort_by("doc_id")  # ids are distinct: the fit does not depend on the order of arrival
-    bad = table["bad"].to_pandas().to_numpy(float)
-    held = table["held"].to_numpy()
-    train, pool, test = ~np.isnan(bad) & ~held, np.isnan(bad), ~np.isnan(bad) & held
-    if not all(len({*bad[part]}) == 2 for part in (train, test)):
-        return
-    rows = {"t": Rows(table["t"], table["tv"], 1 << TEXT_BITS), "m": Rows(table["m"], table["mv"], 1 << META_BITS)}
-    del table
-    y, weight = {v: np.where(train, np.nan_to_num(bad), 0.0) for v in rows}, {v: train.astype(float) for v in rows}
-    for k in range(rounds + 1):
-        fitted = {v: logistic(rows[v], y[v], weight[v], penalty, steps) for v in rows}
-        if k < rounds:
-            # each view labels for the other
-            for view, other in (("t", "m"), ("m", "t")):
-                p = 1 / (1 + np.exp(-rows[other].dot(fitted[other])))
-                certain = pool & ((p >= sure) | (p <= 1 - sure))
-                weight[view] = train + certain.astype(float)
-                y[view] = np.where(certain, p >= 0.5, np.where(train, np.nan_to_num(bad), 0.0)).astype(float)
-    z = {v: rows[v].dot(fitted[v])[test] for v in rows}
-    one = np.ones(int(test.sum()))
-    parts = [fitted["t"], fitted["m"], logistic(Dense(z["t"]), bad[test], one, 1e-4, 100), logistic(Dense(z["m"]), bad[test], one, 1e-4, 100),
-             logistic(Dense(z["t"], z["m"]), bad[test], one, 1e-4, 100)]
-    yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()) for w in parts], names=["t", "m", "ct", "cm", "c"])
+    # ids are distinct: the fit does not depend on the order of arrival
+    batch = pa.Table.from_batches(batches).sort_by("doc_id").combine_chunks().to_batches()[0]
+    bad = batch.column(batch.schema.get_field_index("bad")).to_numpy(zero_copy_only=False)
+    yield pa.RecordBatch.from_arrays([pa.array([logistic(rows, bad, penalty, steps).tobytes()], pa.binary()) for rows in views(batch)], names=["t", "m"])
 
 
 def lists(rows, part: int, kind) -> pa.ListArray:
@@ -166,33 +165,96 @@ def lists(rows, part: int, kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([r[part] for r in rows]).astype(kind)))
 
 
-def _sample_rows(batches):
+def _features(batches):
     for batch in slices(batches, "text"):
         texts = raw_texts(batch, "text")
-        t, m = text_view(texts), [meta_view(x, v) for x, v in zip(texts, batch.column(3).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists(t, 0, np.int32), lists(t, 1, float),
-                                          lists(m, 0, np.int32), lists(m, 1, float)],
-                                         names=["doc_id", "bad", "held", "t", "tv", "m", "mv"])
+        t, m = text_view(texts), [meta_view(x, v) for x, v in zip(texts, batch.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists(t, 0, np.int32), pa.array([r[1][0] for r in t]), lists(m, 0, np.int32), lists(m, 1, float)],
+                                         names=["doc_id", "t", "first", "m", "mv"])
+
+
+def _pass(now, teacher, sure):
+    """One row per task: loss, rows and gradient of each view at the weights ``now``.  Rows without a label count for a view where
+    the other view's ``teacher`` weights are sure of them."""
+    def run(batches):
+        w, old = now.value, teacher.value
+        total = [[0.0, 0.0, np.zeros(1 << TEXT_BITS)], [0.0, 0.0, np.zeros(1 << META_BITS)]]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bad = batch.column(batch.schema.get_field_index("bad")).to_numpy(zero_copy_only=False)
+            known, rows = ~np.isnan(bad), views(batch)
+            told = [1 / (1 + np.exp(-r.dot(o))) for r, o in zip(rows, (old.t, old.m), strict=True)]
+            for view, (r, coef) in enumerate(zip(rows, (w.t, w.m), strict=True)):
+                p = told[1 - view]
+                use = known | (p >= sure) | (p <= 1 - sure)
+                y = np.where(known, np.nan_to_num(bad), p >= 0.5)
+                z = r.dot(coef)
+                total[view][0] += ((np.logaddexp(0, z) - y * z) * use).sum()
+                total[view][1] += use.sum()
+                total[view][2] += r.back((1 / (1 + np.exp(-z)) - y) * use)
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([np.append(x[2], x[:2]) for x in total]).tobytes()], pa.binary())], names=["sums"])
+    return run
+
+
+def exchange(rows: DataFrame, t: np.ndarray, m: np.ndarray, sure: float, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """One round: both views go on from their weights ``t`` and ``m`` with what the other view is sure of among ``rows``."""
+    spark = rows.sparkSession
+    teacher = shared(spark, SimpleNamespace(t=t, m=m))
+
+    def value(w):
+        now = shared(spark, SimpleNamespace(t=w[:1 << TEXT_BITS], m=w[1 << TEXT_BITS:]))
+        sums = (rows.mapInArrow(_pass(now, teacher, sure), "sums binary").rdd.map(lambda r: np.frombuffer(r[0]))
+                .treeReduce(lambda a, b: a + b, depth=2))
+        now.destroy()
+        split = (1 << TEXT_BITS) + 2
+        parts = [penalised(x[-2], x[:-2], max(x[-1], 1.0), w[own], penalty)
+                 for x, own in ((sums[:split], np.s_[:1 << TEXT_BITS]), (sums[split:], np.s_[1 << TEXT_BITS:]))]
+        return sum(p[0] for p in parts), np.concatenate([p[1] for p in parts])
+
+    w = minimise(value, np.concatenate([t, m]), steps)
+    teacher.destroy()
+    return w[:1 << TEXT_BITS], w[1 << TEXT_BITS:]
+
+
+def _logits(model):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                z = [r.dot(w) for r, w in zip(views(batch), (model.value.t, model.value.m), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("bad")), *map(pa.array, z)], names=["bad", "zt", "zm"])
+    return run
 
 
-def learn(docs: DataFrame, labels: DataFrame, meta: list[str], max_labelled: int, max_pool: int, rounds: int, sure: float,
-          penalty: float, steps: int):
-    """The weights, or None if the labelled rows (or those held for calibration) have one class only."""
+def learn(docs: DataFrame, labels: DataFrame, meta: list[str], max_labelled: int, rounds: int, sure: float, penalty: float, steps: int, round_steps: int):
+    """The weights, or None if the labelled rows (or those held for calibration) have one class only.  ``docs``: doc_id, values, text."""
+    spark = docs.sparkSession
     bad = F.when((F.col("quality") == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1), 1.0).otherwise(0.0)
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max(bad).alias("bad"))
+    known = materialize(labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max(bad).alias("bad")))
     seeded = lambda seed: F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
-    picked = known.orderBy(seeded("label"), "doc_id").limit(max_labelled)
-    pool = (docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(seeded("pool"), "doc_id").limit(max_pool).distinct()
-            .join(known, "doc_id", "left_anti").withColumn("bad", F.lit(None).cast("double")))
-    chosen = materialize(picked.unionByName(pool))
-    held = F.col("bad").isNotNull() & (F.pmod(seeded("fold"), F.lit(4)) == 0)
-    # the chosen ids are at most max_labelled + max_pool rows; of repeated rows one is enough
-    rows = (docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "bad", held.alias("held"), values(meta), F.col("text"))
-            .dropDuplicates(["doc_id"]))
-    kind = dict(docs.select("doc_id").dtypes)["doc_id"]
-    sample = materialize(rows.mapInArrow(_sample_rows, f"doc_id {kind}, bad double, held boolean, t array<int>, tv array<double>, m array<int>, mv array<double>"))
-    found = sample.coalesce(1).mapInArrow(lambda b: _fit(b, rounds, sure, penalty, steps), "t binary, m binary, ct binary, cm binary, c binary").collect()
-    return SimpleNamespace(**{k: np.frombuffer(v) for k, v in found[0].asDict().items()}) if found else None
+    present = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    picked = materialize(present.orderBy(seeded("label"), "doc_id").limit(max_labelled).select("doc_id", F.lit(True).alias("picked")))
+    told = known.join(F.broadcast(picked), "doc_id", "left")  # at most max_labelled rows
+    kind = dict(docs.dtypes)["doc_id"]
+    with batches_of(spark):
+        features = docs.select("doc_id", "values", "text").mapInArrow(_features, f"doc_id {kind}, t array<int>, first double, m array<int>, mv array<double>")
+        rows = materialize(features.join(told, "doc_id", "left").filter("bad IS NULL OR picked"))
+        held = F.pmod(seeded("fold"), F.lit(4)) == 0
+        sample = materialize(rows.filter("bad IS NOT NULL").dropDuplicates(["doc_id"]).withColumn("held", held))
+        if any({r[0] for r in sample.filter(F.col("held") == h).select("bad").distinct().collect()} != {0.0, 1.0} for h in (False, True)):
+            return None
+        train = sample.filter("NOT held").drop("held")
+        first = train.coalesce(1).mapInArrow(lambda b: _fit(b, penalty, steps), "t binary, m binary").first()  # at most max_labelled rows
+        t, m = np.frombuffer(first.t), np.frombuffer(first.m)
+        taught = train.unionByName(rows.filter("bad IS NULL"))
+        for _ in range(rounds):
+            t, m = exchange(taught, t, m, sure, penalty, round_steps)
+        model = SimpleNamespace(t=t, m=m)
+        out = sample.filter("held").mapInArrow(_logits(shared(spark, model)), "bad double, zt double, zm double").orderBy("zt", "zm", "bad").collect()
+    y, zt, zm = (np.array(x) for x in zip(*out, strict=True))
+    for name, columns in (("ct", (zt,)), ("cm", (zm,)), ("c", (zt, zm))):
+        setattr(model, name, logistic(Dense(*columns), y, 1e-4, 100))
+    return model
 
 
 def values(meta: list[str]):
@@ -213,18 +275,20 @@ def _score(model, text):
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, meta: tuple[str, ...] = ("source", "lang"),
-                    max_labelled: int = 10_000, max_pool: int = 10_000, rounds: int = 2, sure: float = 0.95, penalty: float = 3e-4,
-                    steps: int = 40, threshold: float = 0.5) -> DataFrame:
+                    max_labelled: int = 10_000, rounds: int = 2, sure: float = 0.95, penalty: float = 3e-4, steps: int = 40,
+                    round_steps: int = 4, threshold: float = 0.5) -> DataFrame:
     """The columns ``keep`` (default doc_id) of every row of ``docs`` with p_text, p_meta, p_bad (chance of low quality or
     toxicity) and kept (these get other names where ``keep`` has them).
 
     A null text has no words and is scored by its metadata; a null source or language is a value of its own; labels with
-    a null id or quality are ignored, several labels of an id count as bad if one is; repeated rows score alike; an empty
+    a null id or quality are ignored, several labels of an id count as bad if one is; repeated rows score alike, and without a label each
+    takes part in the rounds; an empty
     table gives an empty result; without labels of both classes all probabilities are 0 and every row is kept."""
     require(docs, "doc_id", "text")
     small_batches(docs.sparkSession)
     keep, meta = keep or ["doc_id"], [c for c in meta if c in docs.columns]
-    model = learn(docs, labels, meta, max_labelled, max_pool, rounds, sure, penalty, steps)
+    narrow = docs.select("doc_id", values(meta), F.col("text").cast("string").alias("text"))
+    model = learn(narrow, labels.select("doc_id", "quality", "toxic"), meta, max_labelled, rounds, sure, penalty, steps, round_steps)
     out = fresh(docs.select(*keep), "p_text", "p_meta", "p_bad", "kept")
     if model is None:
         return docs.select(*keep, *[F.lit(0.0).alias(c) for c in out[:3]], F.lit(True).alias(out[3]))
