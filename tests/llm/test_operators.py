@@ -195,6 +195,19 @@ def test_mix_targets(spark):
     assert out.filter("taken > 2 * size").count() == 0
 
 
+def test_mix_of_repeated_and_null_ids(spark):
+    # all rows of a source alike; ids that repeat or are null; names that clash
+    rows = [(None, words(10), "en", "a") for _ in range(900)] + [(7, words(10, i), "en", "b") for i in range(900)] + [(i, words(10), "en", "c") for i in range(50)]
+    docs = frame(spark, rows).withColumn("copies", F.lit(9)).withColumn("taken", F.lit("x"))
+    out = mixing.mix_documents(docs.repartition(7))
+    src = F.when(F.col("doc_id").isNull(), "a").when((F.col("doc_id") == 7) & (F.col("source_size") == 9000), "b").otherwise("c")
+    got = out.groupBy(src.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert sorted(r.n for r in got) == [50, 900, 900]
+    assert all(abs(r.taken - r.target) <= 5.01 for r in got)
+    whole = mixing.mix(docs, F.lit(1), carry=docs.columns)
+    assert whole.columns[:len(docs.columns)] == docs.columns and len({*whole.columns}) == len(whole.columns) and whole.count() == len(rows)
+
+
 def test_context_extraction(spark):
     seeds = [(i, f"hello please mail to u{i}@ex{i}.com today", "en", "s") for i in range(20)]
     docs = frame(spark, [*seeds, (50, "then mail to 555-0199-77 please", "en", "s"), (51, "room number 555-0199-78 here", "en", "s")])
