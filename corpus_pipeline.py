@@ -1,7 +1,7 @@
-"""Corpus pipeline: five stages over ``documents``, each written as Parquet and read again as the next one's input.
+"""Corpus pipeline: five stages over ``documents``, all but the last written as Parquet and read again as the next one's input.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of
-documents.  Every stage keeps the rules of its operator for nulls, ties, repeated rows and empty tables.
+documents.  Every stage keeps the rules of its operator for nulls, ties, repeated rows, empty tables and clashing names.
 """
 
 from __future__ import annotations
@@ -35,8 +35,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with size, source_size, target, copies and taken."""
-    return mixing.mix(docs, word_count(F.col("text")), carry=docs.columns).filter("copies > 0")
+    """The documents that the mix takes, with size, source_size, target, copies and taken (under other names where documents has
+    such columns).  A document that is taken twice is one row with 2 copies: who reads the mix repeats it."""
+    out = mixing.mix(docs, word_count(F.col("text")), carry=docs.columns)
+    return out.filter(F.col(out.columns[-2]) > 0)
 
 
 STAGES = [
