@@ -133,6 +133,47 @@ def test_secret_links_of_long_parts(spark):
     assert want and {tuple(r) for r in secret_scan.linked(parts, 200).collect()} == want
 
 
+def test_licences_inside_other_text(spark):
+    full = license_scan.TEMPLATES["mit-full"]
+    header = license_scan.TEMPLATES["gpl-header"].replace("either version 3", "either\n * version 3")
+    texts = ["(c) 2020 Acme. Licensed under the MIT License.", f"code()\n{header}\nint main;\nmore(code)", "x " * 50 + full + " y" * 50, full.replace("any person", "a person or two"),
+             "licensed under the old MIT contract", "the license of the software", "", None, "License", "mit license " * 3000, "Released under the"]
+    got = {r.doc_id: r for r in license_scan.license_scan(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    assert got[0].licenses == "mit-notice" and got[0].n_windows == 1 and got[0].best_dice == 1.0
+    assert got[1].licenses == "gpl-header" and got[1].n_windows >= 1
+    assert "mit-full" in got[2].licenses and got[2].best_dice == 1.0 and "mit-full" in got[3].licenses
+    assert not any(got[i].flagged for i in range(4, 11))
+
+
+def test_licence_windows_by_hand(spark):
+    import random
+
+    templates = {"one": "a b c d e f", "two": "f e d c", "three": "b c d x y z a b"}
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("abcdefxyz", weights=[9, 9, 9, 9, 9, 9, 2, 2, 2], k=rng.randint(0, 40))) for _ in range(40)] + ["u " * 3 + templates["three"] + " u", templates["one"]]
+    sets = {n: {*zip(t.split(), t.split()[1:], strict=False)} for n, t in templates.items()}
+    for threshold in (0.5, 0.8):
+        got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").select(
+            "doc_id", license_scan.windows(F.col("text"), templates, threshold).alias("w")).collect()
+        for r in got:
+            words, want = texts[r.doc_id].split(), set()
+            for name, template in templates.items():
+                size = len(template.split())
+                places = {(g, o) for n, g, o, _ in license_scan.anchors(templates, threshold) if n == name}
+                for at in {p + 1 - o for p in range(len(words) - 1) for g, o in places if " ".join(words[p:p + 2]) == g}:
+                    inside = words[max(at, 1) - 1:at - 1 + size]
+                    own = {*zip(inside, inside[1:], strict=False)}
+                    dice = 2 * len(own & sets[name]) / (len(own) + len(sets[name]))
+                    if dice >= threshold:
+                        want.add((name, at, round(dice, 9)))
+                # no window of the template's length that matches is without an anchor
+                for at in range(1, len(words) - size + 2):
+                    own = {*zip(words[at - 1:at - 2 + size], words[at:at - 1 + size], strict=False)}
+                    if len(own) == size - 1 and 2 * len(own & sets[name]) / (len(own) + len(sets[name])) >= threshold:
+                        assert any(" ".join(g) in {x for x, _ in places} for g in own)
+            assert {(x.license, x["at"], round(x.dice, 9)) for x in r.w} == want
+
+
 def test_hmm_is_a_distribution(spark):
     rows = [(i, t, "en", "s") for i, t in enumerate(["a b", "b a", "a a b", "", None, "c"])]
     out = hmm.hmm_scores(frame(spark, rows), F.col("doc_id") == 5, states=2, rounds=3).collect()
