@@ -140,20 +140,23 @@ def _total(rdd, shape, add):
     return rdd.mapPartitions(of).treeReduce(lambda a, b: a + b, depth=1 if direct else 2)
 
 
-def squared_hinge(rdd, train: list[set[int]], k: int, width: int, c: float, max_iter: int, tol: float) -> np.ndarray:
-    """Weights (fit, class, place) of the one-vs-rest linear SVMs, one per fit and class: ``c`` times the squared hinge
+def squared_hinge(rdd, train: list[set[int]], k: int, width: int, costs: list[float], max_iter: int, tol: float) -> np.ndarray:
+    """Weights (fit, class, place) of the one-vs-rest linear SVMs, one per fit and class: the fit's cost times the squared hinge
     losses of the fit's training groups plus half the squared norm, intercept included.  Limited-memory BFGS with a step
     of its own per problem, all evaluated by the same job.  A problem ends at ``tol`` of its first gradient; those that
     have not ended after ``max_iter`` rounds are logged."""
     fits, context = len(train), rdd.context
     inside = [np.array(sorted(t)) for t in train]
 
-    def evaluate(w):
+    def evaluate(w, need, loss=0.0, grad=0.0):
+        """Losses and gradients of the problems that ``need`` them; the others keep theirs."""
         now = context.broadcast(w)
 
         def add(sums, b):
-            use = np.isin(b.group, inside[b.fit]).astype(float)
-            for j in range(k):
+            if not need[b.fit].any():
+                return
+            use, c = np.isin(b.group, inside[b.fit]).astype(float), costs[b.fit]
+            for j in np.flatnonzero(need[b.fit]):
                 coef = now.value[b.fit, j]
                 y = np.where(b.label == j, 1.0, -1.0)
                 short = np.maximum(1.0 - y * (np.bincount(b.row, b.value * coef[b.place], len(y)) + coef[-1]), 0.0) * use
@@ -165,11 +168,12 @@ def squared_hinge(rdd, train: list[set[int]], k: int, width: int, c: float, max_
 
         sums = _total(rdd, (fits, k, width + 2), add)
         now.destroy()
-        return sums[..., -1] + 0.5 * (w * w).sum(-1), sums[..., :-1] + w
+        return (np.where(need, sums[..., -1] + 0.5 * (w * w).sum(-1), loss),
+                np.where(need[..., None], sums[..., :-1] + w, grad))
 
     dot = lambda a, b: (a * b).sum(-1)
     w = np.zeros((fits, k, width + 1))
-    loss, grad = evaluate(w)
+    loss, grad = evaluate(w, np.ones((fits, k), bool))
     goal, past = tol * np.sqrt(dot(grad, grad)), []
     for _ in range(max_iter):
         open_ = np.sqrt(dot(grad, grad)) > goal
@@ -193,17 +197,18 @@ def squared_hinge(rdd, train: list[set[int]], k: int, width: int, c: float, max_
         step = np.where(uphill[..., None], -grad, step)
         slope = np.where(uphill, -dot(grad, grad), slope)
         size = np.where(open_, 1.0, 0.0)
+        need, new_loss, new_grad = open_, loss, grad
         for _try in range(30):
             new = w + size[..., None] * step
-            new_loss, new_grad = evaluate(new)
-            worse = new_loss > loss + 1e-4 * size * slope + 1e-12 * np.abs(loss)
-            if not worse.any():
+            new_loss, new_grad = evaluate(new, need, new_loss, new_grad)
+            need = new_loss > loss + 1e-4 * size * slope + 1e-12 * np.abs(loss)
+            if not need.any():
                 break
-            size = np.where(worse, size / 2, size)
+            size = np.where(need, size / 2, size)
         else:
-            size = np.where(worse, 0.0, size)
+            size = np.where(need, 0.0, size)
             new = w + size[..., None] * step
-            new_loss, new_grad = evaluate(new)
+            new_loss, new_grad = np.where(need, loss, new_loss), np.where(need[..., None], grad, new_grad)
         s, y = new - w, new_grad - grad
         curve = dot(s, y)
         past = [*past[-9:], (s, y, np.where(curve > 1e-12, 1.0 / np.maximum(curve, 1e-300), 0.0))]

@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import logging
 import math
 import random
@@ -38,24 +39,30 @@ def analyzed(df: DataFrame, params: Params = DEFAULT, text: str = "document_clea
     return T.analyze(df, text, True, params.ngram_min, params.ngram_max)
 
 
-def vocabularies(docs: DataFrame, train: list[set[int]], params: Params = DEFAULT):
-    """Per training set (a set of ``group`` values) the terms and idf of its own rows: T3 for all sets from one shuffle by
-    term, with the document and corpus counts kept by group.  Returns ``([terms], [idf])``, each list of at most
-    ``max_features`` entries."""
-    groups = sorted(set().union(*train))
+def group_stats(docs: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Document and corpus counts of every term by ``group`` (``df0, cf0, df1, ...``) and the rows of each group: all that the
+    vocabularies of any number of fits need, from one shuffle by term."""
     rows_in = {r["group"]: r["n"] for r in docs.groupBy("group").agg(F.count(F.lit(1)).alias("n")).collect()}
     exploded = docs.select("group", F.inline(T.counted(F.col("terms"))))
-    per = [f(F.when(F.col("group") == g, x)).alias(f"{name}{g}") for g in groups
+    per = [f(F.when(F.col("group") == g, x)).alias(f"{name}{g}") for g in sorted(rows_in)
            for name, f, x in (("df", F.count, F.lit(1)), ("cf", F.sum, F.col("tf")))]
-    stats = materialize(exploded.groupBy("term").agg(*per).na.fill(0))
+    return materialize(exploded.groupBy("term").agg(*per).na.fill(0).withColumn("words", F.size(F.split("term", " ")))), rows_in
+
+
+def vocabularies(stats: DataFrame, rows_in: dict[int, int], train: list[set[int]], params: list[Params]):
+    """Per fit the terms and idf of its own training set (a set of ``group`` values) under its own parameters: T3 for all fits from
+    the counts by group.  Returns ``([terms], [idf])``, each list of at most ``max_features`` entries."""
     parts = []
-    for fit, inside in enumerate(train):
-        add = lambda name: functools.reduce(lambda a, b: a + b, [F.col(f"{name}{g}") for g in sorted(inside)])  # noqa: E731, B023
-        of = stats.select("term", add("df").alias("df"), add("cf").alias("cf")).filter("df > 0")
-        n = sum(rows_in.get(g, 0) for g in inside)
-        kept = T.vocabulary(of, n, params.min_df, params.max_df, params.max_features)
+    for fit, (groups, p) in enumerate(zip(train, params)):
+        inside = sorted(groups & set(rows_in))
+        if not inside:
+            continue
+        add = lambda name: functools.reduce(lambda a, b: a + b, [F.col(f"{name}{g}") for g in inside])  # noqa: E731, B023
+        own = stats.filter(F.col("words").between(p.ngram_min, p.ngram_max))
+        of = own.select("term", add("df").alias("df"), add("cf").alias("cf")).filter("df > 0")
+        kept = T.vocabulary(of, sum(rows_in[g] for g in inside), p.min_df, p.max_df, p.max_features)
         parts.append(kept.select(F.lit(fit).alias("fit"), "term", "idf"))
-    rows = functools.reduce(DataFrame.union, parts).collect()  # at most max_features rows per set
+    rows = functools.reduce(DataFrame.union, parts).collect() if parts else []  # at most max_features rows per set
     terms, idfs = [[] for _ in train], [[] for _ in train]
     for r in sorted(rows, key=lambda r: (r["fit"], r["term"])):
         terms[r["fit"]].append(r["term"])
@@ -71,15 +78,17 @@ def stratified_groups(df: DataFrame, label: str, id_col: str, seed: int, groups:
     return x.withColumn("group", ((F.col("_rn") - 1) % groups).cast("int")).drop("_k", "_rn")
 
 
-def fit_together(docs: DataFrame, train: list[set[int]], held: list[set[int]] | None, params: Params) -> list[linear.Fit]:
-    """One fitted pipeline per training set over ``docs`` (label, group, terms), calibrated on ``held``."""
+def fit_together(docs: DataFrame, train: list[set[int]], held: list[set[int]] | None, params: Params | list[Params], stats=None) -> list[linear.Fit]:
+    """One fitted pipeline per training set over ``docs`` (label, group, terms), calibrated on ``held``.  ``params`` may differ by
+    fit; ``terms`` must then have the n-grams of the widest range.  ``stats``: :func:`group_stats` of ``docs``, if known."""
+    each = params if isinstance(params, list) else [params] * len(train)
     k = int(docs.agg(F.max("label")).first()[0] or 0) + 1
-    terms, idfs = vocabularies(docs, train, params)
+    terms, idfs = vocabularies(*(stats or group_stats(docs)), train, each)
     width = max(map(len, terms))
     rows = linear.blocks(docs, terms, idfs)
     try:
-        coef = linear.squared_hinge(rows, train, k, width, params.svm_c, params.svm_max_iter, params.svm_tol)
-        platt = linear.sigmoids(rows, held, coef, params.platt_tol) if held else [None] * len(train)
+        coef = linear.squared_hinge(rows, train, k, width, [p.svm_c for p in each], each[0].svm_max_iter, each[0].svm_tol)
+        platt = linear.sigmoids(rows, held, coef, each[0].platt_tol) if held else [None] * len(train)
     finally:
         rows.unpersist()
     # a shorter vocabulary leaves places without weight before the intercept
@@ -203,28 +212,38 @@ def cv_weighted_f1(train: DataFrame, params: Params = DEFAULT, label: str = "top
                    id_col: str = "doc_id") -> float:
     """M5: mean weighted F1 over ``cv_folds`` stratified outer folds.  Per outer fold the calibrated pipeline (vocabulary
     included) is fitted on the other rows; the fits of all outer and inner folds run together."""
-    outer, inner = params.cv_folds, params.calibration_folds
+    return cv_scores(_cv_rows(train, params, label, id_col), [params])[0]
+
+
+def _cv_rows(train: DataFrame, params: Params, label: str, id_col: str) -> DataFrame:
+    return _training(stratified_groups(train, label, id_col, params.seed, params.cv_folds * params.calibration_folds), params, label)
+
+
+def cv_scores(docs: DataFrame, trials: list[Params], stats=None) -> list[float]:
+    """M5 of several parameter sets over the same rows (label, group, terms), all their fits in the same jobs."""
+    outer, inner = trials[0].cv_folds, trials[0].calibration_folds
     pairs = [(g, h) for g in range(outer) for h in range(inner)]
     code = {pair: i for i, pair in enumerate(pairs)}
-    docs = _training(stratified_groups(train, label, id_col, params.seed, len(pairs)), params, label)
-    fits = fit_together(docs, [{code[p] for p in pairs if p[0] != g and p[1] != h} for g, h in pairs],
-                        [{code[p] for p in pairs if p[0] != g and p[1] == h} for g, h in pairs], params)
+    train = [{code[p] for p in pairs if p[0] != g and p[1] != h} for g, h in pairs]
+    held = [{code[p] for p in pairs if p[0] != g and p[1] == h} for g, h in pairs]
+    fits = fit_together(docs, train * len(trials), held * len(trials), [p for p in trials for _ in pairs], stats)
     found = []
-    for g in range(outer):
-        own = [fits[code[g, h]] for h in range(inner)]
-        held = docs.filter(F.floor(F.col("group") / inner) == g).withColumn("_s", linear.scores(F.col("terms"), own))
-        found.append(held.select(F.lit(g).alias("fold"), "label",
-                                 (F.array_position("_s", F.array_max("_s")) - 1).cast("int").alias("p")))
-    counts = functools.reduce(DataFrame.union, found).groupBy("fold", "label", "p").agg(F.count(F.lit(1)).alias("n")).collect()
-    scores = []
-    for g in range(outer):  # outer folds x classes x classes counts
-        cells = [(r["label"], r["p"], r["n"]) for r in counts if r["fold"] == g]
+    for t in range(len(trials)):
+        for g in range(outer):
+            own = [fits[t * len(pairs) + code[g, h]] for h in range(inner)]
+            rows = docs.filter(F.floor(F.col("group") / inner) == g).withColumn("_s", linear.scores(F.col("terms"), own))
+            found.append(rows.select(F.lit(t).alias("trial"), F.lit(g).alias("fold"), "label",
+                                     (F.array_position("_s", F.array_max("_s")) - 1).cast("int").alias("p")))
+    counts = functools.reduce(DataFrame.union, found).groupBy("trial", "fold", "label", "p").agg(F.count(F.lit(1)).alias("n")).collect()
+    scores = [0.0] * len(trials)
+    for t, g in itertools.product(range(len(trials)), range(outer)):  # outer folds x classes x classes counts each
+        cells = [(r["label"], r["p"], r["n"]) for r in counts if (r["trial"], r["fold"]) == (t, g)]
         total, f1 = sum(n for _, _, n in cells), 0.0
         for c in {y for y, _, _ in cells}:
             support, hits = sum(n for y, _, n in cells if y == c), sum(n for y, p, n in cells if y == p == c)
             f1 += support * 2 * hits / (support + sum(n for _, p, n in cells if p == c))
-        scores.append(f1 / max(total, 1))
-    return sum(scores) / outer
+        scores[t] += f1 / max(total, 1) / outer
+    return scores
 
 
 def search_space(trials: int, seed: int = DEFAULT.seed):
@@ -238,17 +257,34 @@ def search_space(trials: int, seed: int = DEFAULT.seed):
     return out
 
 
-def search(train: DataFrame, trials: int = DEFAULT.search_trials, params: Params = DEFAULT) -> list[dict]:
-    """M6: score every parameter set with M5; returns run rows."""
-    runs = []
-    for i, p in enumerate(search_space(trials, params.seed)):
+def search(train: DataFrame, trials: int = DEFAULT.search_trials, params: Params = DEFAULT, label: str = "topic_encoded",
+           id_col: str = "doc_id", together: int = 3) -> list[dict]:
+    """M6: score every parameter set with M5; returns run rows.
+
+    Rows are analysed once with the widest n-gram range and one table of counts by term and group gives the vocabularies of
+    all trials.  ``together`` trials are fitted by the same jobs; if such a batch fails, each of its trials is tried alone, and one that
+    fails alone scores 0.0."""
+    sets = search_space(trials, params.seed)
+    each = [params.with_(**p) for p in sets]
+    docs = _cv_rows(train, params.with_(ngram_max=max(p.ngram_max for p in each)), label, id_col)
+    stats = group_stats(docs)
+    scores = []
+    for begin in range(0, trials, together):
+        batch = each[begin:begin + together]
         try:
-            score = cv_weighted_f1(train, params.with_(**p))
-        except Exception:  # noqa: BLE001 - a failed trial scores 0.0
-            logging.getLogger(__name__).exception("trial %d failed: %s", i, p)
-            score = 0.0
-        runs.append({"trial": i, **p, "score": score})
-    return runs
+            scores += cv_scores(docs, batch, stats)
+        except Exception:  # noqa: BLE001
+            logging.getLogger(__name__).exception("trials from %d failed together", begin)
+            scores += [_alone(docs, p, stats) for p in batch]
+    return [{"trial": i, **p, "score": s} for i, (p, s) in enumerate(zip(sets, scores))]
+
+
+def _alone(docs: DataFrame, params: Params, stats) -> float:
+    try:
+        return cv_scores(docs, [params], stats)[0]
+    except Exception:  # noqa: BLE001 - a failed trial scores 0.0
+        logging.getLogger(__name__).exception("trial failed: %s", params)
+        return 0.0
 
 
 # --------------------------------------------------------------------------- M7 / M8 / M9

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT
@@ -11,7 +13,8 @@ from deskspark.operators.common import materialize
 from deskspark.plans import register
 from deskspark.plans.sqlparts import md5_key, prepared_ctes, split_ctes
 from deskspark.functions.text import clean_text_sql
-from deskspark.sources.tables import table, tickets
+from deskspark.session import ensure_checkpoint_dir
+from deskspark.sources.tables import read_ticket_csv, table, tickets
 
 PREP = prepared_ctes()
 SPLIT = split_ctes()
@@ -73,6 +76,18 @@ def ticket_scan(spark, sf_dir):
     return tickets(spark, sf_dir)
 
 
+@register("ticket_csv_scan", """
+SELECT sha256(text) AS digest, lang AS topic_group, CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_corrupt FROM documents GROUP BY ALL""")
+def ticket_csv_scan(spark, sf_dir):
+    """All documents written as quoted multi-line CSV and read back by several tasks per file."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/deskspark-tables/csv-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents").select(F.col("text").alias("Document"), F.col("lang").alias("Topic_group"))
+    docs.write.option("header", True).option("escape", '"').option("quoteAll", True).option("lineSep", "\n").csv(path)
+    rows = read_ticket_csv(spark, path, corrupt=True)
+    return rows.groupBy(F.sha2("document", 256).alias("digest"), "topic_group").agg(
+        F.count(F.lit(1)).alias("n"), F.count("_corrupt_record").alias("n_corrupt"))
+
+
 @register("drop_incomplete", """
 SELECT doc_id, lang AS topic_group FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL""")
 def drop_incomplete(spark, sf_dir):

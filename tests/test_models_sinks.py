@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from deskspark.config import DEFAULT
 from deskspark.operators import model as M
 from deskspark.plans import prepare_q
 from deskspark.sources import sinks
@@ -50,6 +51,16 @@ def test_search_space_is_seeded():
         assert 3000 <= p["max_features"] <= 7000 and 1 <= p["ngram_max"] <= 3 and 0.1 <= p["svm_c"] <= 10
 
 
+def test_search_equals_cross_validation(spark, split):
+    """Trials fitted together on shared statistics score what each scores alone."""
+    small = DEFAULT.with_(cv_folds=2, calibration_folds=2, svm_tol=1e-5)
+    runs = M.search(split[0], trials=3, params=small, together=2)
+    assert [r["trial"] for r in runs] == [0, 1, 2]
+    for r in (runs[0], runs[2]):
+        own = small.with_(**{k: r[k] for k in ("max_features", "ngram_max", "min_df", "max_df", "svm_c")})
+        assert r["score"] == pytest.approx(M.cv_weighted_f1(split[0], own), abs=1e-9)
+
+
 def test_best_run_and_early_stop(spark):
     runs = spark.createDataFrame([(0, 0.80, 0.5), (1, 0.85, 0.4), (2, 0.83, 0.3)], "trial int, score double, loss double")
     assert M.best_run(runs).first()["trial"] == 1
