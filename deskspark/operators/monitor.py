@@ -100,11 +100,21 @@ def rolling_buffer(ev: DataFrame, params: Params = DEFAULT, bucket: str = "1 sec
     ``(service, epoch)``, at most ``trim_above + 1 + keep`` rows each, so a
     hot service is spread over many tasks.
     """
-    keep, first = params.buffer_keep, params.buffer_trim_above + 1
-    cyc = keep + 1
     ok = ev.filter(~F.col("is_error"))
-    x = exact_row_number(ok, ["service"], ["ts", "event_id"], F.window("ts", bucket).start)
-    rn = F.col("rn")
+    return buffer_values(exact_row_number(ok, ["service"], ["ts", "event_id"], F.window("ts", bucket).start), params)
+
+
+def buffer_size(rn: Column, params: Params = DEFAULT) -> Column:
+    """Rows in the buffer after prediction number ``rn`` of a service."""
+    first, cyc = params.buffer_trim_above + 1, params.buffer_keep + 1
+    return F.when(rn <= first, rn).otherwise(F.lit(cyc) + (rn - first - 1) % cyc)
+
+
+def buffer_values(x: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """:func:`rolling_buffer` of numbered predictions (service, rn, ts, latency).  Numbers may begin anywhere: the values are right
+    from the first row on whose whole buffer is there."""
+    keep, first = params.buffer_keep, params.buffer_trim_above + 1
+    cyc, rn = keep + 1, F.col("rn")
     epoch = F.when(rn <= first, F.lit(0)).otherwise(F.lit(1) + F.floor((rn - first - 1) / cyc)).cast("long")
     x = x.withColumn("_epoch", epoch)
     nxt = F.lit(first + 1) + F.col("_epoch") * cyc

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from deskspark.plans import register
-from deskspark.plans.monitor_q import AT, EV, STEP, alerts_sql
+from deskspark.plans.monitor_q import AT, EV, GAUGES, STEP, alerts_sql
 from deskspark.plans.request_q import fitted_langid
+from deskspark.plans.svm_q import served
 from deskspark.streaming import monitor as SM
 from deskspark.streaming import requests as SR
 
@@ -66,9 +67,34 @@ def stream_error_rate_alerts(spark, sf_dir):
     return SM.error_rate_alerts(_events(spark, sf_dir))
 
 
+#: The events that the watermark has passed at the end of the source: those whose window ends before it.
+PASSED = EV.replace("ev AS", "ev0 AS") + f""",
+ev AS (SELECT * FROM ev0 WHERE {{at}} <= (SELECT max(ts) - INTERVAL {SM.WATERMARK} FROM ev0))"""
+
+
+@register("stream_latency_alerts", f"""
+WITH {GAUGES.replace(EV, PASSED.format(at=AT))}, {alerts_sql('gg', 'service', SM.O.THRESHOLD_ALERTS)}
+SELECT * FROM al""")
+def stream_latency_alerts(spark, sf_dir):
+    """O16 + O18 by a streaming job: latency (rolling buffer) and error-rate alerts over the steps that the watermark has passed."""
+    return SM.stream_alerts(_events(spark, sf_dir), SM.O.THRESHOLD_ALERTS)
+
+
+@register("stream_source_silence", f"""
+WITH {PASSED.format(at="time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute'")},
+sq AS (SELECT service, ts AS silence_start, lead(ts) OVER (PARTITION BY service ORDER BY ts) AS nxt FROM ev),
+se AS (SELECT service, silence_start, coalesce(nxt, (SELECT max(ts) FROM ev)) AS silence_end, nxt IS NULL AS ongoing FROM sq)
+SELECT service, silence_start, silence_end, round(date_diff('microsecond', silence_start, silence_end) / 1e6, 6) AS gap_seconds, ongoing
+FROM se WHERE date_diff('microsecond', silence_start, silence_end) / 1e6 > 60""")
+def stream_source_silence(spark, sf_dir):
+    """O19 by a streaming job."""
+    return SM.source_silence(_events(spark, sf_dir))
+
+
 @register("stream_request_scoring")
 def stream_request_scoring(spark, sf_dir):
     """G10 over a request file stream, scored micro-batch by micro-batch."""
     conv = SM.file_stream(spark, f"{sf_dir.rstrip('/')}/conversations.parquet")
     req = conv.filter(F.col("role") == "user").select("conv_id", "turn", "text")
-    return SR.serve(req, fitted_langid(spark, sf_dir))
+    fits, labels = served(spark, sf_dir)
+    return SR.serve(req, fitted_langid(spark, sf_dir), fits, labels)

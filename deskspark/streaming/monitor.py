@@ -1,4 +1,4 @@
-"""Monitoring aggregates over an event stream.
+"""Monitoring aggregates over an event stream.
 
 Sources are file streams (``readStream`` over Parquet); the metric columns
 come from the same ``metric_events`` binding as the batch queries.  The
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from deskspark.config import DEFAULT, Params
 from deskspark.operators import monitor as O
+from deskspark.operators.common import exact_row_number
 from deskspark.session import ensure_checkpoint_dir
 
 WATERMARK = "10 minutes"
@@ -91,23 +92,42 @@ def _open() -> Column:
     return F.expr("TIMESTAMP_NTZ'9999-12-31 00:00:00'")
 
 
-def evaluation_counts(ev: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Errors and successes per service and evaluation step; append mode gives each step once, when the watermark
-    has passed it."""
+def evaluation_steps(ev: DataFrame, params: Params = DEFAULT, latencies: bool = False) -> DataFrame:
+    """Errors and successes per service and evaluation step, on demand with the step's predictions; append mode gives each step
+    once, when the watermark has passed it."""
     step = F.window("ts", f"{params.alert_step_seconds} seconds").alias("w")
-    g = ev.groupBy(step, "service").agg(F.count_if("is_error").alias("e"), F.count_if(~F.col("is_error")).alias("s"))
-    return g.select("service", as_ntz(F.col("w.end")).alias("t"), "e", "s")
+    more = [F.collect_list(F.when(~F.col("is_error"), F.struct("ts", "event_id", "latency"))).alias("ok")] if latencies else []
+    g = ev.groupBy(step, "service").agg(F.count_if("is_error").alias("e"), F.count_if(~F.col("is_error")).alias("s"), *more)
+    return g.select("service", as_ntz(F.col("w.end")).alias("t"), "e", "s", *["ok"] * latencies)
 
 
-def _advance(steps: DataFrame, counts: DataFrame | None, open_: DataFrame | None):
-    """One micro-batch of evaluation steps after the state (``counts``: service, t, e, s up to its last step; ``open_``:
-    the periods not ended).  Returns the new counts and all periods, those not ended with ``active_until`` = ``_open()``."""
+def _buffered(steps: DataFrame, counts: DataFrame | None, held: DataFrame | None, params: Params):
+    """P95 and P99 of the rolling buffer at the end of each step (service, t, ok), and the rows in the buffer after the last one.
+    ``counts`` has the number of earlier predictions (service, s), ``held`` those still in the buffer (service, rn, ts, latency)."""
+    fresh = steps.select("service", "t", F.inline("ok"))
+    x = exact_row_number(fresh, ["service"], ["ts", "event_id"], F.col("t")).select("service", "t", "rn", "ts", "latency")
+    if counts is not None:
+        x = x.join(counts.select("service", F.col("s").alias("_s")), "service", "left").withColumn("rn", F.col("rn") + F.coalesce("_s", F.lit(0))).drop("_s")
+    rows = x.withColumn("t", F.col("t")) if held is None else x.unionByName(held.withColumn("t", F.lit(None).cast("timestamp_ntz")))
+    rows = rows.persist()
+    values = O.buffer_values(rows.select("service", "rn", "ts", "latency"), params).join(x.select("service", "rn", "t"), ["service", "rn"])
+    last = values.groupBy("service", "t").agg(F.max_by(F.struct("p95_latency", "p99_latency"), "rn").alias("b")).select("service", "t", "b.*")
+    ends = rows.groupBy("service").agg(F.max("rn").alias("_n"))
+    kept = rows.join(ends, "service").filter(F.col("rn") > F.col("_n") - O.buffer_size(F.col("_n"), params)).select("service", "rn", "ts", "latency")
+    return last, kept, rows
+
+
+def _advance(steps: DataFrame, counts: DataFrame | None, open_: DataFrame | None, rules):
+    """One micro-batch of evaluation steps (service, t, e, s, p95_latency, p99_latency) after the state (``counts``: the same columns,
+    up to its last step; ``open_``: the periods not ended).  Returns the new counts and all periods, those not ended with
+    ``active_until`` = ``_open()``."""
     rows = steps if counts is None else steps.unionByName(counts)
     w = Window.partitionBy("service").orderBy("t")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
+    gauges = [F.last(c, ignorenulls=True).over(run).alias(c) for c in ("p95_latency", "p99_latency")]
     g = rows.select("service", "t", F.coalesce(F.lead("t").over(w), _open()).alias("until"),
-                    F.try_divide(F.sum("e").over(run) * 100.0, F.sum("s").over(run)).alias("error_rate"))
-    found = O.periods(O.conditions(g, ["service"], ERROR_RATE_RULES), ["service"])
+                    F.try_divide(F.sum("e").over(run) * 100.0, F.sum("s").over(run)).alias("error_rate"), *gauges)
+    found = O.periods(O.conditions(g, ["service"], rules), ["service"])
     if counts is not None:
         # a period that starts with the state's own row goes on from before
         before = open_.join(counts.select("service", F.col("t").alias("_t")), "service").select(
@@ -115,35 +135,59 @@ def _advance(steps: DataFrame, counts: DataFrame | None, open_: DataFrame | None
         found = found.join(before, ["service", "alert", "active_from"], "left").select(
             "service", "alert", F.coalesce("_from", "active_from").alias("active_from"), "active_until",
             F.when(F.col("_from").isNull(), F.col("value")).otherwise(F.col("_value")).alias("value"), "for_s")
-    return rows.groupBy("service").agg(F.max("t").alias("t"), F.sum("e").alias("e"), F.sum("s").alias("s")), found
+    held = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("t"))).alias(c) for c in ("p95_latency", "p99_latency")]
+    return rows.groupBy("service").agg(F.max("t").alias("t"), F.sum("e").alias("e"), F.sum("s").alias("s"), *held), found
 
 
-def error_rate_alerts(ev: DataFrame, params: Params = DEFAULT, name: str = "alerts") -> DataFrame:
-    """O18 on a stream: the periods of the error-rate alerts, equal to the batch query's over the steps that the
+def _epoch_tables(ev: DataFrame, name: str, base: str | None):
+    """Folder of a stream's tables, and the path of one of them in one epoch: a replayed epoch overwrites its own."""
+    base = base or ensure_checkpoint_dir(ev.sparkSession).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
+    return base, lambda table, epoch: f"{base}/{table}/epoch={epoch}"
+
+
+def _run(steps: DataFrame, sink, base: str) -> int | None:
+    """Run the stream to the end of its source; the last epoch, if there was any."""
+    q = (steps.writeStream.outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", f"{base}/_checkpoint").foreachBatch(sink).start())
+    q.awaitTermination()
+    return q.lastProgress["batchId"] if q.lastProgress else None
+
+
+def stream_alerts(ev: DataFrame, rules, params: Params = DEFAULT, name: str = "alerts", base: str | None = None) -> DataFrame:
+    """O16 + O18 on a stream: the periods of the alerts of ``rules``, equal to the batch query's over the steps that the
     watermark has passed, however the files fall into micro-batches.
 
-    The state (one row of counts per service, its periods not yet ended) and the ended periods are written per epoch,
-    so a replayed epoch overwrites its own output."""
-    spark = ev.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
-    part = lambda table, epoch: f"{base}/{table}/epoch={epoch}"
+    The state is written per epoch: one row of counts per service, its periods not yet ended and, for latency rules, the
+    rows in its buffer (at most ``buffer_trim_above + 1``).  New predictions are numbered on from there and fall into the batch query's own epochs
+    of the buffer, so a busy service is spread over tasks here too.  A stream started again on the same ``base`` folder goes on
+    where it ended."""
+    spark, latencies = ev.sparkSession, any(r[1] != "error_rate" for r in rules)
+    base, part = _epoch_tables(ev, name, base)
 
     def sink(batch: DataFrame, epoch: int):
         s = batch.sparkSession
-        counts = open_ = None
+        counts = open_ = held = buffered = None
         if epoch:
             counts, open_ = (s.read.parquet(part(x, epoch - 1)) for x in ("counts", "open"))
+            held = s.read.parquet(part("held", epoch - 1)) if latencies else None
         steps = batch.persist()
-        counts, found = _advance(steps, counts, open_)
+        if latencies:
+            last, kept, buffered = _buffered(steps, counts, held, params)
+            kept.write.mode("overwrite").parquet(part("held", epoch))
+            rows = steps.drop("ok").join(last, ["service", "t"], "left")
+        else:
+            rows = steps.withColumns({c: F.lit(None).cast("double") for c in ("p95_latency", "p99_latency")})
+        counts, found = _advance(rows, counts, open_, rules)
         counts.write.mode("overwrite").parquet(part("counts", epoch))
         found.filter(F.col("active_until") == _open()).write.mode("overwrite").parquet(part("open", epoch))
         found.filter(F.col("active_until") < _open()).write.mode("overwrite").parquet(part("ended", epoch))
-        steps.unpersist()
+        for x in (steps, buffered):
+            if x is not None:
+                x.unpersist()
 
-    q = (evaluation_counts(ev, params).writeStream.outputMode("append").trigger(availableNow=True)
-         .option("checkpointLocation", f"{base}/_checkpoint").foreachBatch(sink).start())
-    q.awaitTermination()
-    last = q.lastProgress["batchId"]
+    last = _run(evaluation_steps(ev, params, latencies), sink, base)
+    if last is None:
+        return spark.createDataFrame([], "service string, alert string, active_from timestamp_ntz, active_until timestamp_ntz, firing_from timestamp_ntz, value double")
     end = F.timestamp_add("SECOND", F.lit(params.alert_step_seconds),
                           spark.read.parquet(part("counts", last)).select(F.max("t")).scalar())
     still = spark.read.parquet(part("open", last)).withColumn("active_until", end)
@@ -151,6 +195,50 @@ def error_rate_alerts(ev: DataFrame, params: Params = DEFAULT, name: str = "aler
     return O.with_firing(ended.unionByName(still), ["service"], params.alert_step_seconds)
 
 
+def error_rate_alerts(ev: DataFrame, params: Params = DEFAULT, name: str = "alerts") -> DataFrame:
+    """O18 on a stream: the error-rate alerts alone, without a buffer of latencies."""
+    return stream_alerts(ev, ERROR_RATE_RULES, params, name)
+
+
+def source_silence(ev: DataFrame, gap_seconds: int = 60, width: str = "1 minute", name: str = "silence", base: str | None = None) -> DataFrame:
+    """O19 on a stream: the gaps of the batch query over the minutes that the watermark has passed, those still going on included.
+
+    A minute of a service is one row; the state is the last event per service.  A service with nothing new is looked at in every
+    micro-batch all the same, so its silence is reported (table ``silent`` of the epoch) once the others have moved on by the gap."""
+    spark = ev.sparkSession
+    base, part = _epoch_tables(ev, name, base)
+    minutes = ev.groupBy(F.window("ts", width).alias("w"), "service").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    minutes = minutes.select("service", as_ntz(F.col("first")).alias("first"), as_ntz(F.col("last")).alias("last"))
+    seconds = lambda a, b: F.round(F.timestamp_diff("MICROSECOND", a, b) / 1e6, 6)
+
+    def gaps(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy("service").orderBy("first")
+        return rows.select("service", F.col("last").alias("silence_start"), F.lead("first").over(w).alias("silence_end"))
+
+    def going_on(seen: DataFrame) -> DataFrame:
+        end = seen.select(F.max("last").alias("silence_end"))  # one row
+        return (seen.select("service", F.col("last").alias("silence_start")).crossJoin(F.broadcast(end))
+                .withColumn("gap_seconds", seconds(F.col("silence_start"), F.col("silence_end"))).filter(F.col("gap_seconds") > gap_seconds))
+
+    def sink(batch: DataFrame, epoch: int):
+        s = batch.sparkSession
+        rows = batch.persist()
+        if epoch:
+            rows = rows.unionByName(s.read.parquet(part("seen", epoch - 1)))
+        ended = gaps(rows).filter("silence_end IS NOT NULL").withColumn("gap_seconds", seconds(F.col("silence_start"), F.col("silence_end")))
+        ended.filter(F.col("gap_seconds") > gap_seconds).write.mode("overwrite").parquet(part("ended", epoch))
+        seen = rows.groupBy("service").agg(F.max("first").alias("first"), F.max("last").alias("last"))
+        seen.write.mode("overwrite").parquet(part("seen", epoch))
+        going_on(s.read.parquet(part("seen", epoch))).write.mode("overwrite").parquet(part("silent", epoch))
+        batch.unpersist()
+
+    last = _run(minutes, sink, base)
+    if last is None:
+        return spark.createDataFrame([], "service string, silence_start timestamp_ntz, silence_end timestamp_ntz, gap_seconds double, ongoing boolean")
+    ended = spark.read.parquet(f"{base}/ended").drop("epoch").withColumn("ongoing", F.lit(False))
+    return ended.unionByName(spark.read.parquet(part("silent", last)).withColumn("ongoing", F.lit(True)))
+
+
 def run_available(df: DataFrame, mode: str = "append", name: str = "stream") -> DataFrame:
     """Process everything currently in the source (``availableNow``) into a
     Parquet table under the checkpoint folder and return that table."""

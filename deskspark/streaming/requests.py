@@ -13,16 +13,16 @@ from deskspark.session import ensure_checkpoint_dir
 from deskspark.streaming.monitor import run_epochs
 
 
-def score_batch(batch: DataFrame, fitted) -> DataFrame:
-    r = R.route(batch, fitted, with_probabilities=True)
-    ok = r.filter(F.col("status") == 200).withColumn("predicted_class", F.col("language"))
-    return ok.select("conv_id", "turn", "predicted_class", "confidence", "model_used", "pii_detected",
-                     "pii_details", F.to_json("routing_explanation").alias("routing_explanation"), "status")
+def score_batch(batch: DataFrame, fitted, fits, labels: list[str]) -> DataFrame:
+    """Responses of one micro-batch: routed by the language model ``fitted``, answered by the calibrated classifier ``fits``."""
+    return R.answer(R.route(batch, fitted), fits, labels).select(
+        "conv_id", "turn", "predicted_class", "confidence", "model_used", "pii_detected",
+        "pii_details", F.to_json("routing_explanation").alias("routing_explanation"), "status")
 
 
-def serve(requests: DataFrame, fitted, name: str = "responses") -> DataFrame:
+def serve(requests: DataFrame, fitted, fits, labels: list[str], name: str = "responses") -> DataFrame:
     """Run the request stream to completion (``availableNow``); responses
     are written per epoch to a Parquet table that is returned."""
     spark = requests.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
-    return run_epochs(requests.writeStream, lambda batch: score_batch(batch, fitted), base, spark)
+    return run_epochs(requests.writeStream, lambda batch: score_batch(batch, fitted, fits, labels), base, spark)

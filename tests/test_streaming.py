@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from deskspark.config import DEFAULT
 from deskspark.operators import monitor as O
 from deskspark.sources.tables import table
 from deskspark.streaming import monitor as SM
@@ -30,6 +31,40 @@ def test_stream_alerts_do_not_depend_on_the_micro_batches(spark, tmp_path):
     assert any(r["firing_from"] for r in one.collect())
 
 
+def test_latency_alerts_and_silence_for_any_micro_batches_and_after_a_restart(spark, tmp_path):
+    """One file; seven micro-batches; and four files, a stop, then three more: the same periods and gaps as in batch."""
+    ev = table(spark, SF001, "events")
+    end = ev.agg(F.max("ts")).first()[0]
+    cut = F.ntile(7).over(Window.orderBy("ts", "event_id"))
+    numbered = ev.withColumn("k", cut)
+
+    def files(folder, ks):
+        for i in ks:
+            numbered.filter(F.col("k") == i).drop("k").coalesce(1).write.mode("append").parquet(str(tmp_path / folder))
+        return str(tmp_path / folder)
+
+    small = DEFAULT.with_(buffer_trim_above=60, buffer_keep=25)
+    rules = [(n, m, op, {"p95_latency": 0.3, "p99_latency": 0.4}.get(m, thr), s) for n, m, op, thr, s in O.THRESHOLD_ALERTS]
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.select(sorted(df.columns)).collect())
+    m = O.metric_events(ev)
+    late = F.lit(end) - F.expr("INTERVAL 10 MINUTES")
+    passed = m.filter(F.window("ts", "10 seconds").end <= late)
+    gauges = O.service_gauges(passed, O.rolling_buffer(passed, small), small)
+    alerts = rows(O.alert_periods(O.conditions(gauges, ["service"], rules), ["service"], small.alert_step_seconds))
+    gaps = rows(O.source_silence(m.filter(F.window("ts", "1 minute").end <= late)))
+    assert len(alerts) > 3 and len(gaps) > 3
+    seven = files("seven", range(1, 8))
+
+    def stream(path, base=None):
+        ev = SM.metric_stream(SM.file_stream(spark, path, max_files=1))
+        return (rows(SM.stream_alerts(ev, rules, small, base=base and base + "/alerts")), rows(SM.source_silence(ev, base=base and base + "/silence")))
+
+    assert stream(seven) == (alerts, gaps)
+    base = str(tmp_path / "state")
+    stream(files("late", range(1, 5)), base)
+    assert stream(files("late", range(5, 8)), base) == (alerts, gaps)
+
+
 def test_replayed_epoch_leaves_no_duplicates(spark, tmp_path):
     sink = SM.epoch_sink(lambda b: b, str(tmp_path))
     for epoch in (0, 1, 1):
