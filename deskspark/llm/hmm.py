@@ -1,9 +1,10 @@
 """LM scoring with a hidden Markov language model.
 
-The symbols of the model are the ``symbols`` most frequent words, one per word class for all other words (a class is a
-hash of the last two characters) and the end of the text.  A word of a class has probability (c + 1) / (N_b + V_b + 1)
-within it, c being its count, N_b and V_b the class's tokens and distinct words, so the probabilities of all texts add
-up to one, unseen words included.
+The symbols of the model are all words with ``own_count`` training tokens or more, one per word class for all other words (a class is a
+hash of the last two characters) and the end of the text.  So the symbols grow with the corpus, up to ``symbols`` of them: the
+emissions, one number per symbol and state, go to the tasks whole.  A word of a class has probability (c + 1) / (N_b + V_b + 1)
+within it, c being its count, N_b and V_b the class's tokens and distinct words.  The probabilities of the words seen in training
+and of one unseen word per class add up to one; every unseen word of a class has that same share, as in the base score.
 
 1. Words are counted over all training texts (partial counts in the tasks, one shuffle by word).
 2. Texts are written once as symbol sequences.  Counts of frequent words come from a broadcast table of at most ``known``
@@ -56,27 +57,32 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(_count_rows, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _cut(counts: DataFrame, most: int) -> int:
-    """Least count that at most ``most`` words reach (from a histogram of logarithms, of bounded size)."""
-    step = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
-    rows = counts.filter("word <> ''").groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c")).toPandas()
-    total, cut = 0, 1 << 62
-    for row in rows.sort_values("s", ascending=False).itertuples():
-        total += row.n
-        if total > most:
-            break
-        cut = row.c
-    return int(cut)
+def _cut(counts: DataFrame, most: int):
+    """Condition for at most ``most`` words, the most frequent ones: whole counts as far as they go, and of the words with the last
+    count those with a small hash.  Histograms of logarithms, of the counts in one step and of hashes in turn, each of bounded size."""
+    c, h = F.col("c"), F.floor(F.crc32("word") / (1 << 20)).cast("int")
+    step = F.floor(F.log2(c.cast("double")) * 64).cast("int")
+    words, left, where, tied = counts.filter("word <> ''"), most, F.lit(False), F.lit(True)
+    for key, rising in ((step, False), (c, False), (h, True)):
+        rows = words.groupBy(key.alias("s")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("s", ascending=rising)
+        over = rows[rows["n"].cumsum() > left]
+        if over.empty:
+            return where | tied
+        cut = int(over.iloc[0]["s"])
+        first = key < cut if rising else key > cut
+        left -= int(rows["n"][rows["s"] < cut if rising else rows["s"] > cut].sum())
+        where, tied, words = where | (tied & first), tied & (key == cut), words.filter(key == cut)
+    return where
 
 
 class Lexicon:
-    """Frequent words by hash with their counts; those with a count of ``own`` or more are symbols of their own."""
+    """Frequent words by hash with their counts; those marked ``own`` are symbols of their own."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, own: int, end_count: int, class_tokens, class_words):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, own: np.ndarray, end_count: int, class_tokens, class_words):
         order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order]
-        self.symbol = np.where(self.counts >= own, np.cumsum(self.counts >= own) - 1, -1)
-        self.n_own = int((self.counts >= own).sum())
+        self.hashes, self.counts, own = hashes[order], counts[order], own[order]
+        self.symbol = np.where(own, np.cumsum(own) - 1, -1)
+        self.n_own = int(own.sum())
         self.end, self.end_count = self.n_own + CLASSES, end_count
         self.n_symbols = self.end + 1
         self.class_log = np.log10(np.asarray(class_tokens, float) + np.asarray(class_words, float) + 1)
@@ -105,20 +111,23 @@ def _hash_rows(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([
             pa.array(np.array([xxhash.xxh64_intdigest(w) for w in raw_texts(batch, "word")], np.uint64).view(np.int64)),
-            batch.column(batch.schema.get_field_index("c"))], names=["h", "c"])
+            *[batch.column(batch.schema.get_field_index(c)) for c in ("c", "own")]], names=["h", "c", "own"])
 
 
-def lexicon(counts: DataFrame, symbols: int, known: int) -> tuple[Lexicon, int, int, int]:
-    """The lexicon, the least count in its table, N and V."""
-    own, least = _cut(counts, symbols), _cut(counts, known)
-    table = counts.filter(f"word <> '' AND c >= {least}").mapInArrow(_hash_rows, "h long, c long").toPandas()
+def lexicon(counts: DataFrame, symbols: int, own_count: int, known: int):
+    """The lexicon, the condition for a word to be in its table, N and V."""
+    if symbols + CLASSES + 1 > 1 << 16 or symbols > known:
+        raise ValueError(f"{symbols} symbols: they must fit 16 bits and the table of {known} known words")
+    own, inside = _cut(counts, symbols) & (F.col("c") >= own_count), _cut(counts, known)
+    table = (counts.filter((F.col("word") != "") & inside).select("word", "c", own.alias("own"))
+             .mapInArrow(_hash_rows, "h long, c long, own boolean").toPandas())
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.expr("IF(word = '', c, 0)")).alias("e")).first()
-    rest = (counts.filter(f"word <> '' AND c < {own}").groupBy((F.crc32(F.expr("right(word, 2)")) % CLASSES).alias("k"))
+    rest = (counts.filter((F.col("word") != "") & ~own).groupBy((F.crc32(F.expr("right(word, 2)")) % CLASSES).alias("k"))
             .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toPandas())
     tokens, words = np.zeros(CLASSES), np.zeros(CLASSES)
     tokens[rest["k"].to_numpy(int)], words[rest["k"].to_numpy(int)] = rest["n"], rest["v"]
-    lex = Lexicon(table["h"].to_numpy(np.int64).view(np.uint64), table["c"].to_numpy(np.int64), own, total["e"] or 0, tokens, words)
-    return lex, least, total["n"] or 0, total["v"]
+    lex = Lexicon(table["h"].to_numpy(np.int64).view(np.uint64), table["c"].to_numpy(np.int64), table["own"].to_numpy(bool), total["e"] or 0, tokens, words)
+    return lex, inside, total["n"] or 0, total["v"]
 
 
 def _encode(lex):
@@ -248,8 +257,9 @@ def baum_welch(symbols: DataFrame, unigram: np.ndarray, states: int, rounds: int
 
 
 def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
-    """Exact log10 probability of each whole sequence; texts of like length run together."""
-    out, order = np.zeros(len(sequences)), sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
+    """Exact log10 probability of each whole sequence; texts of like length run together.  Only the last forward variables and the
+    running logarithms are kept, so a text costs its symbols and no more, however long it is."""
+    out, order, emit = np.zeros(len(sequences)), sorted(range(len(sequences)), key=lambda i: -len(sequences[i])), np.ascontiguousarray(model.emit.T)
     begin = 0
     while begin < len(order):
         end, tokens = begin, 0
@@ -258,9 +268,13 @@ def log10_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
             end += 1
         group = order[begin:end]
         flat, alive, offset = _by_time([sequences[i] for i in group])
-        _, scale = forward(model, model.emit.T[flat], alive, offset, np.zeros(len(group), int))
-        who = np.concatenate([np.arange(n) for n in alive.tolist()])
-        out[group] = np.bincount(who, np.log10(scale), len(group))
+        logs, before = np.zeros(len(group)), None
+        for t, n in enumerate(alive.tolist()):
+            before = (np.repeat(model.start[:1], n, 0) if t == 0 else before[:n] @ model.move) * emit[flat[offset[t]:offset[t + 1]]]
+            total = before.sum(1)
+            before /= total[:, None]
+            logs[:n] += np.log10(total)
+        out[group] = logs
         begin = end
     return out
 
@@ -281,7 +295,7 @@ def _score(model, lex):
 
 
 def hmm_scores(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text", states: int = 8, rounds: int = 5,
-               symbols: int = 8192, known: int = 1 << 18, seed: int = 7) -> DataFrame:
+               symbols: int = 60_000, own_count: int = 32, known: int = 1 << 18, seed: int = 7) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score and score, learned from the
     rows where ``held_out`` is false.
 
@@ -291,7 +305,7 @@ def hmm_scores(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text"
     require(docs, id, text)
     narrow = docs.select(F.col(id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
     counts = materialize(word_counts(narrow.filter("NOT held_out")))
-    lex, least, n, v = lexicon(counts, symbols, known)
+    lex, inside, n, v = lexicon(counts, symbols, own_count, known)
     spark = docs.sparkSession
     known_words = shared(spark, lex)
     kind = dict(narrow.dtypes)["doc_id"]
@@ -303,7 +317,7 @@ def hmm_scores(docs: DataFrame, held_out, id: str = "doc_id", text: str = "text"
         _score(model, known_words), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, class_logs double, row long, hmm double")
     # counts of the words that are not in the table
     rare = encoded.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
-    seen = rare.join(counts.filter(f"c < {least}"), "word").groupBy("row").agg(
+    seen = rare.join(counts.filter(~inside), "word").groupBy("row").agg(
         F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("more_logs"))
     out = scored.join(seen, "row", "left")
     extra, more = F.coalesce("more_logs", F.lit(0.0)), F.coalesce("more", F.lit(0))

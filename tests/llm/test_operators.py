@@ -185,6 +185,62 @@ def test_hmm_is_a_distribution(spark):
     assert math.isclose(got[5].base_score, math.log10(1 / (12 + 3 + 1)) + math.log10(6 / 16), rel_tol=1e-9)
 
 
+def test_hmm_base_scores_and_counts(spark):
+    """Base score, n_known and train_tokens of every document by the definition, whatever part of the words is in the table."""
+    import random
+
+    rng = random.Random(9)
+    words_ = [f"w{i}" for i in range(60)] + ["É", "Zz", "x.y"]
+    rows = [(i, " ".join(rng.choices(words_, weights=[60 - i for i in range(60)] + [5, 5, 5], k=rng.randint(0, 30))) + rng.choice(["", "\n", " new" + str(i)]), "en", "s") for i in range(80)]
+    rows += [(80, None, "en", "s"), (81, "", "en", "s"), (3, rows[3][1], "en", "s")]
+    low = lambda t: ["".join(c.lower() if c.isascii() else c for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] + [""]
+    count = collections.Counter(w for i, t, _, _ in rows if i % 7 != 2 for w in low(t))
+    n, v = sum(count.values()), len(count)
+    want = sorted((i, len(low(t)), sum(w in count for w in low(t)), n, round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in low(t)), 7)) for i, t, _, _ in rows)
+    for options in ({}, {"symbols": 10, "own_count": 3, "known": 20}, {"symbols": 0, "known": 0}):
+        got = hmm.hmm_scores(frame(spark, rows), F.col("doc_id") % 7 == 2, states=2, rounds=1, **options).collect()
+        assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 7)) for r in got) == want
+        assert all(math.isfinite(r.score) for r in got)
+
+
+def test_hmm_cut_of_equal_counts(spark):
+    counts = spark.createDataFrame([(f"w{i}", 5) for i in range(2000)] + [(f"v{i}", 9) for i in range(100)] + [("", 50)], "word string, c long")
+    for most in (0, 50, 100, 700, 2100, 5000):
+        kept = [r.word for r in counts.filter((F.col("word") != "") & hmm._cut(counts, most)).collect()]
+        assert most - 10 <= len(kept) <= most or len(kept) == 2100 <= most
+        assert most < 100 or sum(w[0] == "v" for w in kept) == 100
+
+
+def test_baum_welch_round_by_enumeration(spark):
+    """One round equals the expected counts over all state paths."""
+    import itertools
+
+    import numpy as np
+
+    sequences, unigram = [[0, 2, 1], [1, 1, 0, 2], [2]], np.array([2.0, 3.0, 3.0])
+    first = hmm.Model.first(unigram, 2, 7)
+    start, move, emit = np.zeros((2, 2)), np.zeros((2, 2)), np.zeros((2, 3))
+    for s in sequences:
+        weights = {}
+        for path in itertools.product(range(2), repeat=len(s)):
+            p = first.start[0][path[0]] * first.emit[path[0]][s[0]]
+            for a, b, x in zip(path, path[1:], s[1:], strict=False):
+                p *= first.move[a][b] * first.emit[b][x]
+            weights[path] = p
+        whole = sum(weights.values())
+        for path, p in weights.items():
+            start[0][path[0]] += p / whole
+            for a, b in zip(path, path[1:], strict=False):
+                move[a][b] += p / whole
+            for a, x in zip(path, s, strict=True):
+                emit[a][x] += p / whole
+    rows = spark.createDataFrame([(np.array(s, np.uint16).tobytes(),) for s in sequences], "symbols binary")
+    got = hmm.baum_welch(rows, unigram, 2, 1, 7)
+    for found, sums in ((got.start, start), (got.move, move), (got.emit, emit)):
+        want = (sums + 0.01) / (sums + 0.01).sum(1, keepdims=True)
+        assert np.allclose(found, want, atol=1e-9)
+
+
 def test_forward_matches_enumeration():
     import itertools
 
