@@ -55,13 +55,15 @@ def fit(train: DataFrame, text: str = "document", label: str = "topic_group", al
     n_docs = sum(r["n_docs"] for r in meta)
     labels = [(r[label], math.log(r["n_docs"] / n_docs), math.log((r["t"] or 0) + alpha * vocab)) for r in meta]
     index = {name: i for i, (name, _, _) in enumerate(labels)}
-    rows = counts.collect()  # at most 60**3 x labels rows
+    rows = counts.toArrow()  # columns, at most 60**3 x labels rows: bounded by the check above
     counts.unpersist()
-    grams = sorted({r["gram"] for r in rows})
-    place = {g: i for i, g in enumerate(grams)}
+    gram, own = (rows[c].combine_chunks().dictionary_encode() for c in ("gram", label))
+    grams = sorted(gram.dictionary.to_pylist())
+    rank = {g: i for i, g in enumerate(grams)}
+    place = np.array([rank[g] for g in gram.dictionary.to_pylist()], int)[gram.indices.to_numpy()]
+    column = np.array([index[x] for x in own.dictionary.to_pylist()], int)[own.indices.to_numpy()]
     weights = np.full((len(grams), len(labels)), math.log(alpha))
-    for r in rows:
-        weights[place[r["gram"]], index[r[label]]] = math.log(r["c"] + alpha)
+    weights[place, column] = np.log(rows["c"].to_numpy() + alpha)
     weights -= np.array([d for _, _, d in labels])
     return Fitted(grams, weights, [n for n, _, _ in labels], np.array([p for _, p, _ in labels]))
 

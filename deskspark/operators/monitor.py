@@ -25,6 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # ---------------------------------------------------------------------------
 CONFIDENCE_BUCKETS = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99, 1.0)
 LATENCY_BUCKETS = (0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0)
+DURATION_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
 SERVICES = ("tfidf", "transformer", "agent")
 SLA_SECONDS = (("tfidf", 0.1), ("transformer", 0.5), ("agent", 0.15))
 SLA_WARN_FACTOR = 1.5
@@ -58,6 +59,14 @@ def request_counter(ev: DataFrame, endpoint: str = "/predict") -> DataFrame:
     return ev.groupBy("service", F.lit(endpoint).alias("endpoint"), "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def labelled_requests(ev: DataFrame, endpoint: str = "/predict", method: str = "POST") -> DataFrame:
+    """O1 with the labels of each service: the method for the predicting services, the chosen model for the agent."""
+    agent = F.col("service") == "agent"
+    model = F.when(agent, F.when(F.col("event_id") % 2 == 0, F.lit("tfidf")).otherwise(F.lit("distilbert")))
+    return ev.groupBy("service", F.lit(endpoint).alias("endpoint"), F.when(~agent, F.lit(method)).alias("method"), model.alias("model_used"),
+                      "status").agg(F.count(F.lit(1)).alias("n"))
+
+
 def predictions_by_class(ev: DataFrame) -> DataFrame:
     """O2: successful predictions by class and service."""
     return ev.filter(~F.col("is_error")).groupBy("service", "class_name").agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskspark.functions.text import words
-from deskspark.operators.common import exact_percentiles
+from deskspark.operators.common import exact_percentiles, materialize
 
 FEATURES = ("word_count", "char_count", "avg_word_length", "unique_ratio")
 
@@ -116,9 +116,9 @@ def samples_per_category(df: DataFrame, n_categories: int = 3, per: int = 2, wid
 
 def length_histogram(df: DataFrame, bins: int = 50, text: str = "document") -> DataFrame:
     """Equal-width histogram of characters and words (last bin closed)."""
-    long = df.select(F.inline(F.array(
-        F.struct(F.lit("chars").alias("feature"), raw_length(F.col(text)).cast("double").alias("v")),
-        F.struct(F.lit("words").alias("feature"), F.size(words(F.col(text))).cast("double").alias("v")))))
+    # the texts are read and split once: range and bins come from the written lengths
+    sizes = materialize(df.select(raw_length(F.col(text)).cast("double").alias("chars"), F.size(words(F.col(text))).cast("double").alias("words")))
+    long = sizes.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("v")) for c in ("chars", "words")])))
     rng = long.groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     idx = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(

@@ -17,7 +17,7 @@ from deskspark.config import DEFAULT, Params
 from deskspark.functions import stopwords
 from deskspark.functions.text import transliterate
 from deskspark.operators import linear
-from deskspark.operators.common import bind
+from deskspark.operators.common import bind, materialize
 
 TOKEN = r"(?U)\b\w\w+\b"
 
@@ -85,18 +85,23 @@ def vocabulary(stats: DataFrame, n_docs: Column | int, min_df: int = DEFAULT.min
     return keep.withColumn("idf", F.log((F.lit(1) + n) / (F.lit(1) + F.col("df"))) + 1)
 
 
+def analyzed(docs: DataFrame, params: Params = DEFAULT, text: str = "document_clean", stop_words: bool = True, keys=("doc_id",)) -> DataFrame:
+    """T1 + T2 written once: ``keys`` and ``terms``, for a fit and a transform of the same rows."""
+    return materialize(analyze(docs, text, stop_words, params.ngram_min, params.ngram_max).select(*keys, "terms"))
+
+
 def fit(docs: DataFrame, params: Params = DEFAULT, text: str = "document_clean", stop_words: bool = True) -> DataFrame:
-    """The vocabulary of a corpus."""
-    a = analyze(docs, text, stop_words, params.ngram_min, params.ngram_max)
+    """The vocabulary of a corpus; rows that have ``terms`` already are not analysed again."""
+    a = docs if "terms" in docs.columns else analyze(docs, text, stop_words, params.ngram_min, params.ngram_max)
     return vocabulary(term_stats(a), docs.count(), params.min_df, params.max_df, params.max_features)
 
 
 def transform(docs: DataFrame, vocab: DataFrame, params: Params = DEFAULT, text: str = "document_clean",
               stop_words: bool = True, keys=("doc_id",)) -> DataFrame:
     """T4: ``keys + (term, tf, tfidf)``, tf * idf scaled to unit L2 norm per document.  Works row by row: repeated
-    keys stay apart."""
+    keys stay apart.  Rows that have ``terms`` already are not analysed again."""
     rows = vocab.select("term", "idf").orderBy("term").collect()  # at most max_features rows
-    a = analyze(docs, text, stop_words, params.ngram_min, params.ngram_max)
+    a = docs if "terms" in docs.columns else analyze(docs, text, stop_words, params.ngram_min, params.ngram_max)
     w = linear.tfidf_column(F.col("terms"), [r["term"] for r in rows], [r["idf"] for r in rows])
     return a.select(*keys, w.alias("_w")).select(*keys, F.inline("_w"))
 
@@ -106,7 +111,8 @@ def top_terms_per_class(docs: DataFrame, params: Params = DEFAULT, k: int = DEFA
     """Per class, the ``k`` terms with the largest mean TF-IDF over all
     the class's documents (vectoriser without a stop list).  The
     ``row_number() <= k`` filter is planned as a window group-limit."""
-    w = transform(docs, fit(docs, params, text, False), params, text, False, (label,))
+    docs = analyzed(docs, params, text, False, (label,))
+    w = transform(docs, fit(docs, params), params, keys=(label,))
     n_class = docs.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     sums = w.groupBy(label, "term").agg(F.sum("tfidf").alias("_s"))
     score = sums.join(n_class, label).withColumn("score", F.col("_s") / F.col("_n"))

@@ -38,12 +38,12 @@ def predictions_by_class(spark, sf_dir):
     return O.predictions_by_class(ev(spark, sf_dir))
 
 
-def _hist_sql(value: str, bounds, where: str) -> str:
-    rows = [f"SELECT service, '{b}' AS le, CAST(count(*) FILTER (WHERE {value} <= {b}) AS BIGINT) AS n, "
-            f"round(sum({value}), 6) AS obs_sum, CAST(count({value}) AS BIGINT) AS obs_count FROM ev {where} GROUP BY service"
+def _hist_sql(value: str, bounds, where: str, by: str = "service") -> str:
+    rows = [f"SELECT {by}, '{b}' AS le, CAST(count(*) FILTER (WHERE {value} <= {b}) AS BIGINT) AS n, "
+            f"round(sum({value}), 6) AS obs_sum, CAST(count({value}) AS BIGINT) AS obs_count FROM ev {where} GROUP BY {by}"
             for b in bounds]
-    rows.append(f"SELECT service, '+Inf', CAST(count({value}) AS BIGINT), round(sum({value}), 6), "
-                f"CAST(count({value}) AS BIGINT) FROM ev {where} GROUP BY service")
+    rows.append(f"SELECT {by}, '+Inf', CAST(count({value}) AS BIGINT), round(sum({value}), 6), "
+                f"CAST(count({value}) AS BIGINT) FROM ev {where} GROUP BY {by}")
     return " UNION ALL ".join(rows)
 
 
@@ -63,6 +63,41 @@ def latency_histogram(spark, sf_dir):
     return O.cumulative_histogram(ev(spark, sf_dir).filter(~F.col("is_error")), "latency", O.LATENCY_BUCKETS)
 
 
+@register("request_counter_labels", f"""
+WITH {EV}
+SELECT service, '/predict' AS endpoint, CASE WHEN service <> 'agent' THEN 'POST' END AS method,
+       CASE WHEN service = 'agent' THEN CASE WHEN event_id % 2 = 0 THEN 'tfidf' ELSE 'distilbert' END END AS model_used,
+       status, CAST(count(*) AS BIGINT) AS n FROM ev GROUP BY ALL""")
+def request_counter_labels(spark, sf_dir):
+    """O1 by method and model.  The agent's even requests stand for the ones it sends to the tfidf service."""
+    return O.labelled_requests(ev(spark, sf_dir))
+
+
+@register("request_duration_histogram", f"WITH {EV} {_hist_sql('latency', O.DURATION_BUCKETS, '')}")
+def request_duration_histogram(spark, sf_dir):
+    """Duration of all requests per service, in the default buckets."""
+    return O.cumulative_histogram(ev(spark, sf_dir), "latency", O.DURATION_BUCKETS)
+
+
+@register("request_duration_p95_5m", f"""
+WITH {EV.replace("ev AS (SELECT", "ev AS (SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start,")},
+h AS ({_hist_sql('latency', O.DURATION_BUCKETS, '', 'window_start, service')}),
+hb AS (SELECT window_start, service, n, CASE WHEN le = '+Inf' THEN 'inf'::DOUBLE ELSE CAST(le AS DOUBLE) END AS ub FROM h),
+hl AS (SELECT *, coalesce(lag(ub) OVER (PARTITION BY window_start, service ORDER BY ub), 0.0) AS lb,
+              coalesce(lag(n) OVER (PARTITION BY window_start, service ORDER BY ub), 0) AS prev,
+              max(n) OVER (PARTITION BY window_start, service) AS total FROM hb),
+hit AS (SELECT *, 0.95 * total AS rk FROM hl WHERE n >= 0.95 * total AND total > 0
+        QUALIFY row_number() OVER (PARTITION BY window_start, service ORDER BY ub) = 1)
+SELECT window_start, service, round(CASE WHEN ub = 'inf'::DOUBLE THEN lb
+                           ELSE lb + (ub - lb) * (CASE WHEN n - prev <> 0 THEN (rk - prev) / (n - prev) END) END, 6) AS q95
+FROM hit""")
+def request_duration_p95_5m(spark, sf_dir):
+    """O14 on the dashboard's own rate: the 0.95 quantile of each 5 minutes' buckets."""
+    e = ev(spark, sf_dir).withColumn("window_start", F.window("ts", DEFAULT.rate_window).start)
+    by = ("window_start", "service")
+    return O.histogram_quantile(O.cumulative_histogram(e, "latency", O.DURATION_BUCKETS, by=by), by=by)
+
+
 @register("pii_by_type", f"""
 WITH {pii_scrub_ctes("documents", "doc_id")},
 ty AS (SELECT unnest(list_transform(details, lambda s: lower(regexp_extract(s, '\\[(\\w+)\\]:', 1)))) AS pii_type

@@ -80,7 +80,7 @@ WITH {PREP}, {SPLIT}, {tfidf_sql_ctes()}
 SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM tw""")
 def tfidf_weights(spark, sf_dir):
     """T4: unit-normalised TF-IDF of every (training document, term)."""
-    docs = train_docs(spark, sf_dir)
+    docs = T.analyzed(train_docs(spark, sf_dir))
     w = T.transform(docs, T.fit(docs))
     return w.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
