@@ -438,6 +438,35 @@ def test_classifier_rejects_marked_documents(spark):
     assert len(out) == 400 and wrong <= 4
 
 
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Every stage on nulls, repeats, long texts, empty tables and names that clash with those it adds."""
+    import corpus_pipeline
+
+    labels = [(i, int(i % 3 > 0), 0) for i in range(100, 160)] + [(None, 0, 0), (5, None, 1)]
+    rows = ODD + [(i, words(60, i) + (" junk $$$ $$$ ###" if i % 3 == 0 else ""), "en", "ab"[i % 2]) for i in range(100, 160)] + [(200, words(30, 77) + " " + words(12), "en", "a")]
+    spark.createDataFrame(labels, LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([("i", words(12)), (None, None)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = frame(spark, rows)
+    for name in ("bad", "copies", "target", "taken", "source_size", "p_bad", "held", "values", "h", "d", "at", "part"):
+        docs = docs.withColumn(name, F.lit("own"))
+    want = {"quality": lambda n: n < len(rows), "near_duplicates": lambda n: n < len(rows), "decontamination": lambda n: n < len(rows),
+            "secrets": lambda n: n == len(rows), "mixture": lambda n: 0 < n <= len(rows)}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns[:len(docs.columns)] == docs.columns and len({*out.columns}) == len(out.columns), name
+        got = out.collect()
+        assert want[name](len(got)), name
+        assert all(r.copies == "own" and r.bad == "own" and r.size == 1 for r in got), name
+        ids = [r.doc_id for r in got]
+        if name == "decontamination":
+            assert 200 not in ids and 7 in ids and None in ids
+        if name == "near_duplicates":
+            assert ids.count(5) == 1 and 1 in ids and 2 in ids
+        if name == "quality":
+            assert not {i for i in ids if i and 100 <= i < 160 and i % 3 == 0} and len({i for i in ids if i and 100 <= i < 160}) == 40
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
