@@ -8,6 +8,7 @@ from deskspark.plans import register
 from deskspark.plans.monitor_q import AT, EV, GAUGES, STEP, alerts_sql
 from deskspark.plans.request_q import fitted_langid
 from deskspark.plans.svm_q import served
+from deskspark.sources.tables import table
 from deskspark.streaming import monitor as SM
 from deskspark.streaming import requests as SR
 
@@ -52,6 +53,18 @@ def stream_latency_quantiles(spark, sf_dir):
     return SM.run_available(SM.latency_quantiles(_events(spark, sf_dir)), mode="complete", name="quantiles")
 
 
+@register("stream_latency_ranks", f"""
+WITH {EV}
+SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, service, CAST(count(*) AS BIGINT) AS n, true AS p95_within, true AS p99_within
+FROM ev WHERE NOT is_error GROUP BY ALL""")
+def stream_latency_ranks(spark, sf_dir):
+    """O8 by a streaming job with a quantile sketch as state: whether the true rank of each reported quantile is within the stated error."""
+    found = SM.run_available(SM.latency_sketches(_events(spark, sf_dir), "1 day"), mode="complete", name="sketches")
+    errors = SM.rank_errors(found, SM.O.metric_events(table(spark, sf_dir, "events")), "1 day")
+    within = [(F.col(f"{p}_error") <= SM.RANK_ERROR).alias(f"{p}_within") for p in ("p95", "p99")]
+    return errors.select("window_start", "service", "n", *within)
+
+
 @register("stream_error_rate_alerts", f"""
 WITH {EV},
 per AS (SELECT service, {AT} AS t, count(*) FILTER (WHERE is_error) AS e, count(*) FILTER (WHERE NOT is_error) AS s

@@ -65,6 +65,17 @@ def test_latency_alerts_and_silence_for_any_micro_batches_and_after_a_restart(sp
     assert stream(files("late", range(5, 8)), base) == (alerts, gaps)
 
 
+def test_sketch_quantiles_of_one_large_group(spark):
+    """30,000 rows in one window: the sketch is approximate there and its ranks stay within the stated error."""
+    rows = spark.range(30_000).select(F.lit(False).alias("is_error"), F.lit("a").alias("service"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:01'").alias("ts"),
+                                      (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7).alias("latency"))
+    found = SM.latency_sketches(rows.withColumn("ts", SM.as_instant(F.col("ts"))))
+    r = SM.rank_errors(found, rows).first()
+    assert r["n"] == 30_000 and r["p95_error"] <= SM.RANK_ERROR and r["p99_error"] <= SM.RANK_ERROR
+    wrong = found.withColumn("p95_latency", F.col("p99_latency"))
+    assert SM.rank_errors(wrong, rows).first()["p95_error"] > SM.RANK_ERROR
+
+
 def test_replayed_epoch_leaves_no_duplicates(spark, tmp_path):
     sink = SM.epoch_sink(lambda b: b, str(tmp_path))
     for epoch in (0, 1, 1):
