@@ -109,21 +109,27 @@ def exact_row_number(df: DataFrame, by: list[str], order: list[str], bucket: Col
     return y.withColumn(out, (F.row_number().over(w2) + F.col("_off")).cast("long")).drop("_b", "_off")
 
 
+#: Parts of a rank's bracket that are ranked apart.
+PARTS = 1024
+
+
 def exact_percentiles(df: DataFrame, by: list[str], value: str, qs: list[float], accuracy: int = 10000) -> DataFrame:
     """Exact linear-interpolated percentiles ``_q0, _q1, ...`` of ``value`` per group, nulls left out, without a buffer
     that grows with the number of distinct values.
 
     ``percentile_approx`` (a bounded sketch) brackets each rank within ``2 / accuracy``; the rows below a bracket are
-    counted, and only the distinct values inside it are ranked.  The next value on either side covers a rank that
+    counted, and only the distinct values inside it are ranked, in ``PARTS`` parts of equal width each by itself and shifted by the
+    counts of the parts before.  So no task ranks the bracket of a large group.  The next value on either side covers a rank that
     falls just outside, as in small groups."""
     x = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
     eps = 2 / accuracy
     ends = [e for q in qs for e in (max(q - eps, 0.0), min(q + eps, 1.0))]
     keys = [f"_k{j}" for j in range(len(by))]
 
-    def joined(left, right):
-        right = right.withColumnsRenamed(dict(zip(by, keys)))
-        return left.join(right, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys)]).drop(*keys)
+    def joined(left, right, *more):
+        right = right.withColumnsRenamed(dict(zip(by, keys)) | {c: f"_r{c}" for c in more})
+        same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(by, keys)] + [F.col(c) == F.col(f"_r{c}") for c in more]
+        return left.join(right, same).drop(*keys, *[f"_r{c}" for c in more])
 
     y = joined(x, x.groupBy(*by).agg(F.percentile_approx("_v", ends, accuracy).alias("_e")))
     v, each = F.col("_v"), range(len(qs))
@@ -131,11 +137,16 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, qs: list[float],
     around = F.array(*[F.struct(F.count_if(v < lo[i]).alias("below"), F.max(F.when(v < lo[i], v)).alias("prev"),
                                 F.min(F.when(v > hi[i], v)).alias("next"), F.lit(qs[i]).alias("q")) for i in each])
     totals = y.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), around.alias("_around"))
-    within = F.filter(F.array(*[F.when(v.between(lo[i], hi[i]), F.lit(i)) for i in each]), lambda i: i.isNotNull())
-    inside = y.select(*by, "_v", F.explode(within).alias("_i")).groupBy(*by, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*by, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    part = [F.when(hi[i] > lo[i], F.floor((v - lo[i]) / (hi[i] - lo[i]) * PARTS)).otherwise(0).cast("int") for i in each]
+    within = F.filter(F.array(*[F.when(v.between(lo[i], hi[i]), F.struct(F.lit(i).alias("_i"), part[i].alias("_b"))) for i in each]),
+                      lambda x: x.isNotNull())
+    inside = y.select(*by, "_v", F.inline(within)).groupBy(*by, "_i", "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    parts = inside.groupBy(*by, "_i", "_b").agg(F.sum("_c").alias("_n_part"))
+    before = F.sum("_n_part").over(Window.partitionBy(*by, "_i").orderBy("_b")) - F.col("_n_part")
+    inside = joined(inside, parts.select(*by, "_i", "_b", before.alias("_before")), "_i", "_b")
+    w = Window.partitionBy(*by, "_i", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     a = F.col("_a")
-    z = (joined(inside.withColumn("_upto", F.sum("_c").over(w)), totals).withColumn("_a", F.element_at("_around", F.col("_i") + 1))
+    z = (joined(inside.withColumn("_upto", F.col("_before") + F.sum("_c").over(w)), totals).withColumn("_a", F.element_at("_around", F.col("_i") + 1))
          .withColumn("_pos", a["q"] * (F.col("_n") - 1)))
 
     def at(rank):
