@@ -11,6 +11,7 @@ from deskspark.plans import register
 from deskspark.plans.prepare_q import PREP, SPLIT, prepared_split
 from deskspark.plans.request_q import TRAIN_SRC, fitted_langid
 from deskspark.plans.sqlparts import nb_ctes
+from deskspark.sources.tables import version
 
 #: Confusion cells ``cf`` and per-class measures ``pcf`` of test predictions ``te``(doc_id, y, p).
 CLASS_CTES = """
@@ -37,7 +38,7 @@ _SCORED: dict = {}
 
 def predictions(spark, sf_dir, text="document"):
     """``(doc_id, split, y, p)`` for every prepared ticket, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), text)
+    key = (version(spark, sf_dir), text)
     if key in _SCORED:
         return _SCORED[key]
     sp = prepared_split(spark, sf_dir, reuse=True)

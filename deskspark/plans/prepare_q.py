@@ -14,7 +14,7 @@ from deskspark.plans import register
 from deskspark.plans.sqlparts import md5_key, prepared_ctes, split_ctes
 from deskspark.functions.text import clean_text_sql
 from deskspark.session import ensure_checkpoint_dir
-from deskspark.sources.tables import read_ticket_csv, table, tickets
+from deskspark.sources.tables import read_ticket_csv, table, tickets, version
 
 PREP = prepared_ctes()
 SPLIT = split_ctes()
@@ -28,7 +28,7 @@ def prepared(spark, sf_dir, params=DEFAULT, topic="lang"):
     preparation stage: it is written once per session and data folder and
     later queries scan the written copy (like the processed files that the
     training and analysis stages read)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params, topic)
+    key = (version(spark, sf_dir), params, topic)
     if key not in _WRITTEN:
         _WRITTEN[key] = P.prepared_tickets(tickets(spark, sf_dir, topic), params, write=True)
     return _WRITTEN[key]
@@ -40,7 +40,7 @@ def prepared_split(spark, sf_dir, params=DEFAULT, reuse=False, topic="lang"):
     sp = P.split(prepared(spark, sf_dir, params, topic), params)
     if not reuse:
         return sp
-    key = ("split", spark.sparkContext.applicationId, sf_dir.rstrip("/"), params, topic)
+    key = ("split", version(spark, sf_dir), params, topic)
     if key not in _WRITTEN:
         _WRITTEN[key] = materialize(sp)
     return _WRITTEN[key]

@@ -11,7 +11,7 @@ from deskspark.operators import routing as R
 from deskspark.plans import register
 from deskspark.plans.prepare_q import PREP, SPLIT, prepared_split
 from deskspark.plans.sqlparts import nb_ctes, pii_scrub_ctes, words_sql
-from deskspark.sources.tables import table
+from deskspark.sources.tables import table, version
 
 DOC_PII = pii_scrub_ctes("documents", "doc_id")
 
@@ -63,7 +63,7 @@ def fitted_langid(spark, sf_dir):
     """G5 model, trained on the training split of the prepared tickets;
     fitted once per session and data folder and shared by the queries
     that score with it (as one loaded model serves every request)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = version(spark, sf_dir)
     if key not in _FITTED:
         train = prepared_split(spark, sf_dir, reuse=True).filter(F.col("split") == "train")
         _FITTED[key] = langid.fit(train, text="document", label="topic_group")

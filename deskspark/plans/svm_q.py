@@ -1,7 +1,7 @@
 """The trained classifier checked and evaluated: M1-M3 through V1-V7 and G10.
 
 The oracle solves the training problems on its own: the squared hinge by gradient steps of the shorter Barzilai-Borwein length
-until the gradient is below 1e-7, the sigmoids by Newton steps.  Half the squared norm makes the problems strongly convex, so
+until the gradient is below 1e-7, the sigmoids by Newton steps of a bounded length.  Half the squared norm makes the problems strongly convex, so
 the optimum is unique and both sides must name the same classes; ``svm_certificate`` proves how near to it the library's weights are.
 """
 
@@ -24,6 +24,7 @@ from deskspark.plans.model_q import _labels, _splits
 from deskspark.plans.prepare_q import PREP, SPLIT
 from deskspark.plans.request_q import REQ_PII, ROUTE_CTES, TRAIN_SRC, fitted_langid, requests
 from deskspark.plans.sqlparts import md5_key, nb_ctes
+from deskspark.sources.tables import version
 
 _STOP = stopwords.sql_list()
 
@@ -80,9 +81,11 @@ nt AS (SELECT 0 AS it, fit, c, 0.0::DOUBLE AS a, ln((max(pos) + 1) / (max(n) - m
   UNION ALL
   (WITH e AS (SELECT mh.*, a, b, 1 / (1 + exp(-(a * m + b))) AS p, it FROM mh JOIN nt USING (fit, c)),
    s AS (SELECT it, fit, c, a, b, sum((p - t) * m) AS ga, sum(p - t) AS gb, sum(p * (1 - p) * m * m) + 1e-9 AS haa,
-                sum(p * (1 - p) * m) AS hab, sum(p * (1 - p)) + 1e-9 AS hbb FROM e GROUP BY ALL)
-   SELECT it + 1, fit, c, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) FROM s WHERE it < 40)),
-pp AS (SELECT mt.fit, {keys}, c, 1 / (1 + exp(-(a * m + b))) AS p FROM mt JOIN (SELECT * FROM nt WHERE it = 40) USING (fit, c)),
+                sum(p * (1 - p) * m) AS hab, sum(p * (1 - p)) + 1e-9 AS hbb FROM e GROUP BY ALL),
+   d AS (SELECT it, fit, c, a, b, (hab * gb - hbb * ga) / (haa * hbb - hab * hab) AS da, (hab * ga - haa * gb) / (haa * hbb - hab * hab) AS db FROM s)
+   SELECT it + 1, fit, c, a + da * least(1.0, 0.5 / greatest(abs(da), abs(db), 1e-300)), b + db * least(1.0, 0.5 / greatest(abs(da), abs(db), 1e-300))
+   FROM d WHERE it < 80)),
+pp AS (SELECT mt.fit, {keys}, c, 1 / (1 + exp(-(a * m + b))) AS p FROM mt JOIN (SELECT * FROM nt WHERE it = 80) USING (fit, c)),
 pt AS MATERIALIZED (SELECT {keys}, c, avg(p) AS p FROM (SELECT {keys}, c, p / sum(p) OVER (PARTITION BY fit, {keys}) AS p FROM pp) GROUP BY ALL)"""
 
 
@@ -133,7 +136,7 @@ _SCORED: dict = {}
 
 def predictions(spark, sf_dir):
     """``(doc_id, split, y, p, confidence, probabilities)`` of the calibrated classifier for every prepared ticket, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = version(spark, sf_dir)
     if key not in _SCORED:
         train, _, sp = _splits(spark, sf_dir)
         scored = M.predict_calibrated(M.fit_calibrated(train), sp, _labels(sp), keep=("doc_id", "split", "topic_group"))
@@ -227,7 +230,7 @@ _SERVED: dict = {}
 
 def served(spark, sf_dir):
     """The calibrated classifier that answers requests, fitted once per session and data folder, and its class names."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = version(spark, sf_dir)
     if key not in _SERVED:
         train, _, sp = _splits(spark, sf_dir)
         _SERVED[key] = (M.fit_calibrated(train), _labels(sp))

@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def version(spark: SparkSession, sf_dir: str, name: str = "documents") -> tuple:
+    """What tells one state of a table from another within a session: folder, files, lengths and times of change.  Results kept for
+    reuse are filed under it, so a table that changes is read again."""
+    _, fs, path = _fs_paths(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    files = sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path))
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *files)
+
+
 def require_columns(df: DataFrame, required=REQUIRED_TICKET_COLUMNS) -> DataFrame:
     """Fail fast (before any job runs) when a required column is missing."""
     missing = [c for c in required if c not in df.columns]

@@ -90,3 +90,13 @@ def test_run_log_survives_retries_and_two_writers(spark, tmp_path):
     (tmp_path / "log" / ("attempt=" + "0" * 20 + "-dead") / "_SUCCESS").unlink()
     spark.createDataFrame([("r", "x", 7.0), ("s", "x", 8.0)], row).write.parquet(path + "/attempt=" + "9" * 20 + "-late")
     assert sorted(tuple(r) for r in sinks.read_runs(spark, path).collect()) == [("r", "x", 1.0), ("r", "y", 2.0), ("s", "x", 8.0)]
+
+
+def test_results_kept_for_reuse_follow_the_table(spark, tmp_path):
+    from deskspark.plans import prepare_q
+
+    path, row = str(tmp_path / "documents.parquet"), "doc_id long, text string, lang string, source string"
+    spark.createDataFrame([(i, f"printer number {i} is broken", "en", "s") for i in range(4)], row).write.parquet(path)
+    assert prepare_q.prepared(spark, str(tmp_path)).count() == 4
+    spark.createDataFrame([(9, "screen does not turn on", "en", "s")], row).write.mode("append").parquet(path)
+    assert prepare_q.prepared(spark, str(tmp_path)).count() == 5
