@@ -1,10 +1,11 @@
 """TF-IDF features in long form ``(doc_id, term, tf, tfidf)``.
 
 Plan shape: tokens, n-grams and the term counts of a document are built
-in-row (a document is one row).  The only shuffle is by term, after a
-map-side combine, for document and corpus frequencies.  The vocabulary has
-at most ``max_features`` terms, so it goes to the tasks whole; weights and
-norms are computed in-row and exploded last.
+in-row (a document is one row).  Frequencies are counted by hash bucket
+first; only terms that can still be among the ``max_features`` most frequent
+are shuffled by term (:func:`frequent_stats`).  The vocabulary has at most
+``max_features`` terms, so it goes to the tasks whole; weights and norms are
+computed in-row and exploded last.
 """
 
 from __future__ import annotations
@@ -74,26 +75,65 @@ def term_stats(docs: DataFrame, terms: str = "terms") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")))
 
 
+#: Hash buckets of the first counting pass, and about how many documents name its candidates.  Neither changes a result.
+BUCKETS, SAMPLE_DOCS = 1 << 17, 1_000
+
+
+def _eligible(stats: DataFrame, n_docs, min_df: int, max_df: float) -> DataFrame:
+    return stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n_docs))
+
+
+def frequent_stats(docs: DataFrame, n_docs: int, min_df: int = DEFAULT.min_df, max_df: float = DEFAULT.max_df,
+                   max_features: int = DEFAULT.max_features, buckets: int = BUCKETS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The rows of :func:`term_stats` that :func:`vocabulary` can choose from, exact, without a shuffle of every distinct term.
+
+    A sample of documents names ``2 * max_features`` candidates.  One pass counts the candidates by term and all other terms by hash
+    bucket, so a task sends at most ``buckets`` rows and the candidates.  The ``max_features``-th best eligible candidate
+    is a floor that no chosen term lies below; a bucket under the floor, or in fewer than ``min_df`` documents, holds no chosen term.
+    A second pass counts the terms of the other buckets.  Equal counts at the floor stay in, so ties are settled as ever.  A poor sample
+    lowers the floor and lets more terms through, but loses none.  ``docs`` is read three times: pass a written table, best with ``counts``."""
+    rows = F.col("counts") if "counts" in docs.columns else counted(F.col("terms"))
+    counts = docs.select(F.inline(rows)).withColumn("_h", F.xxhash64("term"))
+    sums = [F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")]
+    some = docs.sample(min(1.0, sample_docs / max(n_docs, 1)), seed=0).select(F.inline(rows))
+    named = some.groupBy("term").agg(F.sum("tf").alias("cf")).orderBy(F.desc("cf"), F.asc("term")).limit(2 * max_features)
+    # candidates go by their hashes, 8 bytes each; a term that shares one is counted by term as well
+    named = F.broadcast(materialize(named.select(F.xxhash64("term").alias("_h")).distinct()))
+    bucket = F.pmod(F.col("_h"), F.lit(buckets))
+    flagged = counts.join(named.withColumn("_named", F.lit(True)), "_h", "left")
+    first = materialize(flagged.select(F.when(F.col("_named"), F.col("term")).alias("term"), F.when(F.col("_named").isNull(), bucket).alias("bucket"), "tf")
+                        .groupBy("term", "bucket").agg(*sums))
+    exact = first.filter("term IS NOT NULL").select("term", "df", "cf")
+    best = _eligible(exact, F.lit(n_docs), min_df, max_df).orderBy(F.desc("cf")).limit(max_features)
+    n_best, floor = best.agg(F.count(F.lit(1)), F.min("cf")).first()
+    floor = floor if floor and n_best == max_features else 0
+    heavy = first.filter(F.col("term").isNull() & (F.col("cf") >= floor) & (F.col("df") >= min_df)).select("bucket")  # at most ``buckets`` rows
+    rest = counts.withColumn("bucket", bucket).join(F.broadcast(heavy), "bucket", "left_semi").join(named, "_h", "left_anti")
+    return exact.unionByName(rest.groupBy("term").agg(*sums))
+
+
 def vocabulary(stats: DataFrame, n_docs: Column | int, min_df: int = DEFAULT.min_df,
                max_df: float = DEFAULT.max_df, max_features: int = DEFAULT.max_features) -> DataFrame:
     """Document frequency within [min_df, max_df * n_docs], then the
     ``max_features`` terms of highest corpus frequency (ties: term asc).
     Adds the smoothed idf ``ln((1 + n) / (1 + df)) + 1`` (T4)."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    keep = stats.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n))
+    keep = _eligible(stats, n, min_df, max_df)
     keep = keep.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
     return keep.withColumn("idf", F.log((F.lit(1) + n) / (F.lit(1) + F.col("df"))) + 1)
 
 
 def analyzed(docs: DataFrame, params: Params = DEFAULT, text: str = "document_clean", stop_words: bool = True, keys=("doc_id",)) -> DataFrame:
-    """T1 + T2 written once: ``keys`` and ``terms``, for a fit and a transform of the same rows."""
-    return materialize(analyze(docs, text, stop_words, params.ngram_min, params.ngram_max).select(*keys, "terms"))
+    """T1 + T2 written once: ``keys``, ``terms`` and their ``counts``, for a fit and a transform of the same rows."""
+    terms = analyze(docs, text, stop_words, params.ngram_min, params.ngram_max).select(*keys, "terms")
+    return materialize(terms.withColumn("counts", counted(F.col("terms"))))
 
 
 def fit(docs: DataFrame, params: Params = DEFAULT, text: str = "document_clean", stop_words: bool = True) -> DataFrame:
     """The vocabulary of a corpus; rows that have ``terms`` already are not analysed again."""
-    a = docs if "terms" in docs.columns else analyze(docs, text, stop_words, params.ngram_min, params.ngram_max)
-    return vocabulary(term_stats(a), docs.count(), params.min_df, params.max_df, params.max_features)
+    a, n = docs if "terms" in docs.columns else analyzed(docs, params, text, stop_words, ()), docs.count()
+    bounds = params.min_df, params.max_df, params.max_features
+    return vocabulary(frequent_stats(a, n, *bounds), n, *bounds)
 
 
 def transform(docs: DataFrame, vocab: DataFrame, params: Params = DEFAULT, text: str = "document_clean",
