@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from deskspark.plans import register
+from deskspark.plans import REGISTRY, register
 from deskspark.plans.monitor_q import AT, EV, GAUGES, STEP, alerts_sql
 from deskspark.plans.request_q import fitted_langid
 from deskspark.plans.svm_q import served
+from deskspark.session import ensure_checkpoint_dir
+from deskspark.sources.sinks import publish_model
 from deskspark.sources.tables import table
 from deskspark.streaming import monitor as SM
 from deskspark.streaming import requests as SR
@@ -104,10 +108,30 @@ def stream_source_silence(spark, sf_dir):
     return SM.source_silence(_events(spark, sf_dir))
 
 
+def _published(spark, sf_dir):
+    """The classifier of these tables, published as version 1 of a folder of its own."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/deskspark-models/{uuid.uuid4().hex}"
+    publish_model(spark, *served(spark, sf_dir), folder)
+    return folder
+
+
+def _request_stream(spark, sf_dir):
+    """User turns as requests, named by conversation and turn.  They carry no time, so theirs is that of their arrival."""
+    conv = SM.file_stream(spark, f"{sf_dir.rstrip('/')}/conversations.parquet").filter(F.col("role") == "user")
+    return conv.select(F.concat("conv_id", F.lit("-"), "turn").alias("request_id"), F.current_timestamp().alias("ts"), "conv_id", "turn", "text")
+
+
 @register("stream_request_scoring")
 def stream_request_scoring(spark, sf_dir):
     """G10 over a request file stream, scored micro-batch by micro-batch."""
-    conv = SM.file_stream(spark, f"{sf_dir.rstrip('/')}/conversations.parquet")
-    req = conv.filter(F.col("role") == "user").select("conv_id", "turn", "text")
-    fits, labels = served(spark, sf_dir)
-    return SR.serve(req, fitted_langid(spark, sf_dir), fits, labels)
+    return SR.serve(SR.once(_request_stream(spark, sf_dir)), fitted_langid(spark, sf_dir), _published(spark, sf_dir))
+
+
+@register("stream_request_classes", f"""
+SELECT conv_id || '-' || turn AS request_id, 1::INTEGER AS model_version, conv_id, turn, predicted_class, model_used, pii_detected
+FROM ({REGISTRY["request_classes"][1]})""")
+def stream_request_classes(spark, sf_dir):
+    """S10 + S7 + G10: every request is sent twice, answered once, and names the model's version."""
+    twice = _request_stream(spark, sf_dir).unionByName(_request_stream(spark, sf_dir))
+    answers = SR.serve(SR.once(twice), fitted_langid(spark, sf_dir), _published(spark, sf_dir))
+    return answers.select("request_id", "model_version", "conv_id", "turn", "predicted_class", "model_used", "pii_detected")

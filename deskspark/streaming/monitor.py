@@ -268,13 +268,13 @@ def run_available(df: DataFrame, mode: str = "append", name: str = "stream") ->
     """Process everything currently in the source (``availableNow``) into a
     Parquet table under the checkpoint folder and return that table."""
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
-    return run_epochs(df.writeStream.outputMode(mode), lambda batch: batch, base, df.sparkSession, last_only=mode == "complete")
+    return run_epochs(df.writeStream.outputMode(mode), lambda batch, epoch: batch, base, df.sparkSession, last_only=mode == "complete")
 
 
 def epoch_sink(transform, base: str):
-    """A ``foreachBatch`` function that writes each epoch to its own folder: a replayed epoch replaces its output."""
+    """A ``foreachBatch`` function that writes ``transform(batch, epoch)`` to a folder of the epoch: a replayed epoch replaces its output."""
     def sink(batch: DataFrame, epoch: int):
-        transform(batch).write.mode("overwrite").parquet(f"{base}/table/epoch={epoch}")
+        transform(batch, epoch).write.mode("overwrite").parquet(f"{base}/table/epoch={epoch}")
     return sink
 
 

@@ -1,14 +1,19 @@
 """Streaming results against batch, and request-scoring invariants."""
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from deskspark.config import DEFAULT
+from deskspark.operators import langid
 from deskspark.operators import monitor as O
+from deskspark.operators.linear import Fit
+from deskspark.sources import sinks
 from deskspark.sources.tables import table
 from deskspark.streaming import monitor as SM
+from deskspark.streaming import requests as SR
 from tests.conftest import SF001
 
 
@@ -77,7 +82,7 @@ def test_sketch_quantiles_of_one_large_group(spark):
 
 
 def test_replayed_epoch_leaves_no_duplicates(spark, tmp_path):
-    sink = SM.epoch_sink(lambda b: b, str(tmp_path))
+    sink = SM.epoch_sink(lambda b, epoch: b, str(tmp_path))
     for epoch in (0, 1, 1):
         sink(spark.range(epoch * 10, epoch * 10 + 5), epoch)
     got = spark.read.parquet(str(tmp_path / "table"))
@@ -106,3 +111,54 @@ def test_stream_scoring_equals_batch(spark):
     b = entry.queries()["request_scoring"](spark, SF001)
     key = ["conv_id", "turn", "predicted_class", "model_used"]
     assert sorted(tuple(r) for r in s.select(*key).collect()) == sorted(tuple(r) for r in b.select(*key).collect())
+
+
+REQUEST = "request_id string, ts timestamp, conv_id long, turn long, text string"
+
+
+def _requests(spark, folder, ids, minute=0):
+    """A file of requests by id, which arrive as one micro-batch."""
+    rows = [(None if i is None else f"r{i}", i or 0, f"request number {i} about the printer") for i in ids]
+    x = spark.createDataFrame(rows, "request_id string, conv_id long, text string")
+    at = F.timestamp_seconds(F.lit(1_700_000_000 + 60 * minute))
+    x.select("request_id", at.alias("ts"), "conv_id", F.lit(0).cast("long").alias("turn"), "text").coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_repeated_requests_pass_once(spark, tmp_path):
+    """Repetitions in a file, in a later file and after a restart; requests without an id all pass; nothing at all from an empty file."""
+    src, base = str(tmp_path / "src"), str(tmp_path / "base")
+
+    def passed():
+        stream = SR.once(spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", 1).parquet(src))
+        return sorted(r["request_id"] for r in SM.run_epochs(stream.writeStream, lambda b, e: b, base, spark).collect())
+
+    for ids, minute in (([1, 2, 2, 2], 0), ([2, 3, None, None], 1), ([], 1)):
+        _requests(spark, src, ids, minute)
+    first = passed()
+    assert first[:3] == ["r1", "r2", "r3"] and len(set(first)) == 5 and all(i.startswith("unnamed-") for i in first[3:])
+    _requests(spark, src, [1, 4, 3], 2)
+    assert [i for i in passed() if i.startswith("r")] == ["r1", "r2", "r3", "r4"]
+
+
+def test_version_swapped_while_the_stream_runs(spark, tmp_path):
+    """Version 2 answers from the epoch after its publication on; an unfinished version answers nothing; a replayed epoch keeps its version."""
+    models, src, base = (str(tmp_path / x) for x in ("models", "src", "base"))
+    fits = [Fit(["printer", "request"], [1.0, 1.0], np.array([[1.0, 0, 0], [-1.0, 0, 0]]), np.array([[1.0, 0.0], [1.0, 0.0]]))]
+    train = spark.createDataFrame([("the printer is on fire", "en"), ("l imprimante est en feu", "fr")], "document string, topic_group string")
+    fitted = langid.fit(train, text="document", label="topic_group")
+
+    def serve():
+        stream = SR.once(spark.readStream.schema(REQUEST).parquet(src))
+        return {r["request_id"]: (r["model_version"], r["predicted_class"]) for r in SR.serve(stream, fitted, models, base=base).collect()}
+
+    with pytest.raises(FileNotFoundError):
+        sinks.newest_model(spark, models)
+    assert sinks.publish_model(spark, fits, ["a", "b"], models) == 1
+    _requests(spark, src, [1, 2])
+    assert serve() == {"r1": (1, "a"), "r2": (1, "a")}
+    assert sinks.publish_model(spark, fits, ["c", "d"], models) == 2
+    sinks.save_calibrated(spark, fits, f"{models}/version=3/fits")
+    _requests(spark, src, [2, 3])
+    assert serve() == {"r1": (1, "a"), "r2": (1, "a"), "r3": (2, "c")}
+    assert sinks.publish_model(spark, fits, ["e", "f"], models) == 4
+    assert sinks.chosen_once(spark, f"{base}/versions/epoch=0", lambda: 4) == 1
