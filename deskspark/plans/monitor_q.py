@@ -255,21 +255,29 @@ def threshold_alerts(spark, sf_dir):
     return O.threshold_alerts(O.service_gauges(e, O.rolling_buffer(e)))
 
 
-@register("distribution_alerts", f"""
-WITH {EV}, {pii_scrub_ctes("documents", "doc_id")},
-bk AS (SELECT time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS t, * FROM ev),
+WINDOW_END = "time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes'"
+DISTRIBUTION = f"""{pii_scrub_ctes("documents", "doc_id")},
+bk AS (SELECT {WINDOW_END} AS t, * FROM ev),
 dg AS (SELECT t, quantile_cont(confidence, 0.25) AS confidence_p25, CAST(count(DISTINCT class_name) AS DOUBLE) AS n_classes
        FROM bk WHERE NOT is_error GROUP BY t),
 pg AS (SELECT t, sum(len(details)) / 300 AS pii_rate FROM bk JOIN pd ON event_id = doc_id GROUP BY t),
 dga AS (SELECT 'all' AS grp, t, t + INTERVAL '5 minutes' AS until, confidence_p25, n_classes, pii_rate FROM dg FULL JOIN pg USING (t)),
-{alerts_sql('dga', 'grp', O.DISTRIBUTION_ALERTS)}
+{alerts_sql('dga', 'grp', O.DISTRIBUTION_ALERTS)}"""
+
+
+def detections(spark, sf_dir):
+    """PII types found per request: a request event carries the text of the document with its number."""
+    found = pii.types(pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return found.select(F.col("doc_id").alias("event_id"), F.size("pii_types").alias("n"))
+
+
+@register("distribution_alerts", f"""
+WITH {EV}, {DISTRIBUTION}
 SELECT alert, active_from, active_until, firing_from, value FROM al""")
 def distribution_alerts(spark, sf_dir):
-    """O17 + O18.  A request event carries the text of the document with its number."""
+    """O17 + O18."""
     e = ev(spark, sf_dir)
-    found = pii.types(pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    found = found.select(F.col("doc_id").alias("event_id"), F.size("pii_types").alias("n"))
-    return O.distribution_alerts(e, e.select("event_id", "ts").join(found, "event_id"))
+    return O.distribution_alerts(e, e.select("event_id", "ts").join(detections(spark, sf_dir), "event_id"))
 
 
 @register("source_silence", f"""

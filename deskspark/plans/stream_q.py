@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from deskspark.plans import REGISTRY, register
-from deskspark.plans.monitor_q import AT, EV, GAUGES, STEP, alerts_sql
+from deskspark.plans.monitor_q import AT, DISTRIBUTION, EV, GAUGES, STEP, WINDOW_END, alerts_sql, detections
 from deskspark.plans.request_q import fitted_langid
 from deskspark.plans.svm_q import served
 from deskspark.session import ensure_checkpoint_dir
@@ -108,6 +108,14 @@ def stream_source_silence(spark, sf_dir):
     return SM.source_silence(_events(spark, sf_dir))
 
 
+@register("stream_distribution_alerts", f"""
+WITH {PASSED.format(at=WINDOW_END)}, {DISTRIBUTION}
+SELECT alert, active_from, active_until, firing_from, value FROM al""")
+def stream_distribution_alerts(spark, sf_dir):
+    """O17 + O18 by a streaming job, over the rate windows that the watermark has passed."""
+    return SM.distribution_alerts(_events(spark, sf_dir), detections(spark, sf_dir))
+
+
 def _published(spark, sf_dir):
     """The classifier of these tables, published as version 1 of a folder of its own."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/deskspark-models/{uuid.uuid4().hex}"

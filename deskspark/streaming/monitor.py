@@ -264,6 +264,33 @@ def source_silence(ev: DataFrame, gap_seconds: int = 60, width: str = "1 minute"
     return ended.unionByName(spark.read.parquet(part("silent", last)).withColumn("ongoing", F.lit(True)))
 
 
+def distribution_gauges(ev: DataFrame, detections: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The batch query's gauges per rate window, once the watermark has passed it.  ``detections`` (event_id, n) is a table of what was found
+    in the requests.  A window's state: its distinct confidences (their exact percentile, null without predictions) and classes, and a sum."""
+    found = detections.groupBy("event_id").agg(F.sum("n").alias("_n"))
+    ok = ~F.col("is_error")
+    g = ev.join(found, "event_id", "left").groupBy(F.window("ts", params.rate_window).alias("w")).agg(
+        F.percentile(F.when(ok, F.col("confidence")), F.lit(0.25)).alias("confidence_p25"), F.count_if(ok).alias("_ok"),
+        F.size(F.collect_set(F.when(ok, F.col("class_name")))).cast("double").alias("_classes"),
+        (F.sum("_n") / params.rate_window_seconds).alias("pii_rate"))
+    t, seconds = as_ntz(F.col("w.end")), F.lit(params.rate_window_seconds)
+    return g.select(t.alias("t"), F.timestamp_add("SECOND", seconds, t).alias("until"), "confidence_p25",
+                    F.when(F.col("_ok") > 0, F.col("_classes")).alias("n_classes"), "pii_rate")
+
+
+def distribution_alerts(ev: DataFrame, detections: DataFrame, rules=O.DISTRIBUTION_ALERTS, params: Params = DEFAULT, name: str = "distribution",
+                        base: str | None = None) -> DataFrame:
+    """O17 on a stream: the periods of the batch query over the rate windows that the watermark has passed.
+
+    The stream writes one row per window, by epoch (a replayed epoch overwrites its own); the periods are found over these rows, 288 a day,
+    so they don't depend on the micro-batches.  A stream started again on the same ``base`` folder adds to them."""
+    spark = ev.sparkSession
+    base = base or ensure_checkpoint_dir(spark).rstrip("/") + f"/deskspark-streams/{name}-{uuid.uuid4().hex}"
+    writer = distribution_gauges(ev, detections, params).writeStream.outputMode("append")
+    g = run_epochs(writer, lambda batch, epoch: batch, base, spark).withColumn("_all", F.lit("all"))
+    return O.alert_periods(O.conditions(g, ["_all"], rules), ["_all"], params.alert_step_seconds).drop("_all")
+
+
 def run_available(df: DataFrame, mode: str = "append", name: str = "stream") -> DataFrame:
     """Process everything currently in the source (``availableNow``) into a
     Parquet table under the checkpoint folder and return that table."""

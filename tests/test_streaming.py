@@ -70,6 +70,30 @@ def test_latency_alerts_and_silence_for_any_micro_batches_and_after_a_restart(sp
     assert stream(files("late", range(5, 8)), base) == (alerts, gaps)
 
 
+def test_distribution_alerts_for_any_micro_batches_and_after_a_restart(spark, tmp_path):
+    """One micro-batch, and five with a stop and a new start after the third: the periods of the batch query."""
+    ev = table(spark, SF001, "events")
+    end = ev.agg(F.max("ts")).first()[0]
+    numbered = ev.withColumn("k", F.ntile(5).over(Window.orderBy("ts", "event_id"))).persist()
+    found = ev.select("event_id", (F.col("event_id") % 4 * 400).alias("n")).filter("event_id % 3 = 0")
+    found = found.unionByName(found.filter("event_id % 2 = 0"))
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.select(sorted(df.columns)).collect())
+    passed = O.metric_events(ev).filter(F.window("ts", "5 minutes").end <= F.lit(end) - F.expr("INTERVAL 10 MINUTES"))
+    batch = rows(O.distribution_alerts(passed, passed.select("event_id", "ts").join(found, "event_id")))
+    assert len(batch) > 3 and len({r[2] for r in batch}) > 1
+
+    def stream(path, base=None):
+        return rows(SM.distribution_alerts(SM.metric_stream(SM.file_stream(spark, path, max_files=1)), found, base=base))
+
+    assert stream(f"{SF001}/events.parquet") == batch
+    parts, base = str(tmp_path / "parts"), str(tmp_path / "base")
+    for ks in ((1, 2, 3), (4, 5)):
+        for k in ks:
+            numbered.filter(F.col("k") == k).drop("k").coalesce(1).write.mode("append").parquet(parts)
+        last = stream(parts, base)
+    assert last == batch
+
+
 def test_sketch_quantiles_of_one_large_group(spark):
     """30,000 rows in one window: the sketch is approximate there and its ranks stay within the stated error."""
     rows = spark.range(30_000).select(F.lit(False).alias("is_error"), F.lit("a").alias("service"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:01'").alias("ts"),
