@@ -61,10 +61,9 @@ SELECT CAST(len(string_split(term, ' ')) AS BIGINT) AS n, CAST(count(DISTINCT te
        CAST(count(*) AS BIGINT) AS occurrences FROM ng GROUP BY 1""")
 def ngram_counts(spark, sf_dir):
     """The search space's widest n-gram range (1, 3)."""
-    a = T.analyze(train_docs(spark, sf_dir), ngram_max=3)
-    e = a.select(F.explode("terms").alias("term")).withColumn("n", F.size(F.split("term", " ")).cast("long"))
-    return e.groupBy("n").agg(F.count_distinct("term").alias("distinct_terms"),
-                              F.count(F.lit(1)).alias("occurrences"))
+    terms = T.term_stats(T.analyze(train_docs(spark, sf_dir), ngram_max=3))
+    return terms.groupBy(F.size(F.split("term", " ")).cast("long").alias("n")).agg(
+        F.count(F.lit(1)).alias("distinct_terms"), F.sum("cf").alias("occurrences"))
 
 
 @register("tfidf_vocabulary", f"""
