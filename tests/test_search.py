@@ -1,9 +1,15 @@
 """M6: the search's rows are scores of fits alone, and its statistics the plain counts."""
 
+import collections
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from deskspark.config import DEFAULT
+from deskspark.operators import linear
 from deskspark.operators import model as M
+from deskspark.operators import tfidf as T
 
 WORDS = ["printer", "paper", "toner", "network", "router", "cable", "invoice", "payment", "refund"]
 
@@ -45,3 +51,53 @@ def test_batch_that_fails_is_tried_trial_by_trial(tickets, monkeypatch):
     monkeypatch.setattr(M, "cv_scores", failing)
     alone = M.search(tickets, trials=2, params=SMALL, together=2)
     assert [r["score"] for r in alone] == pytest.approx([r["score"] for r in together]) and min(r["score"] for r in alone) > 0
+
+
+ODD = [["a", "b", "a", "b", "c"], [], None, ["x"], ["b", "c", "a", "b"] * 3, ["a", "ünï", "a"], ["c"], ["x", "y", "z", "w"], ["a", None, "b", "c"]]
+
+
+def _plain(lists, low, high):
+    """Per group and n-gram the documents and occurrences, by definition."""
+    grams = lambda t, n: [" ".join(t[i:i + n]) for i in range(len(t) - n + 1) if None not in t[i:i + n]]
+    out = collections.defaultdict(lambda: [0, 0])
+    for i, t in enumerate(lists):
+        for g, c in collections.Counter(x for n in range(low, high + 1) for x in grams(t or [], n)).items():
+            out[g, i % 3][0] += 1
+            out[g, i % 3][1] += c
+    return out
+
+
+@pytest.mark.parametrize("sample", [2, 1000])
+@pytest.mark.parametrize("buckets", [3, 1 << 12])
+def test_pruned_counts_give_every_vocabulary(spark, monkeypatch, buckets, sample):
+    """What a fit chooses from the pruned counts is what it chooses from all of them, whatever the sample and the buckets."""
+    monkeypatch.setattr(linear, "SLICE_TERMS", 9)
+    monkeypatch.setattr(T, "STRIDE", 1 << 10)
+    lists = ODD * 5 + [["r%d" % i, "s%d" % i, "r%d" % i] for i in range(40)]
+    docs = spark.createDataFrame([(i % 3, t) for i, t in enumerate(lists)], "group int, tokens array<string>").repartition(5)
+    rows_in = collections.Counter(i % 3 for i in range(len(lists)))
+    fits = [({0, 1}, DEFAULT.with_(max_features=3, min_df=2)), ({1, 2}, DEFAULT.with_(max_features=4, ngram_max=3, min_df=1, max_df=1.0)),
+            ({0, 2}, DEFAULT.with_(max_features=2, ngram_max=1, max_df=0.6))]
+    found = T.group_counts(docs, rows_in, fits, buckets, sample)
+    own, want = {r["term"]: r.asDict() for r in found.collect()}, _plain(lists, 1, 3)
+    for t, r in own.items():
+        assert [r[f"{c}{g}"] for g in range(3) for c in ("df", "cf")] == [x for g in range(3) for x in want.get((t, g), [0, 0])], t
+        assert r["words"] == len(t.split(" "))
+    whole = spark.createDataFrame([(t, len(t.split(" ")), *(x for g in range(3) for x in want.get((t, g), [0, 0]))) for t in {t for t, _ in want}],
+                                  "term string, words int, df0 long, cf0 long, df1 long, cf1 long, df2 long, cf2 long")
+    train, each = [g for g, _ in fits], [p for _, p in fits]
+    assert M.vocabularies(found, rows_in, train, each) == M.vocabularies(whole, rows_in, train, each)
+    if buckets > 3:
+        assert len(own) < len({t for t, _ in want}) / 2  # terms that no fit can choose aren't sent
+
+
+def test_entries_from_tokens_equal_those_from_terms():
+    words = sorted({"a", "b", "a b", "b a b", "c a", "ünï a", "x y z", "z w", "a b a b c"})
+    tokens = pa.array(ODD, pa.list_(pa.string()))
+    grams = [[" ".join(t[i:i + n]) for n in range(1, 6) for i in range(len(t) - n + 1) if None not in t[i:i + n]] if t else t for t in ODD]
+    rank = np.arange(len(ODD))[::-1].copy()
+    got = linear.gram_entries(tokens, linear.book(words, False), len(words), rank)
+    want = linear.counted_entries(pa.array(grams, pa.list_(pa.string())), pa.array(words), rank)
+    for a, b in zip(got, want):
+        assert a.tolist() == b.tolist()
+    assert len(linear.gram_entries(pa.array([[], None], pa.list_(pa.string())), linear.book([], False), 1, np.arange(2))[0]) == 0
