@@ -101,3 +101,29 @@ def test_entries_from_tokens_equal_those_from_terms():
     for a, b in zip(got, want):
         assert a.tolist() == b.tolist()
     assert len(linear.gram_entries(pa.array([[], None], pa.list_(pa.string())), linear.book([], False), 1, np.arange(2))[0]) == 0
+
+
+@pytest.mark.parametrize("entries", [1, 1 << 18])
+def test_sums_of_blocks_equal_dense_ones(spark, monkeypatch, entries):
+    """By row and by place, of one column and of two, also for rows without a known term; rows are put together by group."""
+    monkeypatch.setattr(linear, "BLOCK_ENTRIES", entries)
+    lists = [["a", "b", "a"], [], None, ["none"], ["b"] * 300, ["c", "a"]] * 4
+    docs = spark.createDataFrame([(i % 2, i % 3, t) for i, t in enumerate(lists)], "label int, group int, tokens array<string>")
+    shared = linear.union([["a", "a b", "b"], ["b", "b b", "c"]], [[1.0, 2.0, 1.5], [1.0, 3.0, 0.5]])
+    rdd = linear.blocks(docs, shared)
+    found, width = rdd.collect(), len(shared.words)
+    rdd.unpersist()
+    assert sorted((b.group, l) for b in found for l in b.label) == sorted((i % 3, i % 2) for i in range(len(lists)))
+    rnd = np.random.default_rng(0)
+    for b in found:
+        dense = np.zeros((len(b.counts), width))
+        dense[np.repeat(np.arange(len(b.counts)), b.counts), b.place] = b.tf
+        x, y = rnd.normal(size=(2, width)), rnd.normal(size=(2, len(dense)))
+        e = linear.Entries(b)
+        for n in (1, 2):
+            assert np.allclose(linear.apart(e.by_row(linear.paired(list(x[:n])))), dense @ x[:n].T)
+            out = linear.paired(list(np.zeros((n, width))))
+            e.add_by_place(out, linear.paired(list(y[:n])))
+            assert np.allclose(linear.apart(out), dense.T @ y[:n].T)
+    if entries > 1:
+        assert len(found) <= 3 * rdd.getNumPartitions()
