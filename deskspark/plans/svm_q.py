@@ -124,7 +124,8 @@ def svm_certificate(spark, sf_dir):
     so its weights are no farther from the optimum than the gradient is long."""
     train, _, sp = _splits(spark, sf_dir)
     names = spark.createDataFrame(list(enumerate(_labels(sp))), "code int, class string")  # a row per class
-    found = M.certificate(train, M.fit_calibrated(train))
+    docs = M.fold_rows(train)
+    found = M.certificate(train, M.fit_calibrated(train, docs=docs), docs=docs)
     near = F.col("gradient") <= DEFAULT.svm_tol * F.col("first_gradient") * (1 + 1e-6)
     flat = F.greatest(F.abs("sigmoid_a"), F.abs("sigmoid_b")) <= DEFAULT.platt_tol * F.col("n_held") * (1 + 1e-6)
     return found.join(names, found["class"] == names["code"]).select(

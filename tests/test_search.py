@@ -127,3 +127,33 @@ def test_sums_of_blocks_equal_dense_ones(spark, monkeypatch, entries):
             assert np.allclose(linear.apart(out), dense.T @ y[:n].T)
     if entries > 1:
         assert len(found) <= 3 * rdd.getNumPartitions()
+
+
+def test_certificate_equals_dense_gradients(spark, tickets):
+    """Gradients and counts of the joins against dense matrices of the definition, at weights that are not optimal; one row has no known term."""
+    odd = tickets.unionByName(spark.createDataFrame([(90, "nothing known", 0), (91, "", 1)], tickets.schema))
+    params = DEFAULT.with_(calibration_folds=2)
+    docs = M.fold_rows(odd, params)
+    fits = [f._replace(coef=f.coef + 0.1) for f in M.fit_calibrated(odd, params, docs=docs)]
+    found = {(r["fit"], r["class"]): r for r in M.certificate(odd, fits, params).collect()}
+    rows = docs.collect()
+    assert len(rows) == 92 and len(found) == 6
+    for i, fit in enumerate(fits):
+        x = np.zeros((len(rows), len(fit.vocabulary) + 1))
+        for r, own in zip(rows, x):
+            t = r["tokens"]
+            grams = t + [" ".join(p) for p in zip(t, t[1:])]
+            own[:-1] = [grams.count(w) for w in fit.vocabulary] * np.array(fit.idf)
+            own[:-1] /= np.linalg.norm(own[:-1]) or 1
+            own[-1] = 1
+        inside = np.array([r["group"] != i for r in rows])
+        for j, w in enumerate(fit.coef):
+            y, m = np.array([1.0 if r["label"] == j else -1.0 for r in rows]), x @ w
+            gradient = w - 2 * params.svm_c * x[inside].T @ (y * np.maximum(1 - y * m, 0))[inside]
+            got, pos, held = found[i, j], (y[~inside] > 0).sum(), (~inside).sum()
+            assert (got["n_train"], got["n_held"], got["n_own"]) == (inside.sum(), held, (y[inside] > 0).sum())
+            assert got["gradient"] == pytest.approx(np.linalg.norm(gradient))
+            assert got["first_gradient"] == pytest.approx(np.linalg.norm(2 * params.svm_c * x[inside].T @ y[inside]))
+            a, b = fit.platt[j]
+            over = 1 / (1 + np.exp(-(a * m + b))) - np.where(y > 0, (pos + 1) / (pos + 2), 1 / (held - pos + 2))
+            assert got["sigmoid_a"] == pytest.approx((over * m)[~inside].sum()) and got["sigmoid_b"] == pytest.approx(over[~inside].sum())
