@@ -21,7 +21,7 @@ from deskspark.operators.common import materialize
 from deskspark.plans import register
 from deskspark.plans.evaluate_q import CLASS_CTES
 from deskspark.plans.model_q import _labels, _splits
-from deskspark.plans.prepare_q import PREP, SPLIT
+from deskspark.plans.prepare_q import PREP, SPLIT, prepared, written_train
 from deskspark.plans.request_q import REQ_PII, ROUTE_CTES, TRAIN_SRC, fitted_langid, requests
 from deskspark.plans.sqlparts import md5_key, nb_ctes
 from deskspark.sources.tables import version
@@ -122,8 +122,8 @@ FROM trn CROSS JOIN fits CROSS JOIN lab GROUP BY fold, lab.topic_group""")
 def svm_certificate(spark, sf_dir):
     """M1 + M2 proved: gradients at the fitted weights, recomputed from rows by joins.  The margins' problem is 1-strongly convex,
     so its weights are no farther from the optimum than the gradient is long."""
-    train, _, sp = _splits(spark, sf_dir)
-    names = spark.createDataFrame(list(enumerate(_labels(sp))), "code int, class string")  # a row per class
+    train = written_train(spark, sf_dir)
+    names = spark.createDataFrame(list(enumerate(_labels(prepared(spark, sf_dir)))), "code int, class string")  # a row per class
     docs = M.fold_rows(train)
     found = M.certificate(train, M.fit_calibrated(train, docs=docs), docs=docs)
     near = F.col("gradient") <= DEFAULT.svm_tol * F.col("first_gradient") * (1 + 1e-6)
